@@ -131,15 +131,19 @@ class SnapshotTable:
                 return None
             raise
 
-    def current_version(self) -> int | None:
+    def current_version(self, before: int | None = None) -> int | None:
+        """Latest committed version (only versions < ``before`` when given)."""
         c = self._commits()
         if c is None:
             return None
+        if before is not None:
+            c = c.where(F.col("version") < before)
         row = c.agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
-    def read(self) -> DataFrame:
-        v = self.current_version()
+    def read(self, before: int | None = None) -> DataFrame:
+        """The latest committed snapshot (the one before version ``before`` when replaying)."""
+        v = self.current_version(before)
         if v is None:
             if self.schema is None:
                 raise FileNotFoundError(self.root)

@@ -296,3 +296,18 @@ def q_reference_payload(fx: Fixtures):
 
 
 __all__ = ["WS", "py_strip"]
+
+
+# -- U1: drive files + web pages as one document table ---------------------------------------------
+
+@query("union_sources", "U1", f"""
+SELECT text, 'gdrive://' || name AS source, title FROM ({_extract_sql()}) WHERE text <> ''
+UNION ALL
+SELECT text, source, title FROM ({with_views(_PAGES_SQL, "v_pages")})""")
+def q_union_sources(fx: Fixtures):
+    from ..operators.aggregates import union_sources
+
+    drive = P.drop_empty_text(X.extract_documents(fx.v_files())).select(
+        "text", F.concat(F.lit("gdrive://"), F.col("name")).alias("source"), "title"
+    )
+    return union_sources(drive, S.scan_pages(fx.v_pages()))

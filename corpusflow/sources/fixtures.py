@@ -89,9 +89,9 @@ class Fixtures:
             content.alias("content"),
         )
 
-    def v_docs(self) -> DataFrame:
+    def v_docs(self, d: DataFrame | None = None) -> DataFrame:
         """Documents as the three loaders emit them: source URI, text, title, lang."""
-        d = self.table("documents")
+        d = self.table("documents") if d is None else d
         i = F.col("doc_id")
         name = file_name_col(i)
         m3 = i % 3
@@ -115,8 +115,8 @@ class Fixtures:
         return p.select(i, F.col("url"), ct.alias("content_type"), F.col("html").alias("body"))
 
     # -- listing and state ------------------------------------------------------
-    def v_listing(self) -> DataFrame:
-        d = self.table("documents")
+    def v_listing(self, d: DataFrame | None = None) -> DataFrame:
+        d = self.table("documents") if d is None else d
         i = F.col("doc_id")
         m10 = i % 10
         mime = (
