@@ -190,8 +190,10 @@ def chunk_documents(
     order, so ``chunk_id`` is the offset after blank removal. ``keep`` lists the
     columns carried next to each chunk (default: all but the text).
     """
+    from ..session import ensure_parallel
+
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
-    spans = docs.select(*keep, F.col(text_col).alias("_t"), chunk_span_col(text_col, size, overlap).alias("_s"))
+    spans = ensure_parallel(docs).select(*keep, F.col(text_col).alias("_t"), chunk_span_col(text_col, size, overlap).alias("_s"))
     exploded = spans.select(*keep, "_t", F.posexplode("_s").alias("chunk_id", "_sp"))
     return exploded.select(
         *keep,

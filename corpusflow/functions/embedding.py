@@ -96,3 +96,12 @@ def embed_col(text: Column | str, model: str = "hashing", dim: int = 64, batch:
     """Vector column for a text column. NULL text embeds as the empty string."""
     col = F.col(text) if isinstance(text, str) else text
     return _embed_udf(model, int(dim), int(batch))(col)
+
+
+def embed_frame(df, text: str = "text", out: str = "vector", model: str = "hashing", dim: int = 64, batch: int = EMBED_BATCH):
+    """D1 as a DataFrame operator: the vector column next to every row, computed
+    in parallel over Arrow batches (the input is spread first if it sits in
+    fewer partitions than task slots)."""
+    from ..session import ensure_parallel
+
+    return ensure_parallel(df).withColumn(out, embed_col(text, model, dim, batch))

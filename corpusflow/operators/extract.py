@@ -105,8 +105,10 @@ def extract_documents(files: DataFrame, name: str = "name", content: str = "cont
     on ``", "``) and assembled with the E2-E5 rules; their title is the stem (no
     metadata title in this input). Unknown suffixes give empty text and title.
     """
+    from ..session import ensure_parallel
+
     kind = file_kind(F.col(name))
-    base = files.select(F.col(name).alias("name"), F.col(content).alias("content"), kind.alias("kind"))
+    base = ensure_parallel(files).select(F.col(name).alias("name"), F.col(content).alias("content"), kind.alias("kind"))
     direct = extract_text_files(base.where(~F.col("kind").isin(*BINARY_SUFFIXES))).select("name", "kind", "text", "title")
 
     binary = base.where(F.col("kind").isin(*BINARY_SUFFIXES))

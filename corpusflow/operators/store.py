@@ -123,23 +123,26 @@ class SnapshotTable:
         self.schema = schema
         self.partition_by = partition_by
 
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.root}/commits")
-        except Exception as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-                return None
-            raise
+    def committed_versions(self) -> list[int]:
+        """Versions with a commit marker: a listing of ``commits/`` through the
+        Hadoop file system of the session (works for any shared store), no job."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+        return sorted(out)
 
     def current_version(self, before: int | None = None) -> int | None:
         """Latest committed version (only versions < ``before`` when given)."""
-        c = self._commits()
-        if c is None:
-            return None
-        if before is not None:
-            c = c.where(F.col("version") < before)
-        row = c.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        vs = [v for v in self.committed_versions() if before is None or v < before]
+        return vs[-1] if vs else None
 
     def read(self, before: int | None = None) -> DataFrame:
         """The latest committed snapshot (the one before version ``before`` when replaying)."""

@@ -130,7 +130,9 @@ def ingest_points(fx, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> D
     families -> chunks -> embedded points (no tables written)."""
     from ..sources.scans import scan_pages
 
-    docs = fx.v_docs().select("text", "source", "title")
+    from ..session import ensure_parallel
+
+    docs = ensure_parallel(fx.v_docs().select("text", "source", "title"))
     web = scan_pages(fx.v_pages())
     prepared = prepare_documents(A.union_sources(docs, web))
     chunks = chunk_rows(prepared, size, overlap)

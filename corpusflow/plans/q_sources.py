@@ -10,6 +10,7 @@ from ..functions.titles import first_line_title, rst_title
 from ..operators import extract as X
 from ..operators import filters as P
 from ..sources import scans as S
+from ..session import ensure_parallel
 from ..sources.fixtures import BATCH_TS, Fixtures
 from . import oracle_sql as Q
 from .oracle_views import NL, WS, py_strip, with_views
@@ -214,12 +215,12 @@ def q_assemble_cells(fx: Fixtures):
 
 @query("html_text", "E6", f"SELECT page_id, {Q.html_text('html', NL)} AS text FROM pages")
 def q_html_text(fx: Fixtures):
-    return fx.table("pages").select("page_id", html_text(F.col("html"), "\n").alias("text"))
+    return ensure_parallel(fx.table("pages")).select("page_id", html_text(F.col("html"), "\n").alias("text"))
 
 
 @query("html_title", "E7", f"SELECT page_id, {Q.html_title('html')} AS title FROM pages")
 def q_html_title(fx: Fixtures):
-    return fx.table("pages").select("page_id", html_title(F.col("html")).alias("title"))
+    return ensure_parallel(fx.table("pages")).select("page_id", html_title(F.col("html")).alias("title"))
 
 
 @query("first_line_title", "E8", with_views(f"SELECT doc_id, {Q.first_line_title('content')} AS title FROM v_files", "v_files"))

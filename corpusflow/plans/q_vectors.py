@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chunking import chunk_documents, chunk_span_col
 from ..functions.constants import WS_CLASS
-from ..functions.embedding import embed_col
+from ..functions.embedding import embed_frame
 from ..functions.vectors import l2_normalize, quantize_int8
 from ..operators import aggregates as A
 from ..sources.fixtures import Fixtures
@@ -68,8 +68,8 @@ FROM g JOIN n ON n.conv_id = g.conv_id AND n.turn = g.turn GROUP BY g.conv_id, g
 
 @query("embed", "D1", _EMBED_SQL)
 def q_embed(fx: Fixtures):
-    c = fx.table("conversations")
-    return c.select("conv_id", "turn", embed_col("text").alias("vector"))
+    c = fx.table("conversations").select("conv_id", "turn", "text")
+    return embed_frame(c).select("conv_id", "turn", "vector")
 
 
 # -- F9 / F10 ---------------------------------------------------------------------------------------

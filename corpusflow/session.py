@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -55,3 +56,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+
+
+def ensure_parallel(df, factor: int = 2):
+    """Spread a frame over the cluster before a CPU-heavy narrow stage (Python UDF,
+    regex-heavy parsing) when its input has fewer partitions than task slots —
+    e.g. one unsplittable file. Large inputs already arrive in many splits and are
+    left alone, so this adds no shuffle at scale."""
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # no RDD access (e.g. Spark Connect): keep the plan as is
+        return df
+    return df.repartition(slots * factor)

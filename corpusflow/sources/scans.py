@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.constants import ALL_SUFFIXES, DEFAULT_GLOB
 from ..functions.html import html_text, html_title
 from ..functions.text import decode_text, glob_regex, is_blank, suffix
+from ..session import ensure_parallel
 
 LISTING_COLUMNS = ("file_id", "name", "mime", "modified_time")
 STATE_SCHEMA = T.StructType([
@@ -80,8 +81,11 @@ def scan_pages(pages: DataFrame, url: str = "url", content_type: str = "content_
     is_html = F.lower(F.coalesce(F.col(content_type), F.lit(""))).contains("html")
     text = F.when(is_html, html_text(F.col(body), "\n\n")).otherwise(F.col(body))
     title = F.when(is_html, html_title(F.col(body))).otherwise(F.lit(""))
-    docs = pages.select(text.alias("text"), F.col(url).alias("source"), title.alias("title"))
-    return docs.where(~is_blank(F.col("text")))
+    # The blank filter sits inside a generator so the parsed text is computed once
+    # (a plain filter on it would be pushed below the projection and re-parse).
+    row = F.struct(text.alias("text"), F.col(url).alias("source"), title.alias("title"))
+    kept = F.filter(F.array(row), lambda r: ~is_blank(r["text"]))
+    return ensure_parallel(pages).select(F.inline(kept))
 
 
 def parse_repo_specs(config: DataFrame, col: str = "config") -> DataFrame:
