@@ -194,7 +194,9 @@ def chunk_documents(
 
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
     spans = ensure_parallel(docs).select(*keep, F.col(text_col).alias("_t"), chunk_span_col(text_col, size, overlap).alias("_s"))
-    exploded = spans.select(*keep, "_t", F.posexplode("_s").alias("chunk_id", "_sp"))
+    # posexplode_outer: a plain posexplode makes Catalyst infer ``size(_s) > 0`` and
+    # push it below the repartition, which would run the splitter twice.
+    exploded = spans.select(*keep, "_t", F.posexplode_outer("_s").alias("chunk_id", "_sp")).where(F.col("_sp").isNotNull())
     return exploded.select(
         *keep,
         F.col("chunk_id").cast("int").alias("chunk_id"),

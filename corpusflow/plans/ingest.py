@@ -98,7 +98,16 @@ def ingest_batch(
     model: str = "hashing",
     dim: int = 64,
 ) -> IngestResult:
-    """Pure core of D2 on an already chunked batch (see ``chunk_rows``)."""
+    """Pure core of D2 on an already chunked batch (see ``chunk_rows``).
+
+    Two documents with one source share a ``doc_id``; their chunks collide on
+    the key. One row per key survives (a deterministic choice by a hash of the
+    text, or the ``seq`` column when the batch has one), decided inside the
+    key exchange the upsert needs anyway, so no extra shuffle is added.
+    """
+    seq = "seq" if "seq" in chunks.columns else "_tb"
+    keyed = chunks if seq == "seq" else chunks.withColumn("_tb", F.xxhash64("text", "source"))
+    chunks = A.last_wins(keyed, ("collection", "doc_id", "chunk_id"), seq).drop("_tb")
     store_rows = chunks.select("doc_id", "chunk_id", "text", "source", "title")
     new_chunk_table = K.upsert_chunks(old_chunks, store_rows, now, seq=None)
 
@@ -117,7 +126,7 @@ def ingest_batch(
     j = chunks.join(flag, ["collection", "doc_id"], "left") if flag is not None else chunks.withColumn("_idx", F.lit(None))
     hit = F.coalesce(F.col("_idx"), F.lit(False))
     stats = j.agg(
-        F.count_distinct("doc_id").alias("documents"),
+        F.count_if(F.col("chunk_id") == 0).alias("documents"),  # every chunked document has a chunk 0
         F.count(F.lit(1)).alias("chunks"),
         F.count_if(~hit).alias("embedded_chunks"),
         F.count_if(hit).alias("skipped_chunks"),
