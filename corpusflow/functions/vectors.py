@@ -21,24 +21,85 @@ def l2_normalize(v: Column | str) -> Column:
     return F.when(n == 0, vec).otherwise(F.transform(vec, lambda x: (x.cast("double") / n).cast("float")))
 
 
+def exact_quantiles(
+    values: DataFrame, col: str, by: tuple[str, ...], qs: tuple[float, ...], accuracy: int = 100_000
+) -> DataFrame:
+    """Exact order statistics per group: for each q the value of rank ``max(ceil(q*n), 1)``.
+
+    Distributed and with bounded memory, in three steps:
+    1. one aggregation gives ``n`` and, from a mergeable sketch, two values per q
+       that bracket the target rank (rank error of the sketch <= n/accuracy);
+    2. one pass aggregates the values inside each bracket to (value, count) rows
+       -- at most ~6n/accuracy of them -- plus one row counting those below;
+    3. a running sum over those few rows picks the exact value.
+    A bracket that missed its rank (the sketch bound failed) raises instead of
+    returning a wrong value.
+    """
+    from decimal import Decimal
+
+    eps = 3.0 / accuracy
+    probs = []
+    for q in qs:
+        probs += [max(q - eps, 0.0), min(q + eps, 1.0)]
+    stats = values.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(col, probs, accuracy).alias("_br")
+    )
+    rows = []
+    for i, q in enumerate(qs):
+        k = F.greatest(F.ceil(F.col("_n") * F.lit(Decimal(str(q)))), F.lit(1)).cast("long")
+        rows.append(stats.select(*by, F.lit(i).alias("_qi"), k.alias("_k"),
+                                 F.col("_br")[2 * i].alias("_lo"), F.col("_br")[2 * i + 1].alias("_hi")))
+    targets = rows[0]
+    for r in rows[1:]:
+        targets = targets.unionByName(r)
+    return _select_ranks(values, col, by, targets)
+
+
+def _select_ranks(values: DataFrame, col: str, by: tuple[str, ...], targets: DataFrame) -> DataFrame:
+    from pyspark.sql import Window
+
+    # targets: one row per (group, quantile), bounded by groups x quantiles -> broadcast
+    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(targets), list(by)).where(F.col("_x") <= F.col("_hi"))
+    # everything under the bracket collapses into one -inf key: one pass gives both
+    # the count below and the (value, count) rows inside
+    key = F.when(F.col("_x") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_x"))
+    counts = j.groupBy(*by, "_qi", "_k", key.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by, "_qi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_cum", F.sum("_c").over(w))
+    hit = ranked.where(F.col("_cum") >= F.col("_k")).groupBy(*by, "_qi").agg(F.min("_v").alias("_val"))
+    # the sketch guarantees the rank lies inside the bracket; fail loudly rather than be wrong
+    out = targets.select(*by, "_qi").join(hit, [*by, "_qi"], "left")
+    bad = F.col("_val").isNull() | (F.col("_val") == float("-inf"))
+    return out.select(
+        *by, "_qi", F.when(bad, F.raise_error(F.lit("exact_quantiles: rank outside the sketch bracket"))).otherwise(F.col("_val")).alias("value")
+    )
+
+
 def quantile_bounds(
     points: DataFrame,
     vector_col: str = "vector",
     by: tuple[str, ...] = ("collection",),
     quantile: float = 0.99,
-    accuracy: int = 1_000_000,
+    accuracy: int = 100_000,
+    exact: bool = True,
 ) -> DataFrame:
     """Per group, the (1-q)/2 and (1+q)/2 quantiles of all vector components.
 
-    ``percentile_approx`` keeps a bounded, mergeable sketch per group (partial
-    aggregation map-side, rank error <= n/accuracy), so a collection of any
-    size is summarised without gathering its values in one task.
+    ``exact=True`` (default) returns the exact order statistics via
+    ``exact_quantiles``; ``exact=False`` keeps only the sketch (one pass, rank
+    error <= n/accuracy). Neither gathers a group's values in one task.
     """
-    lo_q, hi_q = (1.0 - quantile) / 2.0, (1.0 + quantile) / 2.0
-    comp = points.select(*by, F.explode(vector_col).alias("_x"))
-    q = F.percentile_approx("_x", [lo_q, hi_q], accuracy)
-    return comp.groupBy(*by).agg(q.alias("_q")).select(
-        *by, F.col("_q")[0].cast("double").alias("q_lo"), F.col("_q")[1].cast("double").alias("q_hi")
+    lo_q, hi_q = round((1.0 - quantile) / 2.0, 12), round((1.0 + quantile) / 2.0, 12)
+    comp = points.select(*by, F.explode(vector_col).alias("_x")).withColumn("_x", F.col("_x").cast("double"))
+    if not exact:
+        q = F.percentile_approx("_x", [lo_q, hi_q], accuracy)
+        return comp.groupBy(*by).agg(q.alias("_q")).select(
+            *by, F.col("_q")[0].cast("double").alias("q_lo"), F.col("_q")[1].cast("double").alias("q_hi")
+        )
+    ex = exact_quantiles(comp, "_x", by, (lo_q, hi_q), accuracy)
+    return ex.groupBy(*by).agg(
+        F.max(F.when(F.col("_qi") == 0, F.col("value"))).alias("q_lo"),
+        F.max(F.when(F.col("_qi") == 1, F.col("value"))).alias("q_hi"),
     )
 
 
@@ -60,14 +121,15 @@ def quantize_int8(
     vector_col: str = "vector",
     by: tuple[str, ...] = ("collection",),
     quantile: float = 0.99,
-    accuracy: int = 1_000_000,
+    accuracy: int = 100_000,
+    exact: bool = True,
 ) -> DataFrame:
     """Adds ``q_lo``, ``q_hi`` and ``codes`` (array<tinyint>) to every point.
 
     The bounds table has one row per collection, so the join back is a
     broadcast of a table whose size is bounded by the number of collections.
     """
-    bounds = quantile_bounds(points, vector_col, by, quantile, accuracy)
+    bounds = quantile_bounds(points, vector_col, by, quantile, accuracy, exact)
     return points.join(F.broadcast(bounds), list(by)).withColumn(
         "codes", quantize_col(vector_col, "q_lo", "q_hi")
     )

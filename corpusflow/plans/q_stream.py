@@ -14,8 +14,11 @@ from ..sources.scans import STATE_SCHEMA
 from ..streaming import jobs as T
 from .ingest import IngestJob
 from .oracle_views import with_views
+from .oracle_chunks import doc_chunks_sql, points_sql
 from .registry import query
 
+_DOCS = "SELECT text, source, title FROM v_docs"
+
 TIMEOUT_S = 1800
 
 
@@ -40,7 +43,7 @@ def q_stream_documents(fx: Fixtures):
     return fx.spark.read.parquet(out).select("n", "source", "text", "title", "lang")
 
 
-@query("ingest_stream", "T1")
+@query("ingest_stream", "T1", with_views(f"SELECT doc_id, chunk_id, text, source, title FROM ({doc_chunks_sql(_DOCS)})", "v_docs"))
 def q_ingest_stream(fx: Fixtures):
     root = T.stream_root(fx.spark, "ingest")
     job = IngestJob(fx.spark, f"{root}/tables")
@@ -49,7 +52,8 @@ def q_ingest_stream(fx: Fixtures):
     return job.chunks().select("doc_id", "chunk_id", "text", "source", "title")
 
 
-@query("ingest_now", "T2")
+@query("ingest_now", "T2", with_views(
+    f"SELECT collection, point_id, doc_id, chunk_id, source, title, vector FROM ({points_sql(_DOCS, None)})", "v_docs"))
 def q_ingest_now(fx: Fixtures):
     root = T.stream_root(fx.spark, "now")
     job = IngestJob(fx.spark, f"{root}/tables")
@@ -57,7 +61,8 @@ def q_ingest_now(fx: Fixtures):
     return job.points().select("collection", "point_id", "doc_id", "chunk_id", "source", "title", "vector")
 
 
-@query("ingest_full", "T3")
+@query("ingest_full", "T3", with_views(
+    f"SELECT 'documents' AS collection, count(*) AS points, '0->1' AS versions FROM ({doc_chunks_sql(_DOCS)})", "v_docs"))
 def q_ingest_full(fx: Fixtures):
     """Second, full pass over the same documents: chunks re-upserted, every vector skipped."""
     root = T.stream_root(fx.spark, "full")
@@ -87,7 +92,11 @@ def q_changed_files_stream(fx: Fixtures):
     return fx.spark.read.parquet(out).select("file_id", "name", "modified_time")
 
 
-@query("idempotent_replay", "T5")
+@query("idempotent_replay", "T5", with_views(f"""
+WITH n AS (SELECT count(*) AS n FROM ({doc_chunks_sql(_DOCS)}))
+SELECT 'chunks' AS "table", n AS rows_first, n AS rows_replayed, CAST(0 AS BIGINT) AS differing_rows FROM n
+UNION ALL
+SELECT 'points', n, n, CAST(0 AS BIGINT) FROM n""", "v_docs"))
 def q_idempotent_replay(fx: Fixtures):
     """Ingest the corpus, replay the same batch, then ingest it again as a new batch:
     the tables must not change (one row per table with the row counts and the differing rows)."""

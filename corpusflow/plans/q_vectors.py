@@ -11,8 +11,13 @@ from ..functions.vectors import l2_normalize, quantize_int8
 from ..operators import aggregates as A
 from ..sources.fixtures import Fixtures
 from .ingest import chunk_rows, ingest_points, prepare_documents
+from .q_sources import _PAGES_SQL
+from .oracle_chunks import doc_chunks_sql, embed_sql, points_sql
+from .oracle_views import with_views
 from .registry import query
 
+_DOCS = "SELECT text, source, title FROM v_docs"
+
 
 def _doc_chunks(fx: Fixtures):
     return chunk_rows(prepare_documents(fx.v_docs().select("text", "source", "title")))
@@ -20,7 +25,10 @@ def _doc_chunks(fx: Fixtures):
 
 # -- F7 / W1 / A3: the recursive splitter (Python UDF; rows-only check, brute-force tests) ------------
 
-@query("chunk_text", "F7")
+@query("chunk_text", "F7", with_views(f"""
+SELECT d.source, coalesce(c.chunks, []) AS chunks FROM v_docs d LEFT JOIN (
+  SELECT source, list(text ORDER BY chunk_id) AS chunks FROM ({doc_chunks_sql(_DOCS)}) GROUP BY source) c
+ON c.source = d.source""", "v_docs"))
 def q_chunk_text(fx: Fixtures):
     d = fx.v_docs()
     spans = chunk_span_col("text")
@@ -28,12 +36,13 @@ def q_chunk_text(fx: Fixtures):
     return d.select("source", chunks.alias("chunks"))
 
 
-@query("number_chunks", "W1")
+@query("number_chunks", "W1", with_views(f"SELECT doc_id, chunk_id, text FROM ({doc_chunks_sql(_DOCS)})", "v_docs"))
 def q_number_chunks(fx: Fixtures):
     return _doc_chunks(fx).select("doc_id", "chunk_id", "text")
 
 
-@query("chunk_counts", "A3")
+@query("chunk_counts", "A3", with_views(
+    f"SELECT doc_id, count(*) AS n_chunks FROM ({doc_chunks_sql(_DOCS)}) GROUP BY doc_id", "v_docs"))
 def q_chunk_counts(fx: Fixtures):
     return A.chunk_counts(_doc_chunks(fx))
 
@@ -51,22 +60,7 @@ def q_chunk_windows(fx: Fixtures):
 
 # -- D1: default hashing embedder over conversation turns ------------------------------------------
 
-_EMBED_SQL = """
-WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations),
-tok AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS tok FROM t),
-f AS (SELECT conv_id, turn, CAST(CAST('0x' || substr(md5(tok), 1, 8) AS UBIGINT) % 64 AS INTEGER) AS b,
-             CASE WHEN CAST('0x' || substr(md5(tok), 9, 1) AS INTEGER) % 2 = 0 THEN 1 ELSE -1 END AS s FROM tok),
-c AS (SELECT conv_id, turn, b, CAST(sum(s) AS DOUBLE) AS v FROM f GROUP BY conv_id, turn, b),
-g AS (SELECT t.conv_id, t.turn, i.b, coalesce(c.v, 0.0) AS v
-      FROM t CROSS JOIN (SELECT CAST(range AS INTEGER) AS b FROM range(64)) i
-      LEFT JOIN c ON c.conv_id = t.conv_id AND c.turn = t.turn AND c.b = i.b),
-n AS (SELECT conv_id, turn, sqrt(sum(v * v)) AS nrm FROM g GROUP BY conv_id, turn)
-SELECT g.conv_id, g.turn,
-  list(CAST(CASE WHEN n.nrm = 0 THEN 0.0 ELSE g.v / n.nrm END AS FLOAT) ORDER BY g.b) AS vector
-FROM g JOIN n ON n.conv_id = g.conv_id AND n.turn = g.turn GROUP BY g.conv_id, g.turn"""
-
-
-@query("embed", "D1", _EMBED_SQL)
+@query("embed", "D1", embed_sql("SELECT conv_id, turn, text FROM conversations", ("conv_id", "turn")))
 def q_embed(fx: Fixtures):
     c = fx.table("conversations").select("conv_id", "turn", "text")
     return embed_frame(c).select("conv_id", "turn", "vector")
@@ -86,10 +80,19 @@ def q_l2_normalize(fx: Fixtures):
     return e.select("vec_id", l2_normalize(scaled).alias("vector"))
 
 
-# Bounds come from a mergeable quantile sketch (bounded memory per collection, rank
-# error <= n/accuracy), so no SQL twin reproduces them bit for bit: rows-only here,
-# tests compare with an exact numpy quantile within the sketch's rank error.
-@query("quantize_int8", "F10")
+@query("quantize_int8", "F10", with_views("""
+WITH x AS (SELECT collection, CAST(unnest(vector) AS DOUBLE) AS x FROM v_points),
+r AS (SELECT collection, x, row_number() OVER (PARTITION BY collection ORDER BY x) AS rn,
+             count(*) OVER (PARTITION BY collection) AS n FROM x),
+b AS (SELECT collection,
+        max(CASE WHEN rn = greatest(CAST(ceil(0.005 * n) AS BIGINT), 1) THEN x END) AS q_lo,
+        max(CASE WHEN rn = greatest(CAST(ceil(0.995 * n) AS BIGINT), 1) THEN x END) AS q_hi
+      FROM r GROUP BY collection)
+SELECT p.vec_id, p.collection, b.q_lo, b.q_hi,
+  list_transform(p.vector, lambda v: CAST(round(CASE WHEN b.q_hi - b.q_lo > 0
+      THEN (least(greatest(CAST(v AS DOUBLE), b.q_lo), b.q_hi) - b.q_lo) / (b.q_hi - b.q_lo) * 255.0 ELSE 0.0 END) - 128 AS TINYINT))
+    AS codes
+FROM v_points p JOIN b ON b.collection = p.collection""", "v_points"))
 def q_quantize_int8(fx: Fixtures):
     q = quantize_int8(fx.v_points().select("vec_id", "collection", "vector"))
     return q.select("vec_id", "collection", "q_lo", "q_hi", "codes")
@@ -97,6 +100,7 @@ def q_quantize_int8(fx: Fixtures):
 
 # -- D2: documents of the three families -> embedded points ---------------------------------------------
 
-@query("ingest", "D2")
+@query("ingest", "D2", with_views(points_sql(
+    f"SELECT text, source, title FROM v_docs UNION ALL SELECT text, source, title FROM ({_PAGES_SQL})"), "v_docs", "v_pages"))
 def q_ingest(fx: Fixtures):
     return ingest_points(fx)

@@ -85,3 +85,17 @@ def test_duckdb_sketch_equals_native_on_sample(spark):
     q = f"SELECT page_id, {sql_html_text('html', 'chr(10)')} AS t FROM '/root/testdata/sf0.001/pages.parquet'"
     for pid, t in con.execute(q).fetchall():
         assert got[pid] == t
+
+
+def test_scan_tree_on_storage(spark, tmp_path):
+    from corpusflow.sources.scans import read_text, scan_tree
+
+    (tmp_path / "docs" / "a").mkdir(parents=True)
+    (tmp_path / "docs" / "a" / "x.md").write_bytes(b"# X\r\nbody\xff")
+    (tmp_path / "docs" / "y.TXT").write_text("y")
+    (tmp_path / "docs" / "z.bin").write_text("z")
+    (tmp_path / "top.md").write_text("t")
+    got = {r["path"]: r["text"] for r in read_text(scan_tree(spark, str(tmp_path), "docs/**/*")).collect()}
+    assert got == {"docs/a/x.md": "# X\nbody�", "docs/y.TXT": "y"}
+    allmd = {r["path"] for r in scan_tree(spark, str(tmp_path), "**/*.md").collect()}
+    assert allmd == {"docs/a/x.md", "top.md"}

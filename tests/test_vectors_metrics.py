@@ -25,16 +25,20 @@ def test_l2_normalize_zero_stays_zero(spark):
     assert got[0] == [0.6000000238418579, 0.800000011920929] and got[1] == [0.0, 0.0]
 
 
-def test_quantile_bounds_close_to_exact(spark):
+def test_quantile_bounds_exact_and_sketch(spark):
     rng = np.random.default_rng(7)
     vecs = rng.normal(size=(400, 16)).astype(np.float32)
+    vecs[:50] = 0.0  # a block of ties
     df = spark.createDataFrame([("c", v.tolist()) for v in vecs], "collection string, vector array<float>")
-    b = quantile_bounds(df).first()
     flat = np.sort(vecs.reshape(-1).astype(np.float64))
     n = flat.size
-    lo_rank = int(np.searchsorted(flat, b["q_lo"], side="right"))
-    hi_rank = int(np.searchsorted(flat, b["q_hi"], side="right"))
-    assert abs(lo_rank - math.ceil(0.005 * n)) <= 1 and abs(hi_rank - math.ceil(0.995 * n)) <= 1
+    want_lo, want_hi = flat[max(math.ceil(0.005 * n), 1) - 1], flat[max(math.ceil(0.995 * n), 1) - 1]
+    for acc in (100, 100_000):  # a coarse sketch still gives the exact value
+        b = quantile_bounds(df, accuracy=acc).first()
+        assert (b["q_lo"], b["q_hi"]) == (want_lo, want_hi)
+    a = quantile_bounds(df, exact=False).first()
+    lo_rank = int(np.searchsorted(flat, a["q_lo"], side="right"))
+    assert abs(lo_rank - math.ceil(0.005 * n)) <= 1
     codes = quantize_int8(df).select("codes").collect()
     allc = np.array([c for r in codes for c in r["codes"]])
     assert allc.min() == -128 and allc.max() == 127
