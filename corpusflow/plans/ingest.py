@@ -149,16 +149,24 @@ def ingest_points(fx, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> D
 
 
 class IngestJob:
-    """Stateful D2 over snapshot tables in a shared folder (the checkpoint root by default)."""
+    """Stateful D2 over keyed tables in a shared folder (the checkpoint root by default).
 
-    def __init__(self, spark: SparkSession, root: str | None = None, skip_indexed: bool = True, model: str = "hashing", dim: int = 64):
+    Chunks and points are bucketed by ``doc_id``: a batch reads and rewrites
+    only the buckets of its own documents (chunk upsert, index check, point
+    upsert); the small collection registry is a versioned snapshot.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, skip_indexed: bool = True, model: str = "hashing",
+        dim: int = 64, buckets: int = 64,
+    ):
         self.spark = spark
         self.root = (root or f"{checkpoint_root(spark)}/corpusflow/ingest").rstrip("/")
         self.skip_indexed = skip_indexed
         self.model = model
         self.dim = dim
-        self.chunk_table = K.SnapshotTable(spark, f"{self.root}/chunks", K.CHUNK_SCHEMA)
-        self.point_table = K.SnapshotTable(spark, f"{self.root}/points", POINT_SCHEMA, partition_by=("collection",))
+        self.chunk_table = K.KeyedTable(spark, f"{self.root}/chunks", K.CHUNK_SCHEMA, "doc_id", buckets)
+        self.point_table = K.KeyedTable(spark, f"{self.root}/points", POINT_SCHEMA, "doc_id", buckets, ("collection",))
         self.registry_table = K.SnapshotTable(spark, f"{self.root}/collections", K.REGISTRY_SCHEMA)
 
     def run(self, docs: DataFrame, batch_id: int, now: Column | None = None) -> DataFrame:
@@ -167,25 +175,41 @@ class IngestJob:
             import datetime as dt
 
             now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-        done = self.registry_table.current_version()
-        if done is not None and done >= batch_id:  # batch already committed: replay is a no-op
-            return self.spark.createDataFrame([], "documents long, chunks long, embedded_chunks long, skipped_chunks long, batch_id int")
+        empty = "documents long, chunks long, embedded_chunks long, skipped_chunks long, batch_id int"
+        if batch_id in self.registry_table.committed_versions():  # batch fully committed: replay is a no-op
+            return self.spark.createDataFrame([], empty)
         staging = f"{self.root}/staging/batch={batch_id}"
-        prepared = prepare_documents(docs).where(F.col("text") != "")
-        chunk_rows(prepared).write.mode("overwrite").parquet(staging)
+        if batch_id not in self.chunk_table.committed():
+            prepared = prepare_documents(docs).where(F.col("text") != "")
+            chunk_rows(prepared).write.mode("overwrite").parquet(staging)
         chunks = self.spark.read.parquet(staging)
-
-        res = ingest_batch(
-            chunks, self.chunk_table.read(before=batch_id), self.point_table.read(before=batch_id),
-            self.registry_table.read(before=batch_id), now,
-            self.skip_indexed, self.model, self.dim,
+        seq = "_tb"
+        chunks = A.last_wins(chunks.withColumn(seq, F.xxhash64("text", "source")), ("collection", "doc_id", "chunk_id"), seq).drop(seq)
+
+        # the index check reads only the doc_id column of the batch's buckets
+        touched = sorted(r[0] for r in chunks.select(self.point_table.bucket_col().alias("b")).distinct().collect())
+        old_points = self.point_table.read_raw().where(F.col("bucket").isin(touched))  # partition pruning
+        indexed = old_points.select("collection", "doc_id").distinct()
+        flag = indexed.withColumn("_idx", F.lit(True))
+        hit = F.coalesce(F.col("_idx"), F.lit(False))
+        stats = chunks.join(flag, ["collection", "doc_id"], "left").agg(
+            F.count_if(F.col("chunk_id") == 0).alias("documents"),  # every chunked document has a chunk 0
+            F.count(F.lit(1)).alias("chunks"),
+            F.count_if(~hit).alias("embedded_chunks"),
+            F.count_if(hit).alias("skipped_chunks"),
+        ).withColumn("batch_id", F.lit(batch_id)).collect()  # one row
+
+        todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if self.skip_indexed else chunks
+        pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
+        self.point_table.upsert(pts, lambda old, b: K.upsert_points(old, b), batch_id)
+        rows = chunks.select("doc_id", "chunk_id", "text", "source", "title")
+        self.chunk_table.upsert(rows, lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id)
+        types = A.collect_source_types(chunks.select("collection", "source"), ("collection",))
+        reg = K.register_collections(
+            self.registry_table.read(before=batch_id), types.select(F.col("collection").alias("name"), "source_types"), now
         )
-        stats = res.stats.withColumn("batch_id", F.lit(batch_id)).collect()  # one row
-        version = batch_id
-        self.point_table.write(res.points, version)
-        self.chunk_table.write(res.chunks, version)
-        self.registry_table.write(res.registry, version)  # registry last: the batch is committed
-        return self.spark.createDataFrame(stats)
+        self.registry_table.write(reg, batch_id)  # registry last: the batch is committed
+        return self.spark.createDataFrame(stats, empty)
 
     def chunks(self) -> DataFrame:
         return self.chunk_table.read()
