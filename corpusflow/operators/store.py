@@ -223,9 +223,11 @@ class KeyedTable:
         if touched:
             old = self.read_raw().where(F.col("bucket").isin(touched)).select(*self.schema.fieldNames())
             merged = merge(old, batch.select(*[c for c in batch.columns])).withColumn("bucket", self.bucket_col())
-            # one writer per bucket: rows of a bucket meet in one task (no small files)
+            # rows of a bucket meet in few tasks (no small files); the rebalance hint lets
+            # AQE split a bucket that holds a hot document over several writers
             (
-                merged.select(*self.schema.fieldNames(), "bucket").repartition(*self.partition_by, "bucket").write.mode("overwrite")
+                merged.select(*self.schema.fieldNames(), "bucket").hint("rebalance", *self.partition_by, "bucket")
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by, "bucket").parquet(self.data)
             )
         self._log.write(self.spark.range(1).select(F.lit(version).alias("version")), version)

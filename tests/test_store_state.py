@@ -109,3 +109,27 @@ def test_snapshot_replay_is_noop(spark, scratch):
     t.write(K.upsert_chunks(t.read(before=1), df, _now(), seq=None), 1)
     assert t.current_version() == 1
     assert sorted(map(tuple, t.read().collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_keyed_table_rewrites_only_touched_buckets(spark, scratch):
+    import os
+
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=8)
+    rows = [(f"d{i}", c, f"t{i}-{c}", "s", "t", T0) for i in range(40) for c in range(3)]
+    merge = lambda old, b: K.upsert_chunks(old, b, _now(), seq=None)
+    assert t.upsert(_chunks(spark, rows), merge, 0)
+    root = scratch.replace("file:", "") + "/data"
+
+    def files():
+        return {d: set(fs) for d, _, fs in os.walk(root) if os.path.basename(d).startswith("bucket=")}
+
+    before = files()
+    one = _chunks(spark, [("d7", 0, "new", "s", "t", T0), ("d99", 0, "fresh", "s", "t", T0)])
+    assert t.upsert(one, merge, 1)
+    assert not t.upsert(one, merge, 1)  # replay of a committed batch
+    after = files()
+    changed = {d for d in after if after[d] != before.get(d)}
+    touched = {r[0] for r in one.select(t.bucket_col()).distinct().collect()}
+    assert changed == {os.path.join(root, f"bucket={b}") for b in touched}
+    got = {(r["doc_id"], r["chunk_id"]): r["text"] for r in t.read().collect()}
+    assert len(got) == 121 and got[("d7", 0)] == "new" and got[("d7", 1)] == "t7-1" and got[("d99", 0)] == "fresh"
