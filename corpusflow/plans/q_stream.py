@@ -116,3 +116,24 @@ def q_idempotent_replay(fx: Fixtures):
         diff = a.exceptAll(b).unionByName(b.exceptAll(a)).count()
         rows.append((name, a.count(), b.count(), diff))
     return fx.spark.createDataFrame(rows, "table string, rows_first long, rows_replayed long, differing_rows long")
+
+
+@query("changed_files_stateful", "T4", with_views("""
+SELECT l.file_id, l.name, l.modified_time FROM v_listing l
+WHERE NOT EXISTS (SELECT 1 FROM v_state s WHERE s.file_id = l.file_id AND s.modified_time IS NOT DISTINCT FROM l.modified_time)""",
+    "v_listing", "v_state"))
+def q_changed_files_stateful(fx: Fixtures):
+    """T4 with keyed streaming state (transformWithStateInPandas), seeded with the saved state."""
+    from ..streaming.stateful import changed_files_stateful
+
+    root = T.stream_root(fx.spark, "stateful")
+    listing = fx.v_listing(_docs_stream(fx))
+    out = changed_files_stateful(listing, fx.v_state())
+    q = (
+        out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    q.awaitTermination(TIMEOUT_S)
+    if q.exception():
+        raise q.exception()
+    return fx.spark.read.schema("file_id string, name string, modified_time string").parquet(f"{root}/out")

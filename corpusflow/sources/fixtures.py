@@ -156,7 +156,9 @@ class Fixtures:
 
     def v_cells(self) -> DataFrame:
         """Long format (doc, sheet, row, col, value); one source row per (doc, sheet, row)."""
-        li = self.table("lineitem").select(
+        from ..session import ensure_parallel
+
+        li = ensure_parallel(self.table("lineitem")).select(
             "l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus",
             "l_returnflag", "l_quantity",
         )
