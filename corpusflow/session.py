@@ -70,3 +70,31 @@ def ensure_parallel(df, factor: int = 2):
     except Exception:  # no RDD access (e.g. Spark Connect): keep the plan as is
         return df
     return df.repartition(slots * factor)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable on the executors' Python workers (like
+    ``--py-files``): zip the package once per SparkContext and ``addPyFile`` it."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    out = os.path.join(tempfile.mkdtemp(prefix="corpusflow-code-"), "corpusflow.zip")
+    with open(out, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
