@@ -160,10 +160,17 @@ class SnapshotTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.root}/data/v={v}")
-        marker = self.spark.range(1).select(F.lit(v).cast("long").alias("version"), F.current_timestamp().alias("committed_at"))
-        marker.write.mode("overwrite").parquet(f"{self.root}/commits/v={v}")
+        self.mark(v)
         return v
 
+    def mark(self, version: int) -> None:
+        """Commit marker: an empty ``commits/v=N/_SUCCESS`` created through the
+        session's Hadoop file system (after the data is fully written)."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/v={version}/_SUCCESS")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.create(path, True).close()
+
 
 class KeyedTable:
     """Upsert target laid out as hash buckets of a key column (Hive partitions
@@ -214,12 +221,15 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self.read_raw().select(*self.schema.fieldNames())
 
-    def upsert(self, batch: DataFrame, merge, version: int) -> bool:
+    def touched(self, batch: DataFrame) -> list[int]:
+        """Buckets of a batch: at most ``buckets`` small ints."""
+        return sorted(r[0] for r in batch.select(self.bucket_col().alias("b")).distinct().collect())
+
+    def upsert(self, batch: DataFrame, merge, version: int, touched: list[int] | None = None) -> bool:
         """Apply ``merge(old_rows_of_touched_buckets, batch)`` for batch ``version``; False if already applied."""
         if version in self.committed():
             return False
-        b = batch.withColumn("bucket", self.bucket_col())
-        touched = sorted(r[0] for r in b.select("bucket").distinct().collect())  # at most `buckets` ints
+        touched = self.touched(batch) if touched is None else touched
         if touched:
             old = self.read_raw().where(F.col("bucket").isin(touched)).select(*self.schema.fieldNames())
             merged = merge(old, batch.select(*[c for c in batch.columns])).withColumn("bucket", self.bucket_col())
@@ -230,5 +240,5 @@ class KeyedTable:
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by, "bucket").parquet(self.data)
             )
-        self._log.write(self.spark.range(1).select(F.lit(version).alias("version")), version)
+        self._log.mark(version)
         return True

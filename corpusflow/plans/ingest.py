@@ -165,6 +165,7 @@ class IngestJob:
         self.skip_indexed = skip_indexed
         self.model = model
         self.dim = dim
+        # the same key and bucket count for both tables: one list of touched buckets serves both
         self.chunk_table = K.KeyedTable(spark, f"{self.root}/chunks", K.CHUNK_SCHEMA, "doc_id", buckets)
         self.point_table = K.KeyedTable(spark, f"{self.root}/points", POINT_SCHEMA, "doc_id", buckets, ("collection",))
         self.registry_table = K.SnapshotTable(spark, f"{self.root}/collections", K.REGISTRY_SCHEMA)
@@ -187,7 +188,7 @@ class IngestJob:
         chunks = A.last_wins(chunks.withColumn(seq, F.xxhash64("text", "source")), ("collection", "doc_id", "chunk_id"), seq).drop(seq)
 
         # the index check reads only the doc_id column of the batch's buckets
-        touched = sorted(r[0] for r in chunks.select(self.point_table.bucket_col().alias("b")).distinct().collect())
+        touched = self.point_table.touched(chunks)  # same key and bucket count for chunks and points
         old_points = self.point_table.read_raw().where(F.col("bucket").isin(touched))  # partition pruning
         indexed = old_points.select("collection", "doc_id").distinct()
         flag = indexed.withColumn("_idx", F.lit(True))
@@ -201,9 +202,9 @@ class IngestJob:
 
         todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if self.skip_indexed else chunks
         pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
-        self.point_table.upsert(pts, lambda old, b: K.upsert_points(old, b), batch_id)
+        self.point_table.upsert(pts, lambda old, b: K.upsert_points(old, b), batch_id, touched)
         rows = chunks.select("doc_id", "chunk_id", "text", "source", "title")
-        self.chunk_table.upsert(rows, lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id)
+        self.chunk_table.upsert(rows, lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id, touched)
         types = A.collect_source_types(chunks.select("collection", "source"), ("collection",))
         reg = K.register_collections(
             self.registry_table.read(before=batch_id), types.select(F.col("collection").alias("name"), "source_types"), now
