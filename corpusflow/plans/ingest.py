@@ -15,6 +15,7 @@ upserts), so re-running after a failure is safe.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,11 @@ from ..operators import store as K
 from ..operators.filters import iso_utc
 from ..session import checkpoint_root
 
+LOG_SCHEMA = (
+    "batch_id int, ts timestamp, source_type string, collection string, n_docs long, n_chunks long, "
+    "embed_requests long, embed_errors long, skipped long, duration_s double, ok boolean"
+)
+
 POINT_SCHEMA = T.StructType([
     T.StructField("collection", T.StringType(), False),
     T.StructField("point_id", T.DecimalType(20, 0), False),
@@ -176,6 +182,7 @@ class IngestJob:
             import datetime as dt
 
             now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+        started = time.time()
         empty = "documents long, chunks long, embedded_chunks long, skipped_chunks long, batch_id int"
         if batch_id in self.registry_table.committed_versions():  # batch fully committed: replay is a no-op
             return self.spark.createDataFrame([], empty)
@@ -193,12 +200,13 @@ class IngestJob:
         indexed = old_points.select("collection", "doc_id").distinct()
         flag = indexed.withColumn("_idx", F.lit(True))
         hit = F.coalesce(F.col("_idx"), F.lit(False))
-        stats = chunks.join(flag, ["collection", "doc_id"], "left").agg(
+        # batch counters per (collection, source type): a handful of rows
+        per_type = chunks.join(flag, ["collection", "doc_id"], "left").groupBy("collection", "source_type").agg(
             F.count_if(F.col("chunk_id") == 0).alias("documents"),  # every chunked document has a chunk 0
             F.count(F.lit(1)).alias("chunks"),
             F.count_if(~hit).alias("embedded_chunks"),
             F.count_if(hit).alias("skipped_chunks"),
-        ).withColumn("batch_id", F.lit(batch_id)).collect()  # one row
+        ).collect()
 
         todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if self.skip_indexed else chunks
         pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
@@ -210,8 +218,33 @@ class IngestJob:
             self.registry_table.read(before=batch_id), types.select(F.col("collection").alias("name"), "source_types"), now
         )
         self.registry_table.write(reg, batch_id)  # registry last: the batch is committed
+        self._log_batch(batch_id, per_type, time.time() - started)
+        stats = [(
+            sum(r["documents"] for r in per_type), sum(r["chunks"] for r in per_type),
+            sum(r["embedded_chunks"] for r in per_type), sum(r["skipped_chunks"] for r in per_type), batch_id,
+        )]
         return self.spark.createDataFrame(stats, empty)
 
+    def _log_batch(self, batch_id: int, per_type: list, seconds: float) -> None:
+        """Append this batch to the ingest log (the input of the metric operators A6-A10)."""
+        import datetime as dt
+
+        ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = [
+            (batch_id, ts, r["source_type"], r["collection"], r["documents"], r["embedded_chunks"],
+             -(-r["embedded_chunks"] // EMBED_BATCH), 0, r["skipped_chunks"], float(seconds), True)
+            for r in per_type
+        ]
+        self.spark.createDataFrame(rows, LOG_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/log/batch={batch_id}")
+
+    def ingest_log(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log")
+        except Exception as e:  # nothing ingested yet
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return self.spark.createDataFrame([], LOG_SCHEMA)
+            raise
+
     def chunks(self) -> DataFrame:
         return self.chunk_table.read()
 

@@ -39,3 +39,21 @@ def test_change_detection_stream_matches_batch(spark):
     b = changed_files(fx.v_listing(), fx.v_state()).select("file_id", "name", "modified_time")
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, b.collect()))
     assert s.where(F.col("file_id").isNull()).count() == 0
+
+
+def test_ingest_log_feeds_metrics(spark, scratch):
+    from corpusflow.operators import metrics as M
+    from corpusflow.plans.ingest import IngestJob
+
+    fx = Fixtures(spark, SF_SMALL)
+    job = IngestJob(spark, scratch)
+    docs = fx.v_docs().select("text", "source", "title")
+    job.run(docs, 0)
+    job.run(docs, 1)
+    log = job.ingest_log()
+    by_batch = {r["batch_id"]: r for r in log.groupBy("batch_id").agg(F.sum("n_docs").alias("d"), F.sum("n_chunks").alias("c"), F.sum("skipped").alias("s")).collect()}
+    n = job.chunks().count()
+    assert by_batch[0]["c"] == n and by_batch[0]["s"] == 0
+    assert by_batch[1]["c"] == 0 and by_batch[1]["s"] == n
+    lines = [r["line"] for r in M.metrics_exposition(M.all_metrics(log)).collect()]
+    assert any(line.startswith("chunks_created_total{collection=\"documents\"}") for line in lines)
