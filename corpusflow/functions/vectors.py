@@ -22,17 +22,22 @@ def l2_normalize(v: Column | str) -> Column:
 
 
 def exact_quantiles(
-    values: DataFrame, col: str, by: tuple[str, ...], qs: tuple[float, ...], accuracy: int = 100_000
+    values: DataFrame, col: str, by: tuple[str, ...], qs: tuple[float, ...], accuracy: int = 100_000,
+    max_bracket: int = 2_000_000,
 ) -> DataFrame:
     """Exact order statistics per group: for each q the value of rank ``max(ceil(q*n), 1)``.
 
-    Distributed and with bounded memory, in three steps:
+    Distributed, with memory bounded independently of the group size:
     1. one aggregation gives ``n`` and, from a mergeable sketch, two values per q
        that bracket the target rank (rank error of the sketch <= n/accuracy);
-    2. one pass aggregates the values inside each bracket to (value, count) rows
-       -- at most ~6n/accuracy of them -- plus one row counting those below;
-    3. a running sum over those few rows picks the exact value.
-    A bracket that missed its rank (the sketch bound failed) raises instead of
+    2. while a bracket may hold more than ``max_bracket`` values (huge groups),
+       one pass counts the values below and inside it and takes a 1,000-point
+       quantile grid of the inside values; the grid cell holding the rank is the
+       new, ~1,000x narrower bracket (a few passes even for trillions of values);
+    3. one pass aggregates the values inside each bracket to (value, count) rows
+       plus one row counting those below; a running sum picks the exact value.
+    Only one row per (group, quantile) reaches the driver between passes. A
+    bracket that missed its rank (the sketch bound failed) raises instead of
     returning a wrong value.
     """
     from decimal import Decimal
@@ -41,20 +46,48 @@ def exact_quantiles(
     probs = []
     for q in qs:
         probs += [max(q - eps, 0.0), min(q + eps, 1.0)]
-    stats = values.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx(col, probs, accuracy).alias("_br")
-    )
+    stats = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(col, probs, accuracy).alias("_br"))
     rows = []
-    for i, q in enumerate(qs):
-        k = F.greatest(F.ceil(F.col("_n") * F.lit(Decimal(str(q)))), F.lit(1)).cast("long")
-        rows.append(stats.select(*by, F.lit(i).alias("_qi"), k.alias("_k"),
-                                 F.col("_br")[2 * i].alias("_lo"), F.col("_br")[2 * i + 1].alias("_hi")))
-    targets = rows[0]
-    for r in rows[1:]:
-        targets = targets.unionByName(r)
+    for r in stats.collect():  # one row per group
+        for i, q in enumerate(qs):
+            k = max(int((Decimal(r["_n"]) * Decimal(str(q))).to_integral_value(rounding="ROUND_CEILING")), 1)
+            est = min(r["_n"], int(8 * r["_n"] / accuracy) + 1)  # values a bracket may hold
+            rows.append([*(r[c] for c in by), i, k, float(r["_br"][2 * i]), float(r["_br"][2 * i + 1]), est])
+    spark = values.sparkSession
+    schema = ", ".join(f"`{c}` {dict(values.dtypes)[c]}" for c in by) + ", _qi int, _k long, _lo double, _hi double, _est long"
+    for _ in range(8):
+        big = [r for r in rows if r[-1] > max_bracket]
+        if not big:
+            break
+        rows = [r for r in rows if r[-1] <= max_bracket] + _narrow(values, col, by, spark.createDataFrame(big, schema))
+    targets = spark.createDataFrame(rows, schema).drop("_est")
     return _select_ranks(values, col, by, targets)
 
 
+def _narrow(values: DataFrame, col: str, by: tuple[str, ...], big: DataFrame, grid: int = 1000) -> list:
+    """One pass over the values: count below/inside each wide bracket and sketch the inside values."""
+    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(big), list(by))
+    inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
+    cuts = [i / grid for i in range(grid + 1)]
+    agg = j.groupBy(*by, "_qi", "_k", "_lo", "_hi").agg(
+        F.count_if(F.col("_x") < F.col("_lo")).alias("_below"),
+        F.count_if(inside).alias("_in"),
+        F.percentile_approx(F.when(inside, F.col("_x")), cuts, 10 * grid).alias("_g"),
+    )
+    out = []
+    for r in agg.collect():  # one row per wide bracket
+        need = r["_k"] - r["_below"]  # rank inside the bracket
+        g, n_in = r["_g"], r["_in"]
+        if not g or need < 1 or need > n_in:
+            out.append([*(r[c] for c in by), r["_qi"], r["_k"], r["_lo"], r["_hi"], 0])  # let the final check decide
+            continue
+        pos = need / n_in * grid
+        lo_i, hi_i = max(int(pos) - 2, 0), min(int(pos) + 3, grid)
+        est = int(n_in * (hi_i - lo_i) / grid) + 1
+        out.append([*(r[c] for c in by), r["_qi"], r["_k"], float(g[lo_i]), float(g[hi_i]), est])
+    return out
+
+
 def _select_ranks(values: DataFrame, col: str, by: tuple[str, ...], targets: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 

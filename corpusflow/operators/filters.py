@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import EXPORT_MAP
-from ..functions.text import is_blank, is_supported, stem, suffix
+from ..functions.text import is_blank, is_supported, stem
 
 
 def filter_supported(files: DataFrame, name: str = "name") -> DataFrame:
@@ -78,5 +78,5 @@ def reference_payload(chunks: DataFrame, created_at: Column) -> DataFrame:
 
 __all__ = [
     "filter_supported", "plan_export", "drop_empty_text", "drop_blank_chunks", "build_documents",
-    "reference_payload", "iso_utc", "suffix",
+    "reference_payload", "iso_utc",
 ]

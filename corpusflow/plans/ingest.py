@@ -28,7 +28,6 @@ from ..functions.constants import CHUNK_OVERLAP, CHUNK_SIZE, DEFAULT_COLLECTION,
 from ..functions.embedding import embed_col
 from ..functions.text import source_type
 from ..operators import aggregates as A
-from ..operators import joins as J
 from ..operators import store as K
 from ..operators.filters import iso_utc
 from ..session import checkpoint_root

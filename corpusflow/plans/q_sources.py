@@ -13,7 +13,7 @@ from ..sources import scans as S
 from ..session import ensure_parallel
 from ..sources.fixtures import BATCH_TS, Fixtures
 from . import oracle_sql as Q
-from .oracle_views import NL, WS, py_strip, with_views
+from .oracle_views import NL, with_views
 from .registry import query
 
 # -- S1 ---------------------------------------------------------------------------------------
@@ -296,8 +296,6 @@ def q_reference_payload(fx: Fixtures):
     return p.select("payload.doc_id", "payload.chunk_id", "payload.source", "payload.title", "payload.created_at")
 
 
-__all__ = ["WS", "py_strip"]
-
 
 # -- U1: drive files + web pages as one document table ---------------------------------------------
 

@@ -62,3 +62,16 @@ def test_metrics_histogram_cumulative_and_exposition(spark):
     assert "embed_errors_total 1" in lines
     t = M.embed_throughput(log.where(F.lit(False))).collect()
     assert t == []
+
+
+def test_exact_quantiles_narrow_huge_brackets(spark):
+    from corpusflow.functions.vectors import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=20000)
+    df = spark.createDataFrame([("g", float(v)) for v in x], "g string, x double")
+    srt = np.sort(x)
+    # a tiny max_bracket forces the narrowing passes
+    got = {r["_qi"]: r["value"] for r in exact_quantiles(df, "x", ("g",), (0.005, 0.5, 0.995), accuracy=50, max_bracket=100).collect()}
+    for i, q in enumerate((0.005, 0.5, 0.995)):
+        assert got[i] == srt[max(math.ceil(q * len(x)), 1) - 1]
