@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import ALL_SUFFIXES, BINARY_SUFFIXES
-from ..functions.html import html_text, html_title
+from ..functions.html import html_text, html_text_exact, html_title
 from ..functions.text import is_blank, stem, suffix
 from ..functions.titles import first_line_title, or_stem, rst_title
 
@@ -69,14 +69,15 @@ def file_kind(name: Column | str) -> Column:
     return F.lower(suffix(name))
 
 
-def extract_text_files(files: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
-    """Text and HTML kinds (native); other kinds get empty text and title here."""
+def extract_text_files(files: DataFrame, name: str = "name", content: str = "content", exact_html: bool = False) -> DataFrame:
+    """Text and HTML kinds (native; ``exact_html`` parses HTML with the stdlib
+    tokenizer in an Arrow UDF); other kinds get empty text and title here."""
     kind = file_kind(F.col(name))
     st = stem(F.col(name))
     c = F.col(content)
     text = (
         F.when(kind.isin(".md", ".txt", ".adoc", ".rst"), c)
-        .when(kind.isin(".html", ".htm"), html_text(c, NL))
+        .when(kind.isin(".html", ".htm"), html_text_exact(c, NL) if exact_html else html_text(c, NL))
         .otherwise(F.lit(""))
     )
     title = (
@@ -97,7 +98,7 @@ def lines_as_parts(files: DataFrame, key: str = "name", content: str = "content"
     )
 
 
-def extract_documents(files: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
+def extract_documents(files: DataFrame, name: str = "name", content: str = "content", exact_html: bool = False) -> DataFrame:
     """``name, kind, text, title`` for every file.
 
     Text-like kinds are narrow expressions. For PDF/DOCX/PPTX/XLSX the content
@@ -109,7 +110,9 @@ def extract_documents(files: DataFrame, name: str = "name", content: str = "cont
 
     kind = file_kind(F.col(name))
     base = ensure_parallel(files).select(F.col(name).alias("name"), F.col(content).alias("content"), kind.alias("kind"))
-    direct = extract_text_files(base.where(~F.col("kind").isin(*BINARY_SUFFIXES))).select("name", "kind", "text", "title")
+    direct = extract_text_files(base.where(~F.col("kind").isin(*BINARY_SUFFIXES)), exact_html=exact_html).select(
+        "name", "kind", "text", "title"
+    )
 
     binary = base.where(F.col("kind").isin(*BINARY_SUFFIXES))
     parts = binary.select("name", "kind", F.posexplode(F.split(F.col("content"), NL)).alias("ord", "text"))

@@ -99,3 +99,13 @@ def test_scan_tree_on_storage(spark, tmp_path):
     assert got == {"docs/a/x.md": "# X\nbody�", "docs/y.TXT": "y"}
     allmd = {r["path"] for r in scan_tree(spark, str(tmp_path), "**/*.md").collect()}
     assert allmd == {"docs/a/x.md", "top.md"}
+
+
+def test_exact_html_mode(spark):
+    from corpusflow.sources.scans import scan_pages
+
+    pages = spark.createDataFrame(
+        [("u1", "text/html", "<nav></p>a</nav>b"), ("u2", "text/plain", "plain")], "url string, content_type string, body string"
+    )
+    got = {r["source"]: r["text"] for r in scan_pages(pages, exact_html=True).collect()}
+    assert got == {"u1": "b", "u2": "plain"}
