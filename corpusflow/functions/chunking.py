@@ -193,12 +193,13 @@ def chunk_documents(
     from ..session import ensure_parallel
 
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
-    spans = ensure_parallel(docs).select(*keep, F.col(text_col).alias("_t"), chunk_span_col(text_col, size, overlap).alias("_s"))
-    # posexplode_outer: a plain posexplode makes Catalyst infer ``size(_s) > 0`` and
+    t = F.col(text_col)
+    # Chunks are cut on the JVM into an array *before* the explode, so the
+    # document text is dropped ahead of the generator: a chunk row never carries
+    # a copy of its whole document (which would cost O(len^2 / size) for long texts).
+    cut = F.transform(chunk_span_col(text_col, size, overlap), lambda sp: F.substring(t, sp["b"] + 1, sp["e"] - sp["b"]))
+    arrays = ensure_parallel(docs).select(*keep, cut.alias("_c"))
+    # posexplode_outer: a plain posexplode makes Catalyst infer ``size(_c) > 0`` and
     # push it below the repartition, which would run the splitter twice.
-    exploded = spans.select(*keep, "_t", F.posexplode_outer("_s").alias("chunk_id", "_sp")).where(F.col("_sp").isNotNull())
-    return exploded.select(
-        *keep,
-        F.col("chunk_id").cast("int").alias("chunk_id"),
-        F.substring(F.col("_t"), F.col("_sp.b") + 1, F.col("_sp.e") - F.col("_sp.b")).alias(chunk_col),
-    )
+    exploded = arrays.select(*keep, F.posexplode_outer("_c").alias("chunk_id", chunk_col)).where(F.col(chunk_col).isNotNull())
+    return exploded.select(*keep, F.col("chunk_id").cast("int").alias("chunk_id"), chunk_col)
