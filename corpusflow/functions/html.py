@@ -47,8 +47,12 @@ def html_text(html: Column | str, sep: str = "\n") -> Column:
     raw_tags = "|".join(t for t in HTML_SKIP_TAGS if t in ("script", "style"))
     flag_tags = "|".join(t for t in HTML_SKIP_TAGS if t not in ("script", "style"))
     h = F.regexp_replace(h, rf"(?is)<({raw_tags})\b[^>]*>.*?</({raw_tags})\s*>", _SEP)
+    # a skip tag hides text up to the next start tag or listed end tag; comments and
+    # other end tags inside do not change the flag, so the hidden region runs through them
+    listed = "|".join(HTML_SKIP_TAGS)
+    through = rf"(?:[^<]|<!--.*?-->|</(?!(?:{listed})\b)[a-zA-Z][^>]*>)*"
+    h = F.regexp_replace(h, rf"(?is)<({flag_tags})\b[^>]*>{through}", _SEP)
     h = F.regexp_replace(h, r"(?s)<!--.*?-->", _SEP)
-    h = F.regexp_replace(h, rf"(?i)<({flag_tags})\b[^>]*>[^<]*", _SEP)
     parts = F.split(h, f"{_SEP}|<[^>]*>")
 
     def clean(x: Column) -> Column:

@@ -50,6 +50,21 @@ def test_exact_parser_rules(html, want):
     assert parse_text(html) == want
 
 
+NATIVE_CASES = HTML_CASES[:5] + [
+    ("<nav></p>a</nav>b", "b"),
+    ("<nav>a<!-- c -->b</nav>c", "c"),
+    ("<footer>x</span>y<b>z</b>", "z"),
+    ("<p>keep<!-- hidden --> more</p>", "keep\nmore"),
+]
+
+
+def test_native_rules(spark):
+    df = spark.createDataFrame([(h,) for h, _ in NATIVE_CASES], "h string")
+    got = [r["t"] for r in df.select(html_text("h").alias("t")).collect()]
+    assert got == [w for _, w in NATIVE_CASES]
+    assert got == [parse_text(h) for h, _ in NATIVE_CASES]
+
+
 def test_native_equals_exact_on_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = df.select(html_text("html").alias("a"), html_text_exact("html").alias("b")).collect()
