@@ -56,8 +56,9 @@ def html_text(html: Column | str, sep: str = "\n") -> Column:
     parts = F.split(h, f"{_SEP}|<[^>]*>")
 
     def clean(x: Column) -> Column:
+        # these names also decode without the ';' (legacy forms), as the tokenizer does
         for ent, ch in ENTITIES:
-            x = F.replace(x, F.lit(ent), F.lit(ch))
+            x = F.regexp_replace(x, ent[:-1] + ";?", ch)
         return py_strip(x)
 
     kept = F.filter(F.transform(parts, lambda x: clean(x)), lambda x: x != "")

@@ -29,12 +29,20 @@ def html_title(h: str) -> str:
     return py_strip(f"regexp_extract({h}, '(?is)<title[^>]*>(.*?)</title>', 1)")
 
 
+# entity name -> SQL replacement; &amp; last
+ENTITIES_SQL = (
+    ("&lt", "'<'"), ("&gt", "'>'"), ("&quot", "'\"'"), ("&#39", "''''"), ("&nbsp", "chr(160)"), ("&amp", "'&'"),
+)
+
+
 def html_text(h: str, sep_sql: str) -> str:
     x = f"regexp_replace({h}, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)\\s*>', chr(1), 'g')"
     x = f"regexp_replace({x}, '(?s)<!--.*?-->', chr(1), 'g')"
     x = f"regexp_replace({x}, '(?i)<(nav|header|footer)\\b[^>]*>[^<]*', chr(1), 'g')"
     parts = f"string_split_regex({x}, chr(1) || '|<[^>]*>')"
-    dec = "replace(replace(replace(replace(replace(replace(p, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
+    dec = "p"
+    for ent, ch in ENTITIES_SQL:  # also without ';' (legacy forms)
+        dec = f"regexp_replace({dec}, '{ent};?', {ch}, 'g')"
     cleaned = f"list_transform({parts}, lambda p: {py_strip(dec)})"
     return f"array_to_string(list_filter({cleaned}, lambda q: q <> ''), {sep_sql})"
 

@@ -66,7 +66,7 @@ def test_native_rules(spark):
 
 
 def test_native_equals_exact_on_pages(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     rows = df.select(html_text("html").alias("a"), html_text_exact("html").alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows)
 
