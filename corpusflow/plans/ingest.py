@@ -5,18 +5,19 @@ documents -> doc_id (F1) -> chunks (F7, P4, W1) -> chunk table upsert (K1)
 -> embed (D1) -> point ids and payload (F2, P6) -> point upsert (K3)
 -> batch metrics (A3-A5).
 
-``ingest_batch`` is pure: old tables in, new tables out. ``IngestJob`` adds
-storage: the batch's chunks are written once to the shared checkpoint folder
-(so the Python chunker never re-runs when a later stage retries, and lineage
-is cut), then the new chunk, point and registry snapshots are written and
-committed. A replayed batch produces the same rows (deterministic ids,
-upserts), so re-running after a failure is safe.
+``prepare_documents``, ``chunk_rows`` and ``embed_points`` are pure
+DataFrame steps (``ingest_points`` composes them read-only). ``IngestJob``
+adds storage: the batch's chunks are written once to the shared checkpoint
+folder (so the Python chunker never re-runs when a later stage retries, and
+lineage is cut), then the point and chunk tables are upserted bucket by
+bucket and the registry snapshot commits the batch. A replayed batch produces
+the same rows (deterministic ids, upserts), so re-running after a failure is
+safe.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,61 +85,6 @@ def embed_points(chunks: DataFrame, now: Column, model: str = "hashing", dim: in
     )
 
 
-@dataclass
-class IngestResult:
-    chunks: DataFrame  # new chunk table
-    points: DataFrame  # new point table
-    registry: DataFrame  # new collection registry
-    new_points: DataFrame  # points written by this batch
-    stats: DataFrame  # one row of batch counters
-
-
-def ingest_batch(
-    chunks: DataFrame,
-    old_chunks: DataFrame,
-    old_points: DataFrame,
-    old_registry: DataFrame,
-    now: Column,
-    skip_indexed: bool = True,
-    model: str = "hashing",
-    dim: int = 64,
-) -> IngestResult:
-    """Pure core of D2 on an already chunked batch (see ``chunk_rows``).
-
-    Two documents with one source share a ``doc_id``; their chunks collide on
-    the key. One row per key survives (a deterministic choice by a hash of the
-    text, or the ``seq`` column when the batch has one), decided inside the
-    key exchange the upsert needs anyway, so no extra shuffle is added.
-    """
-    seq = "seq" if "seq" in chunks.columns else "_tb"
-    keyed = chunks if seq == "seq" else chunks.withColumn("_tb", F.xxhash64("text", "source"))
-    chunks = A.last_wins(keyed, ("collection", "doc_id", "chunk_id"), seq).drop("_tb")
-    store_rows = chunks.select("doc_id", "chunk_id", "text", "source", "title")
-    new_chunk_table = K.upsert_chunks(old_chunks, store_rows, now, seq=None)
-
-    types = A.collect_source_types(chunks.select("collection", "source"), ("collection",))
-    new_registry = K.register_collections(old_registry, types.select(F.col("collection").alias("name"), "source_types"), now)
-
-    if skip_indexed:
-        indexed = old_points.select("collection", "doc_id").where(F.col("doc_id") != "").distinct()
-        todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti")
-    else:
-        todo = chunks
-    pts = embed_points(todo, now, model, dim)
-    new_points = K.upsert_points(old_points.select(*POINT_SCHEMA.fieldNames()), pts.select(*POINT_SCHEMA.fieldNames()))
-
-    flag = old_points.select("collection", "doc_id").distinct().withColumn("_idx", F.lit(True)) if skip_indexed else None
-    j = chunks.join(flag, ["collection", "doc_id"], "left") if flag is not None else chunks.withColumn("_idx", F.lit(None))
-    hit = F.coalesce(F.col("_idx"), F.lit(False))
-    stats = j.agg(
-        F.count_if(F.col("chunk_id") == 0).alias("documents"),  # every chunked document has a chunk 0
-        F.count(F.lit(1)).alias("chunks"),
-        F.count_if(~hit).alias("embedded_chunks"),
-        F.count_if(hit).alias("skipped_chunks"),
-    )
-    return IngestResult(new_chunk_table, new_points, new_registry, pts, stats)
-
-
 def ingest_points(fx, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Flagship read-only plan over the fixtures: documents of all three source
     families -> chunks -> embedded points (no tables written)."""
