@@ -1,10 +1,12 @@
 """Polling ingestion as Structured Streaming jobs.
 
 Every job is ``readStream`` -> ``foreachBatch`` with a checkpoint in the
-shared checkpoint folder. Each micro-batch is applied to snapshot tables
-under version ``base + batch_id``; a version that is already committed is
-skipped, so a restarted query (after a crash or lost executors) replays its
-last batch without duplicating anything (T5).
+shared checkpoint folder. Micro-batch ``batch_id`` is applied as ingest batch
+``base + batch_id`` (``base`` is fixed per checkpoint). A batch with a commit
+marker is skipped, and a half-applied one is re-applied by idempotent upserts.
+So a restarted query (after a crash or lost executors) replays its last batch
+without duplicating anything (T5). ``supervise`` restarts a failed query from
+its checkpoint: the failed cycle is logged and the loop goes on.
 
 * T1 ``start_ingest_stream``: processing-time trigger (default 15 minutes).
 * T2 ``ingest_now``: ``availableNow`` on the same checkpoint, waits for the end.
@@ -131,3 +133,26 @@ def stream_root(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_root(spark)}/corpusflow/streams/{name}-{uuid.uuid4().hex}"
+
+
+def supervise(start: Callable[[], StreamingQuery], max_restarts: int = 3, wait_s: float = 5.0, log=print) -> StreamingQuery:
+    """T1 "a failed cycle is logged and the loop goes on": run a streaming query and
+    restart it from its checkpoint after a failure. The failed micro-batch is
+    replayed on restart, and the sinks are idempotent, so nothing is lost or
+    doubled. Returns the last query (stopped, or running when no failure occurred
+    before ``awaitTermination`` returned)."""
+    import time
+
+    q = start()
+    for attempt in range(max_restarts + 1):
+        try:
+            q.awaitTermination()
+        except Exception as e:  # the query died; its checkpoint keeps the progress
+            log(f"stream {q.name or q.id} failed (attempt {attempt + 1}): {str(e)[:300]}")
+            if attempt == max_restarts:
+                raise
+            time.sleep(wait_s)
+            q = start()
+            continue
+        return q
+    return q

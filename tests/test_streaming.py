@@ -57,3 +57,26 @@ def test_ingest_log_feeds_metrics(spark, scratch):
     assert by_batch[1]["c"] == 0 and by_batch[1]["s"] == n
     lines = [r["line"] for r in M.metrics_exposition(M.all_metrics(log)).collect()]
     assert any(line.startswith("chunks_created_total{collection=\"documents\"}") for line in lines)
+
+
+def test_supervised_stream_replays_failed_batch(spark, scratch):
+    from corpusflow.plans.ingest import IngestJob
+    from corpusflow.streaming import jobs as T
+
+    fx = Fixtures(spark, SF_SMALL)
+    job = IngestJob(spark, f"{scratch}/tables")
+    state = {"fail": True}
+
+    def prepare(batch):
+        if state["fail"]:  # first attempt of the first batch fails
+            state["fail"] = False
+            raise RuntimeError("embedding service unavailable")
+        return fx.v_docs(batch).select("text", "source", "title")
+
+    def start():
+        stream = T.file_stream(spark, SF_SMALL, T.DOCUMENT_SCHEMA, file_glob="documents.parquet")
+        return T.start_ingest_stream(stream, job, f"{scratch}/ckpt", {"availableNow": True}, prepare)
+
+    T.supervise(start, max_restarts=2, wait_s=0.1, log=lambda m: None)
+    n = chunk_rows(prepare_documents(fx.v_docs().select("text", "source", "title"))).count()
+    assert job.chunks().count() == n and job.points().count() == n
