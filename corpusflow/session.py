@@ -93,8 +93,21 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    out = os.path.join(tempfile.mkdtemp(prefix="corpusflow-code-"), "corpusflow.zip")
-    with open(out, "wb") as fh:
-        fh.write(buf.getvalue())
+    data = buf.getvalue()
+    try:  # the shared folder, written through the session's Hadoop file system
+        import hashlib
+
+        out = f"{checkpoint_root(spark)}/corpusflow/code/corpusflow-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(out)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            stream = fs.create(path, True)
+            stream.write(bytearray(data))
+            stream.close()
+    except Exception:  # no shared file system reachable from Python: ship from the driver
+        out = os.path.join(tempfile.mkdtemp(prefix="corpusflow-code-"), "corpusflow.zip")
+        with open(out, "wb") as fh:
+            fh.write(data)
     sc.addPyFile(out)
     _SHIPPED.add(key)
