@@ -80,3 +80,18 @@ def test_supervised_stream_replays_failed_batch(spark, scratch):
     T.supervise(start, max_restarts=2, wait_s=0.1, log=lambda m: None)
     n = chunk_rows(prepare_documents(fx.v_docs().select("text", "source", "title"))).count()
     assert job.chunks().count() == n and job.points().count() == n
+
+
+def test_colliding_sources_keep_one_document(spark, scratch):
+    from corpusflow.plans.ingest import IngestJob
+
+    docs = spark.createDataFrame(
+        [("alpha text. " * 200, "gdrive://same.md", "A"), ("beta words " * 300, "gdrive://same.md", "B"), ("solo", "gdrive://x.md", "")],
+        "text string, source string, title string",
+    )
+    job = IngestJob(spark, scratch)
+    job.run(docs, 0)
+    ch = job.chunks()
+    assert ch.groupBy("doc_id", "chunk_id").count().where("count > 1").count() == 0
+    assert ch.select("title").distinct().count() == 2  # one of A/B survives whole, plus the solo document
+    assert job.points().count() == ch.count()
