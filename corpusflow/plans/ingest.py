@@ -137,7 +137,7 @@ class IngestJob:
             # Two documents with one source share a doc_id (Q10). A check on the ids
             # alone (small shuffle) decides; only then is the document set reduced
             # to one per id -- a deterministic choice by a hash of the text.
-            collide = prepared.groupBy("collection", "doc_id").count().where("count > 1").limit(1).count() > 0
+            collide = prepared.groupBy("collection", "source").count().where("count > 1").limit(1).count() > 0  # doc_id = f(source)
             if collide:
                 keyed = prepared.withColumn("_tb", F.xxhash64("text"))
                 prepared = A.last_wins(keyed, ("collection", "doc_id"), "_tb").drop("_tb")
@@ -160,9 +160,19 @@ class IngestJob:
 
         todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if self.skip_indexed else chunks
         pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
-        self.point_table.upsert(pts, lambda old, b: K.upsert_points(old, b), batch_id, touched)
-        rows = chunks.select("doc_id", "chunk_id", "text", "source", "title")
-        self.chunk_table.upsert(rows, lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id, touched)
+        # points: only the buckets of the chunks that were embedded (none on a replay)
+        pts_buckets = self.point_table.touched(todo) if self.skip_indexed else touched
+        self.point_table.upsert(pts, lambda old, b: K.upsert_points(old, b), batch_id, pts_buckets)
+        # chunks: only buckets holding a new or changed row are rewritten, so re-ingesting
+        # unchanged content (e.g. web pages fetched every poll) rewrites nothing
+        cols = ["doc_id", "chunk_id", "text", "source", "title"]
+        rows = chunks.select(*cols)
+        stored = self.chunk_table.read_raw().where(F.col("bucket").isin(touched)).select(*cols)
+        changed = self.chunk_table.touched(rows.join(stored, cols, "left_anti"))
+        self.chunk_table.upsert(
+            rows.where(self.chunk_table.bucket_col().isin(changed)),
+            lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id, changed,
+        )
         types = A.collect_source_types(chunks.select("collection", "source"), ("collection",))
         reg = K.register_collections(
             self.registry_table.read(before=batch_id), types.select(F.col("collection").alias("name"), "source_types"), now
