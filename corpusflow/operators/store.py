@@ -225,20 +225,51 @@ class KeyedTable:
         """Buckets of a batch: at most ``buckets`` small ints."""
         return sorted(r[0] for r in batch.select(self.bucket_col().alias("b")).distinct().collect())
 
-    def upsert(self, batch: DataFrame, merge, version: int, touched: list[int] | None = None) -> bool:
-        """Apply ``merge(old_rows_of_touched_buckets, batch)`` for batch ``version``; False if already applied."""
+    def upsert(
+        self, batch: DataFrame, merge, version: int, touched: list[int] | None = None, may_delete: bool = False
+    ) -> bool:
+        """Apply ``merge(old_rows_of_touched_buckets, batch)`` for batch ``version``; False if already applied.
+
+        ``may_delete``: the merge can drop rows, so a partition can end up empty;
+        dynamic overwrite would leave such a partition untouched, so the merged
+        rows are staged first and emptied partitions are removed after the write.
+        """
         if version in self.committed():
             return False
         touched = self.touched(batch) if touched is None else touched
         if touched:
-            old = self.read_raw().where(F.col("bucket").isin(touched)).select(*self.schema.fieldNames())
-            merged = merge(old, batch.select(*[c for c in batch.columns])).withColumn("bucket", self.bucket_col())
+            parts = [*self.partition_by, "bucket"]
+            old = self.read_raw().where(F.col("bucket").isin(touched))
+            merged = merge(old.select(*self.schema.fieldNames()), batch).withColumn("bucket", self.bucket_col())
+            merged = merged.select(*self.schema.fieldNames(), "bucket")
+            if may_delete:
+                staged = f"{self.root}/staging/v={version}"
+                merged.write.mode("overwrite").parquet(staged)
+                merged = self.spark.read.parquet(staged)
+                before = {tuple(r) for r in old.select(*parts).distinct().collect()}  # at most partitions x buckets
+                after = {tuple(r) for r in merged.select(*parts).distinct().collect()}
             # rows of a bucket meet in few tasks (no small files); the rebalance hint lets
             # AQE split a bucket that holds a hot document over several writers
             (
-                merged.select(*self.schema.fieldNames(), "bucket").hint("rebalance", *self.partition_by, "bucket")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by, "bucket").parquet(self.data)
+                merged.hint("rebalance", *parts).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(self.data)
             )
+            if may_delete:
+                for gone in before - after:
+                    self._drop_partition(dict(zip(parts, gone)))
         self._log.mark(version)
         return True
+
+    def _drop_partition(self, values: dict) -> None:
+        jvm = self.spark.sparkContext._jvm
+        esc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        rel = "/".join(f"{k}={esc(str(v))}" for k, v in values.items())
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.data}/{rel}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def delete(self, keys: DataFrame, version: int) -> bool:
+        """K2 on the stored table: drop every row whose bucket key is listed in ``keys``
+        (e.g. all chunks of some documents); only their buckets are rewritten."""
+        col = self.bucket_key
+        return self.upsert(keys.select(col).distinct(), lambda old, b: old.join(b, col, "left_anti"), version, may_delete=True)
+

@@ -109,9 +109,10 @@ class IngestJob:
 
     def __init__(
         self, spark: SparkSession, root: str | None = None, skip_indexed: bool = True, model: str = "hashing",
-        dim: int = 64, buckets: int = 64,
+        dim: int = 64, buckets: int = 64, replace_docs: bool = False,
     ):
         self.spark = spark
+        self.replace_docs = replace_docs  # Q6: a re-ingested document replaces all its old chunks
         self.root = (root or f"{checkpoint_root(spark)}/corpusflow/ingest").rstrip("/")
         self.skip_indexed = skip_indexed
         self.model = model
@@ -168,10 +169,23 @@ class IngestJob:
         cols = ["doc_id", "chunk_id", "text", "source", "title"]
         rows = chunks.select(*cols)
         stored = self.chunk_table.read_raw().where(F.col("bucket").isin(touched)).select(*cols)
-        changed = self.chunk_table.touched(rows.join(stored, cols, "left_anti"))
+        diff = rows.join(stored, cols, "left_anti")
+        merge = lambda old, b: K.upsert_chunks(old, b, now, seq=None)
+        if self.replace_docs:
+            # stored chunks of the batch's documents that the batch no longer has are dropped too
+            stale = stored.join(rows.select("doc_id", "chunk_id"), ["doc_id", "chunk_id"], "left_anti").join(
+                rows.select("doc_id").distinct(), "doc_id", "left_semi"
+            )
+            diff = diff.select("doc_id").unionByName(stale.select("doc_id"))
+
+            def merge(old, b):  # noqa: F811
+                kept = old.join(b.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(
+                    old.join(b.select("doc_id", "chunk_id"), ["doc_id", "chunk_id"], "left_semi")
+                )
+                return K.upsert_chunks(kept, b, now, seq=None)
+        changed = self.chunk_table.touched(diff)
         self.chunk_table.upsert(
-            rows.where(self.chunk_table.bucket_col().isin(changed)),
-            lambda old, b: K.upsert_chunks(old, b, now, seq=None), batch_id, changed,
+            rows.where(self.chunk_table.bucket_col().isin(changed)), merge, batch_id, changed, may_delete=self.replace_docs
         )
         types = A.collect_source_types(chunks.select("collection", "source"), ("collection",))
         reg = K.register_collections(
@@ -205,6 +219,14 @@ class IngestJob:
                 return self.spark.createDataFrame([], LOG_SCHEMA)
             raise
 
+    def delete_documents(self, doc_ids: DataFrame, batch_id: int) -> None:
+        """K2: remove documents (``doc_id``) from the chunk and point tables as batch ``batch_id``."""
+        checkpoint_root(self.spark)
+        doc_ids = doc_ids.select("doc_id").distinct().checkpoint()  # the input may read the tables being changed
+        self.point_table.delete(doc_ids, batch_id)
+        self.chunk_table.delete(doc_ids, batch_id)
+        self.registry_table.write(self.registry_table.read(before=batch_id), batch_id)  # commits the batch
+
     def chunks(self) -> DataFrame:
         return self.chunk_table.read()
 

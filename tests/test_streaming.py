@@ -95,3 +95,22 @@ def test_colliding_sources_keep_one_document(spark, scratch):
     assert ch.groupBy("doc_id", "chunk_id").count().where("count > 1").count() == 0
     assert ch.select("title").distinct().count() == 2  # one of A/B survives whole, plus the solo document
     assert job.points().count() == ch.count()
+
+
+def test_replace_docs_and_delete(spark, scratch):
+    from corpusflow.plans.ingest import IngestJob
+
+    long = spark.createDataFrame([("x " * 2000, "gdrive://a.md", "A"), ("keep me", "gdrive://b.md", "B")], "text string, source string, title string")
+    short = spark.createDataFrame([("y " * 10, "gdrive://a.md", "A")], "text string, source string, title string")
+    for replace, want in ((False, None), (True, 1)):
+        job = IngestJob(spark, f"{scratch}/{replace}", replace_docs=replace)
+        job.run(long, 0)
+        n_a = job.chunks().where("title = 'A'").count()
+        assert n_a > 1
+        job.run(short, 1)
+        after = job.chunks().where("title = 'A'").count()
+        assert after == (want if replace else n_a)  # Q6: without replace the old high chunk ids stay
+        ids = spark.createDataFrame(job.chunks().where("title = 'A'").select("doc_id").distinct().collect(), "doc_id string")
+        job.delete_documents(job.chunks().where("title = 'A'"), 2)  # a frame over the table itself
+        assert job.chunks().where("title = 'A'").count() == 0 and job.chunks().where("title = 'B'").count() == 1
+        assert job.points().join(ids, "doc_id", "left_semi").count() == 0
