@@ -133,3 +133,18 @@ def test_keyed_table_rewrites_only_touched_buckets(spark, scratch):
     assert changed == {os.path.join(root, f"bucket={b}") for b in touched}
     got = {(r["doc_id"], r["chunk_id"]): r["text"] for r in t.read().collect()}
     assert len(got) == 121 and got[("d7", 0)] == "new" and got[("d7", 1)] == "t7-1" and got[("d99", 0)] == "fresh"
+
+
+def test_micro_batches_cover_every_row_in_groups_of_n(spark):
+    from corpusflow.operators.aggregates import micro_batches
+
+    df = spark.range(1003).repartition(4)
+    rows = micro_batches(df, 100, "id").collect()
+    assert sum(r["rows"] for r in rows) == 1003
+    by_part = {}
+    for r in rows:
+        by_part.setdefault(r["partition"], []).append(r)
+    for part in by_part.values():
+        part.sort(key=lambda r: r["batch"])
+        assert [r["batch"] for r in part] == list(range(len(part)))
+        assert all(r["rows"] == 100 for r in part[:-1]) and 0 < part[-1]["rows"] <= 100
