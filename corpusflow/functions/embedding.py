@@ -56,29 +56,36 @@ class HashingEmbedder:
 
 
 _MODELS: dict[str, Callable[[], object]] = {}
+_INSTANCES: dict[tuple[str, int], object] = {}  # per Python worker process
 
 
 def register_model(name: str, factory: Callable[[], object]) -> None:
     """Make a model available to ``embed_col(model=name)``; the factory runs on workers."""
     _MODELS[name] = factory
+    _embed_udf.cache_clear()
 
 
-@lru_cache(maxsize=None)
-def _worker_model(name: str, dim: int):
-    if name == "hashing":
-        return HashingEmbedder(dim)
-    return _MODELS[name]()
+def _instance(name: str, dim: int, factory: Callable[[], object] | None):
+    key = (name, dim)
+    m = _INSTANCES.get(key)
+    if m is None:
+        m = HashingEmbedder(dim) if factory is None else factory()
+        _INSTANCES[key] = m
+    return m
 
 
 @lru_cache(maxsize=None)
 def _embed_udf(model: str, dim: int, batch: int):
-    factory = _MODELS.get(model)
+    if model == "hashing":
+        factory = None
+    elif model in _MODELS:
+        factory = _MODELS[model]  # travels with the UDF; built once per worker
+    else:
+        raise KeyError(f"embedding model {model!r} is not registered")
 
     @F.arrow_udf("array<float>")
     def embed(texts: pa.Array) -> pa.Array:
-        if factory is not None and model not in _MODELS:
-            _MODELS[model] = factory
-        m = _worker_model(model, dim)
+        m = _instance(model, dim, factory)
         values = texts.to_pylist()
         parts = []
         for i in range(0, len(values), batch):  # W3: micro-batches of ``batch`` texts

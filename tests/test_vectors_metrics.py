@@ -75,3 +75,19 @@ def test_exact_quantiles_narrow_huge_brackets(spark):
     got = {r["_qi"]: r["value"] for r in exact_quantiles(df, "x", ("g",), (0.005, 0.5, 0.995), accuracy=50, max_bracket=100).collect()}
     for i, q in enumerate((0.005, 0.5, 0.995)):
         assert got[i] == srt[max(math.ceil(q * len(x)), 1) - 1]
+
+
+class _LengthModel:
+    """A stand-in model: [len(text), 1.0]."""
+
+    def embed(self, texts):
+        return np.array([[float(len(t)), 1.0] for t in texts], dtype=np.float32)
+
+
+def test_registered_model_runs_on_workers(spark):
+    from corpusflow.functions.embedding import register_model
+
+    register_model("length", _LengthModel)
+    df = spark.createDataFrame([(1, "abc"), (2, "")], "k int, text string")
+    got = {r["k"]: r["vector"] for r in embed_frame(df, model="length", dim=2).collect()}
+    assert got == {1: [3.0, 1.0], 2: [0.0, 1.0]}
