@@ -61,12 +61,12 @@ def exact_quantiles(
             break
         rows = [r for r in rows if r[-1] <= max_bracket] + _narrow(values, col, by, spark.createDataFrame(big, schema))
     targets = spark.createDataFrame(rows, schema).drop("_est")
-    return _select_ranks(values, col, by, targets)
+    return _select_ranks(values, col, by, targets, small=len(rows) <= 100_000)
 
 
 def _narrow(values: DataFrame, col: str, by: tuple[str, ...], big: DataFrame, grid: int = 1000) -> list:
     """One pass over the values: count below/inside each wide bracket and sketch the inside values."""
-    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(big), list(by))
+    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(big), list(by))  # rows known on the driver
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
     cuts = [i / grid for i in range(grid + 1)]
     agg = j.groupBy(*by, "_qi", "_k", "_lo", "_hi").agg(
@@ -88,11 +88,12 @@ def _narrow(values: DataFrame, col: str, by: tuple[str, ...], big: DataFrame, gr
     return out
 
 
-def _select_ranks(values: DataFrame, col: str, by: tuple[str, ...], targets: DataFrame) -> DataFrame:
+def _select_ranks(values: DataFrame, col: str, by: tuple[str, ...], targets: DataFrame, small: bool = True) -> DataFrame:
     from pyspark.sql import Window
 
-    # targets: one row per (group, quantile), bounded by groups x quantiles -> broadcast
-    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(targets), list(by)).where(F.col("_x") <= F.col("_hi"))
+    # targets: one row per (group, quantile); its size is known on the driver, broadcast when small
+    t = F.broadcast(targets) if small else targets
+    j = values.select(*by, F.col(col).alias("_x")).join(t, list(by)).where(F.col("_x") <= F.col("_hi"))
     # everything under the bracket collapses into one -inf key: one pass gives both
     # the count below and the (value, count) rows inside
     key = F.when(F.col("_x") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_x"))
@@ -159,10 +160,13 @@ def quantize_int8(
 ) -> DataFrame:
     """Adds ``q_lo``, ``q_hi`` and ``codes`` (array<tinyint>) to every point.
 
-    The bounds table has one row per collection, so the join back is a
-    broadcast of a table whose size is bounded by the number of collections.
+    The bounds table has one row per collection; it is materialised once
+    (checkpoint in the shared folder) and broadcast after a bounded row count.
     """
-    bounds = quantile_bounds(points, vector_col, by, quantile, accuracy, exact)
-    return points.join(F.broadcast(bounds), list(by)).withColumn(
+    from ..session import broadcast_if_small, checkpoint_root
+
+    checkpoint_root(points.sparkSession)
+    bounds = quantile_bounds(points, vector_col, by, quantile, accuracy, exact).checkpoint()  # computed once
+    return points.join(broadcast_if_small(bounds), list(by)).withColumn(
         "codes", quantize_col(vector_col, "q_lo", "q_hi")
     )

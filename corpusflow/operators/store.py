@@ -101,10 +101,12 @@ def ensure_chunk_schema(df: DataFrame) -> DataFrame:
 
 def route_collections(docs: DataFrame, routes: DataFrame, on: str = "lang", default: str | None = None) -> DataFrame:
     """K7: a ``collection`` column per document; a document routed to several
-    collections appears once per target. The rules table is small and fixed
-    (one row per rule), so it is broadcast."""
+    collections appears once per target. The rules table (one row per rule) is
+    broadcast after a bounded row count confirms it is small."""
+    from ..session import broadcast_if_small
+
     r = routes.groupBy(on).agg(F.array_sort(F.collect_set("collection")).alias("_targets"))
-    j = docs.join(F.broadcast(r), on, "left")
+    j = docs.join(broadcast_if_small(r), on, "left")
     targets = F.coalesce(F.col("_targets"), F.array(F.lit(default)) if default else F.array().cast("array<string>"))
     return j.withColumn("collection", F.explode(targets)).drop("_targets")
 

@@ -111,3 +111,12 @@ def ship_package(spark: SparkSession) -> None:
             fh.write(data)
     sc.addPyFile(out)
     _SHIPPED.add(key)
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows (a
+    bounded count); beyond that the join stays a shuffle join."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
