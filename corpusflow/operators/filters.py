@@ -60,8 +60,9 @@ def iso_utc(ts: Column | str) -> Column:
     """ISO-8601 text with ``+00:00`` and microseconds only when non-zero."""
     c = F.col(ts) if isinstance(ts, str) else ts
     micros = F.unix_micros(c) % 1_000_000
-    return F.when(micros == 0, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).otherwise(
-        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    utc = F.to_utc_timestamp(c, F.current_timezone())  # render the UTC wall clock whatever the session zone
+    return F.when(micros == 0, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).otherwise(
+        F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     )
 
 

@@ -127,7 +127,7 @@ class IngestJob:
         if now is None:
             import datetime as dt
 
-            now = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+            now = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")  # aware: no local-zone reading
         started = time.time()
         empty = "documents long, chunks long, embedded_chunks long, skipped_chunks long, batch_id int"
         if batch_id in self.registry_table.committed_versions():  # batch fully committed: replay is a no-op
@@ -203,7 +203,7 @@ class IngestJob:
         """Append this batch to the ingest log (the input of the metric operators A6-A10)."""
         import datetime as dt
 
-        ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        ts = dt.datetime.now(dt.timezone.utc)
         rows = [
             (batch_id, ts, r["source_type"], r["collection"], r["documents"], r["embedded_chunks"],
              -(-r["embedded_chunks"] // EMBED_BATCH), 0, r["skipped_chunks"], float(seconds), True)
