@@ -50,7 +50,9 @@ def html_text(html: Column | str, sep: str = "\n") -> Column:
     # a skip tag hides text up to the next start tag or listed end tag; comments and
     # other end tags inside do not change the flag, so the hidden region runs through them
     listed = "|".join(HTML_SKIP_TAGS)
-    through = rf"(?:[^<]|<!--.*?-->|</(?!(?:{listed})\b)[a-zA-Z][^>]*>)*"
+    # possessive: the run is matched iteratively (a plain group repetition recurses per
+    # character in Java's regex engine and overflows the stack on long text)
+    through = rf"(?:[^<]++|<!--.*?-->|</(?!(?:{listed})\b)[a-zA-Z][^>]*+>)*+"
     h = F.regexp_replace(h, rf"(?is)<({flag_tags})\b[^>]*>{through}", _SEP)
     h = F.regexp_replace(h, r"(?s)<!--.*?-->", _SEP)
     parts = F.split(h, f"{_SEP}|<[^>]*>")

@@ -9,6 +9,7 @@ from .text import py_strip
 
 # Line breaks of Python's str.splitlines(). FIXED VALUES
 LINE_BREAK = r"\r\n|[\n\r\x{b}\x{c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+NOT_LINE_BREAK = r"[^\n\r\x{b}\x{c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 RST_UNDERLINE = r"^[=\-~^]+$"
 
 
@@ -21,8 +22,11 @@ def lines(content: Column | str) -> Column:
 
 
 def first_line(content: Column | str) -> Column:
-    """Text before the first line break (cheaper than splitting the whole text)."""
-    return F.regexp_extract(_c(content), f"^((?:(?!{LINE_BREAK}).)*)", 1)
+    """Text before the first line break (cheaper than splitting the whole text).
+
+    A negated character class is matched iteratively, whatever the line length.
+    """
+    return F.regexp_extract(_c(content), f"^({NOT_LINE_BREAK}*)", 1)
 
 
 def first_line_title(content: Column | str) -> Column:

@@ -124,3 +124,13 @@ def test_exact_html_mode(spark):
     )
     got = {r["source"]: r["text"] for r in scan_pages(pages, exact_html=True).collect()}
     assert got == {"u1": "b", "u2": "plain"}
+
+
+def test_long_inputs_do_not_overflow_the_regex_stack(spark):
+    from corpusflow.functions.titles import first_line_title
+
+    page = "<p>a</p><nav>" + ("word " * 60000) + "</nav><p>tail</p><!--" + ("c" * 200000) + "-->end"
+    line = "# " + ("x" * 300000) + "\nrest"
+    df = spark.createDataFrame([(page, line)], "h string, m string")
+    r = df.select(html_text("h").alias("t"), first_line_title("m").alias("ti")).first()
+    assert r["t"] == "a\ntail\nend" and len(r["ti"]) == 300000
