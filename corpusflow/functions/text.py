@@ -19,7 +19,9 @@ def _c(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """``str.strip()`` with Python's whitespace set (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    # the lookbehind starts the trailing match only at the beginning of a whitespace
+    # run, so a long run inside the text is scanned once (linear, not quadratic)
+    return F.regexp_replace(_c(c), f"^{WS_CLASS}+|(?<!{WS_CLASS}){WS_CLASS}++$", "")
 
 
 def is_blank(c: Column | str) -> Column:

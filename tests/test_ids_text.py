@@ -117,3 +117,13 @@ def test_glob_regex(spark):
     pats = [r["r"] for r in df.select(TX.glob_regex("g").alias("r")).collect()]
     for (g, path, ok), p in zip(cases, pats):
         assert bool(re.match(p, path)) == ok, (g, path, p)
+
+
+def test_py_strip_is_linear_on_long_whitespace_runs(spark):
+    import time
+
+    s = "  a" + (" " * 100000) + "b \t"
+    df = spark.createDataFrame([(s,)], "x string")
+    t0 = time.time()
+    assert df.select(TX.py_strip("x").alias("y")).first()["y"] == s.strip()
+    assert time.time() - t0 < 30  # the quadratic form needs minutes here
