@@ -149,3 +149,22 @@ def test_spark_stage_equals_python(spark):
         want = chunk_text(r["text"])
         have = [t for _, t in sorted(got.get(r["doc_id"], []))]
         assert have == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab c.\n\t é", min_size=0, max_size=400), min_size=1, max_size=8),
+       st.integers(min_value=8, max_value=60), st.integers(min_value=0, max_value=20))
+def test_sql_twin_of_the_splitter(texts, size, overlap):
+    """The DuckDB splitter used by the oracle agrees with the Python splitter."""
+    from corpusflow.plans.oracle_chunks import chunk_sql
+
+    overlap = min(overlap, size)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (key INTEGER, t VARCHAR)")
+    con.executemany("INSERT INTO d VALUES (?, ?)", list(enumerate(texts)))
+    got = {}
+    for k, c, t in con.execute(chunk_sql("SELECT key, t FROM d", size, overlap)).fetchall():
+        got.setdefault(k, {})[c] = t
+    for k, t in enumerate(texts):
+        have = [got.get(k, {})[i] for i in range(len(got.get(k, {})))]
+        assert have == chunk_text(t, size, overlap)
