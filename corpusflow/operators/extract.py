@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import ALL_SUFFIXES, BINARY_SUFFIXES
+from ..functions.constants import BINARY_SUFFIXES
 from ..functions.html import html_text, html_text_exact, html_title
 from ..functions.text import is_blank, stem, suffix
 from ..functions.titles import first_line_title, or_stem, rst_title
@@ -91,13 +91,6 @@ def extract_text_files(files: DataFrame, name: str = "name", content: str = "con
     return files.select(*rest, kind.alias("kind"), text.alias("text"), title.alias("title"))
 
 
-def lines_as_parts(files: DataFrame, key: str = "name", content: str = "content") -> DataFrame:
-    """Stand-in decoder output: one part per line (page, paragraph, shape, or sheet row)."""
-    return files.select(
-        F.col(key).alias("doc"), F.posexplode(F.split(F.col(content), NL)).alias("ord", "text")
-    )
-
-
 def extract_documents(files: DataFrame, name: str = "name", content: str = "content", exact_html: bool = False) -> DataFrame:
     """``name, kind, text, title`` for every file.
 
@@ -131,6 +124,3 @@ def extract_documents(files: DataFrame, name: str = "name", content: str = "cont
     titled = office.unionByName(xlsx).withColumn("title", or_stem(F.lit(""), stem(F.col("name"))))
     return direct.unionByName(titled)
 
-
-def supported_kinds() -> tuple[str, ...]:
-    return ALL_SUFFIXES

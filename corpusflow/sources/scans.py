@@ -125,6 +125,3 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
 
     return SnapshotTable(spark, path, STATE_SCHEMA).read()
 
-
-def drop_blank(docs: DataFrame) -> DataFrame:
-    return docs.where(~is_blank(F.col("text")))

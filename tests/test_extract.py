@@ -134,3 +134,14 @@ def test_long_inputs_do_not_overflow_the_regex_stack(spark):
     df = spark.createDataFrame([(page, line)], "h string, m string")
     r = df.select(html_text("h").alias("t"), first_line_title("m").alias("ti")).first()
     assert r["t"] == "a\ntail\nend" and len(r["ti"]) == 300000
+
+
+def test_parse_url_list_and_invalid_config(spark):
+    from corpusflow.sources.scans import parse_repo_specs, parse_url_list
+
+    cfg = spark.createDataFrame([(1, '["https://a.example/x", "https://b.example/y"]'), (2, "not json")], "k int, config string")
+    assert [(r["k"], r["url"]) for r in parse_url_list(cfg).orderBy("k", "pos").collect()] == [
+        (1, "https://a.example/x"), (1, "https://b.example/y")
+    ]
+    specs = spark.createDataFrame([(1, '[{"url": "https://g/r.git"}, {"glob": "*.md"}, {"url": ""}]')], "k int, config string")
+    assert [(r["url"], r["glob"]) for r in parse_repo_specs(specs).collect()] == [("https://g/r.git", "**/*")]
