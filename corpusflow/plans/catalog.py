@@ -6,22 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_sources  # noqa: F401  (registers queries)
+from . import q_relational, q_sources, q_stream, q_vectors  # noqa: F401  (importing registers the queries)
 from .registry import REGISTRY, runner
 
-try:  # later modules register more queries
-    from . import q_relational  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-try:
-    from . import q_vectors  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-try:
-    from . import q_stream  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: runner(q) for name, q in REGISTRY.items()}

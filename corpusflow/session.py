@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,16 +39,18 @@ def build_session(master: str | None = None, app: str = "corpusflow", conf: dict
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared file system every executor sees. We only
-    invent one when the setting is missing (local tests), and then register it
-    with the session so ``DataFrame.checkpoint`` uses it too.
+    On a cluster this is the shared file system every executor sees, and it has
+    to be set there: a machine-local folder would lose data with its machine. Only
+    a local master without the setting (tests, a laptop) gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not root:
-        root = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="corpusflow-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -78,9 +83,6 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``corpusflow`` importable on the executors' Python workers (like
     ``--py-files``): zip the package once per SparkContext and ``addPyFile`` it."""
-    import io
-    import zipfile
-
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
@@ -94,21 +96,14 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     data = buf.getvalue()
-    try:  # the shared folder, written through the session's Hadoop file system
-        import hashlib
-
-        out = f"{checkpoint_root(spark)}/corpusflow/code/corpusflow-{hashlib.sha1(data).hexdigest()[:16]}.zip"
-        jvm = sc._jvm
-        path = jvm.org.apache.hadoop.fs.Path(out)
-        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            stream = fs.create(path, True)
-            stream.write(bytearray(data))
-            stream.close()
-    except Exception:  # no shared file system reachable from Python: ship from the driver
-        out = os.path.join(tempfile.mkdtemp(prefix="corpusflow-code-"), "corpusflow.zip")
-        with open(out, "wb") as fh:
-            fh.write(data)
+    name = f"corpusflow-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+    out = f"{checkpoint_root(spark)}/corpusflow/code/{name}"  # written through the session's Hadoop file system
+    path = sc._jvm.org.apache.hadoop.fs.Path(out)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        stream = fs.create(path, True)
+        stream.write(bytearray(data))
+        stream.close()
     sc.addPyFile(out)
     _SHIPPED.add(key)
 

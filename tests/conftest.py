@@ -20,13 +20,12 @@ def spark():
         .appName("corpusflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="corpusflow-tests-"))  # tests only: a local folder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: a local shared folder
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="corpusflow-tests-"))
     yield s
     s.stop()
 
