@@ -59,14 +59,14 @@ class Rolling:
         return mix(raw + (ends - starts).astype(U) * _BASE)
 
 
-def chunks(texts: Iterable[str | None]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+def chunks(texts: Iterable[str | None], limit: int = CHUNK) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
     """(encoded texts, joined buffer, offsets) per chunk; text i lies at
     ``offsets[i] : offsets[i + 1] - 1``. A null text counts as empty."""
     part: list[bytes] = []
     size = 0
     for text in texts:
         raw = b"" if text is None else text.encode("utf-8", "replace")
-        if part and size + len(raw) > CHUNK:
+        if part and size + len(raw) > limit:
             yield _joined(part)
             part, size = [], 0
         part.append(raw)
