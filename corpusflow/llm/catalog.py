@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_pieces, op2_quality, op4_language, op5_minhash, op6_pii, op8_packing, op9_rollup
+from . import op1_pieces, op2_quality, op4_language, op5_minhash, op6_pii, op10_repeats, op8_packing, op9_rollup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_pii": op6_pii.query,
         "op8_packing": op8_packing.query,
         "op9_token_counts": op9_rollup.query,
+        "op10_suffix_dedup": op10_repeats.query,
     }
 
 
