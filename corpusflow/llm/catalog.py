@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_pieces, op2_quality, op4_language, op5_minhash, op6_pii, op10_repeats, op8_packing, op9_rollup
+from . import op1_pieces, op2_quality, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": op4_language.query,
         "op5_minhash": op5_minhash.query,
         "op6_pii": op6_pii.query,
+        "op7_line_dedup": op7_lines.query,
         "op8_packing": op8_packing.query,
         "op9_token_counts": op9_rollup.query,
         "op10_suffix_dedup": op10_repeats.query,
