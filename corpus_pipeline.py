@@ -1,3 +1,79 @@
-STAGES = []
+"""A corpus pipeline over ``documents``: five stages, each one operator of ``corpusflow.llm``.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor
+kept; all but the last return the columns of ``documents``. ``run`` stores every
+stage's rows as Parquet in the shared folder and reads them again for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusflow.llm import op4_language, op5_minhash, op6_pii, op7_lines, op8_packing
+from corpusflow.llm.common import stored, table
+from corpusflow.session import ship_package
+
+#: Near duplicates: words per shingle, and similarity in percent.
+SHINGLE, SIMILARITY = 5, 80
+
+
+def _recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """``n_chars`` follows the changed text, where the table has that column."""
+    if "n_chars" in like.columns:
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(like.schema["n_chars"].dataType))
+    return docs.select(*like.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model rejects go (no letter, or score under its bound)."""
+    ship_package(spark)
+    return op4_language.predict(docs, op4_language.fit(docs)).where("accepted").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line, up to a few edits, go from the texts."""
+    ship_package(spark)
+    return _recounted(op7_lines.dedup_lines(docs), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the least doc_id."""
+    ship_package(spark)
+    found = op5_minhash.near_duplicates(docs, SIMILARITY, SHINGLE)
+    kept = found.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts becomes its kind in brackets."""
+    ship_package(spark)
+    return _recounted(op6_pii.redacted(docs), docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences: one row per piece with its ids."""
+    import public_tokenizers
+
+    ship_package(spark)
+    return op8_packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [
+    ("language_id", language),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("pii", personal_data),
+    ("packing", packing),
+]
+
+#: SQL cannot express language models or packings; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

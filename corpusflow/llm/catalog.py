@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_pieces, op2_quality, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats
+from . import op1_pieces, op2_quality, op3_spots, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_pieces.query,
         "op2_quality_rules": op2_quality.query,
+        "op3_spotsigs": op3_spots.query,
         "op4_language_id": op4_language.query,
         "op5_minhash": op5_minhash.query,
         "op6_pii": op6_pii.query,
