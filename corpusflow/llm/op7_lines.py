@@ -10,9 +10,9 @@ of what is left of the line. Candidates are verified by banded bit-parallel edit
 distance over the part between common ends.
 
 Defined cases: null and empty texts have no lines; blank lines are kept and never
-compared; shorter lines go only as exact copies; within a document the first of
-equal lines stays; rows that repeat a doc_id count as one document; an empty
-table gives no rows.
+compared; shorter lines go only as exact copies; rows that repeat a doc_id count
+as one document (equal lines at an equal place stay in each); an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_checked, stored, table
 
-TAU = 2
+TAU = 1
 MIN_NEAR = 16
 #: Lines that may share an index key before the key is split further.
 HOT = 500
-BLANK = r"[^\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\f\r"
 
 
 def _segment(length: Column, j: int, tau: int) -> tuple[Column, Column]:
@@ -116,7 +116,9 @@ def within(pairs: DataFrame, tau: int) -> DataFrame:
     ends = ends.withColumn("tail", _common("least(lx, ly) - head", "substring(x, lx - p - s + 1, s)", "substring(y, ly - p - s + 1, s)"))
     cores = ends.selectExpr("*", "split(substring(x, head + 1, lx - head - tail), '') as cx", "split(substring(y, head + 1, ly - head - tail), '') as cy",
                             "lx - head - tail as la", "ly - head - tail as lb")
-    measured = cores.withColumn("dist", F.expr(f"if(least(la, lb) = 0, greatest(la, lb), if(abs(la - lb) > {tau}, {tau + 1}, {_banded(tau)}))"))
+    dist = F.expr(f"if(least(la, lb) = 0, greatest(la, lb), if(abs(la - lb) > {tau}, {tau + 1}, {_banded(tau)}))")
+    # a generator keeps the filter from being pushed down, which would inline the cores into every step
+    measured = cores.select(*pairs.columns, F.explode(F.array(dist)).alias("dist"))
     return measured.where(F.col("dist") <= tau).select(*pairs.columns)
 
 
@@ -143,17 +145,11 @@ def _banded(tau: int) -> str:
       s -> s.dist) as int)"""
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    """Add ``_lines`` and ``_firsts``: (line, i) of the first of equal non-blank lines."""
-    numbered = F.expr("sort_array(transform(filter(transform(_lines, (x, i) -> named_struct('line', x, 'i', i)), s -> s.line rlike '" + BLANK + "'), s -> s))")
-    split = docs.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn("_sorted", numbered)
-    first = F.expr("filter(_sorted, (s, k) -> k = 0 or get(_sorted, k - 1).line <> s.line)")
-    return split.withColumn("_firsts", first)
-
-
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc, i, line and its 128-bit name (h1, h2), one row per distinct line of a document."""
-    rows = _split(docs.select(F.col("doc_id").cast("long").alias("doc"), "text")).select("doc", F.inline("_firsts"))
+    """doc, i, line and its 128-bit name (h1, h2) of every non-blank line."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("i", "line"))
+    rows = rows.where(F.trim("line", F.lit(SPACES)) != "")
     return rows.select("doc", "i", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
 
 
@@ -169,12 +165,13 @@ def line_links(lines: DataFrame, tau: int = TAU) -> DataFrame:
     pairs = stored(candidates(near, tau), "line_pairs")
     ids = stored(pairs.select(F.col("a").alias("lid")).union(pairs.select("b")).distinct(), "line_ids")
     texts = stored(near.select("lid", "line").join(broadcast_checked(ids), "lid"), "line_texts")
-    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    slots = 4 * lines.sparkSession.sparkContext.defaultParallelism  # verification is CPU work on few bytes
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").repartition(slots, "a", "b")
     return stored(within(both, tau).select("a", "b"), "line_links")
 
 
 def line_verdicts(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """Per distinct line of each document: doc, i, copy (an equal line is earlier),
+    """Per non-blank line of each document: doc, i, copy (an equal line is earlier),
     near (a similar line is earlier), links (lines within ``tau`` edits)."""
     lines = distinct_lines(docs)
     links = line_links(lines, tau)
@@ -191,19 +188,18 @@ def line_verdicts(docs: DataFrame, tau: int = TAU) -> DataFrame:
 def dedup_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``; other columns stay."""
     gone = line_verdicts(docs, tau).where("copy or near").groupBy("doc").agg(F.collect_list("i").alias("_gone"))
-    split = _split(docs.withColumn("_doc", F.col("doc_id").cast("long")))
-    joined = split.join(gone, F.col("_doc").eqNullSafe(F.col("doc")), "left")
-    text = F.expr("""array_join(transform(array_except(sequence(0, size(_lines) - 1), array_union(coalesce(_gone, array()),
-        array_except(transform(_sorted, s -> s.i), transform(_firsts, s -> s.i)))), i -> get(_lines, i)), '\n')""")
-    return joined.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*docs.columns)
+    joined = docs.withColumn("_doc", F.col("doc_id").cast("long")).join(gone, F.col("_doc").eqNullSafe(F.col("doc")), "left")
+    split = joined.withColumn("_lines", F.split("text", "\n", -1))
+    left = "array_except(sequence(0, size(_lines) - 1), _gone)"
+    text = F.expr(f"if(_gone is null, text, array_join(transform({left}, i -> get(_lines, i)), '\n'))")
+    return split.withColumn("text", text).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    base = _split(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", F.size("_sorted").cast("long").alias("n_lines"), F.size("_firsts").cast("long").alias("_n"))
-    flags = {"n_copies": F.col("copy"), "n_near": ~F.col("copy") & F.col("near")}
+    flags = {"n_lines": F.lit(True), "n_copies": F.col("copy"), "n_near": ~F.col("copy") & F.col("near"), "n_kept": ~F.col("copy") & ~F.col("near")}
     sums = [F.sum(c.cast("long")).alias(k) for k, c in flags.items()]
-    per_doc = line_verdicts(docs).groupBy("doc").agg(*sums, F.sum("links").alias("n_links"))
-    joined = base.join(per_doc, F.col("doc_id").eqNullSafe(F.col("doc")), "left").na.fill(0, ["n_copies", "n_near", "n_links"])
-    copies = F.col("n_copies") + F.col("n_lines") - F.col("_n")
-    return joined.select("doc_id", "n_lines", copies.alias("n_copies"), "n_near", "n_links", (F.col("n_lines") - copies - F.col("n_near")).alias("n_kept"))
+    per_doc = line_verdicts(docs).groupBy("doc").agg(*sums, F.sum(F.when(~F.col("copy"), F.col("links")).otherwise(0)).alias("n_links"))
+    names = [*flags, "n_links"]
+    joined = docs.select(F.col("doc_id").cast("long")).join(per_doc, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
+    return joined.na.fill(0, names).select("doc_id", *names)
