@@ -39,7 +39,7 @@ LENGTH, SEED = 100, 32
 WINDOW = LENGTH - SEED + 1  # seeds in a string
 BLOCK = 1 << 22  # string starts handled at once; a longer text goes in parts
 #: Spans per suffix array block, about, and the most spans of one seed in it.
-SPANS, HOT = 16_000, 2_000
+SPANS, HOT = 16_000, 4_000
 NO_ID = -(1 << 63)
 
 
@@ -74,7 +74,11 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def seed_runs(docs: DataFrame) -> DataFrame:
-    """doc, seed, span and packed place (start * 128 + count) of every run."""
+    """doc, seed, span, packed place (start * 128 + count) and ``known`` of every run.
+
+    A run whose seed and span occurred before in its text is known to repeat; it
+    gets a seed of its own, so periodic texts do not pile up on one seed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,7 +86,12 @@ def seed_runs(docs: DataFrame) -> DataFrame:
             size = 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for seed, span, start, count in runs((text or "").encode("utf-8", "replace")):
-                    parts.append((np.full(len(seed), doc, np.int64), seed, span, start * 128 + count))
+                    place = start * 128 + count
+                    name = bw.mix(seed * bw.U(3) + span)
+                    known = np.ones(len(seed), bool)
+                    known[np.unique(name, return_index=True)[1]] = False
+                    own = bw.mix(place.astype(bw.U) ^ bw.mix(np.full(1, doc, np.int64).view(bw.U)))
+                    parts.append((np.full(len(seed), doc, np.int64), np.where(known, own, seed), span, place, known))
                     size += len(seed)
                 if size > 200_000:
                     yield _batch(parts)
@@ -91,10 +100,10 @@ def seed_runs(docs: DataFrame) -> DataFrame:
                 yield _batch(parts)
 
     def _batch(parts: list[tuple]) -> pa.RecordBatch:
-        doc, seed, span, place = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        return pa.RecordBatch.from_arrays([pa.array(doc), _signed(seed), _signed(span), pa.array(place)], ["doc", "seed", "span", "place"])
+        doc, seed, span, place, known = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        return pa.RecordBatch.from_arrays([pa.array(doc), _signed(seed), _signed(span), pa.array(place), pa.array(known)], ["doc", "seed", "span", "place", "known"])
 
-    return docs.mapInArrow(run, "doc long, seed long, span long, place long")
+    return docs.mapInArrow(run, "doc long, seed long, span long, place long, known boolean")
 
 
 def _merged(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,8 +175,9 @@ def _hot_strings(spans: DataFrame) -> DataFrame:
 
     strings = spans.select("doc", "place", "bytes").mapInArrow(run, "a long, b long, doc long, start long")
     dealt = strings.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64)).cast("int"))
-    least = dealt.groupBy("a", "b", "salt").agg(F.min(F.struct("doc", "start")).alias("one"))
-    first = least.select("a", "b", "salt").join(least.groupBy("a", "b").agg(F.min("one").alias("first")), ["a", "b"])
+    least = dealt.groupBy("a", "b", "salt").agg(F.min(F.struct("doc", "start")).alias("one"), F.count("*").alias("n"))
+    shared = least.groupBy("a", "b").agg(F.min("one").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    first = least.select("a", "b", "salt").join(shared, ["a", "b"])
     found = dealt.join(first, ["a", "b", "salt"]).where("doc <> first.doc or start <> first.start")
     return found.select("doc", "start", F.lit(1).cast("long").alias("count"))
 
@@ -177,8 +187,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     by_seed, by_span = Window.partitionBy("seed").orderBy("span", "doc", "place"), Window.partitionBy("seed", "span").orderBy("doc", "place")
     ranked = seed_runs(docs).select(
         "*", F.row_number().over(by_span).alias("nth"), F.lag("span").over(by_seed).alias("before"), F.lead("span").over(by_seed).alias("after"))
-    met = ranked.where("before is not null or after is not null")
-    met = stored(met.select("doc", "place", F.when(F.col("nth") == 1, F.col("seed")).alias("seed")), "seed_runs")
+    met = ranked.where("known or before is not null or after is not null")
+    met = stored(met.select("doc", "place", F.when(~F.col("known") & (F.col("nth") == 1), F.col("seed")).alias("seed")), "seed_runs")
     release(docs.sparkSession)
     start, count = F.shiftright("place", 7), F.col("place").bitwiseAND(F.lit(127))
     whole = met.where("seed is null").select("doc", start.alias("start"), count.alias("count"))
