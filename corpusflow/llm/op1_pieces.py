@@ -29,6 +29,8 @@ from .tokens import CHUNK, UnitEncoder, encoder, file_bytes
 
 MARK = "▁"
 ROWS = 2_000
+#: Piece pairs remembered per worker; beyond it the memo starts anew.
+PAIRS = 500_000
 
 
 class PieceEncoder(UnitEncoder):
@@ -94,7 +96,7 @@ class PieceEncoder(UnitEncoder):
     def _may_follow(self, left: str, right: str) -> bool:
         key = (left, right)
         if key not in self._apart:
-            if len(self._apart) > 2_000_000:
+            if len(self._apart) > PAIRS:
                 self._apart.clear()
             self._apart[key] = self.merge(left + right) == [left, right]
         return self._apart[key]

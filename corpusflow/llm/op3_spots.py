@@ -25,6 +25,8 @@ CHAIN, REACH, MIN_SPOTS = 3, 12, 4
 THRESHOLD = 0.8
 #: Ids per bucket when the order of all ids is derived.
 ID_BUCKET = 1 << 16
+#: Stands for a null doc_id.
+NO_ID = -(1 << 63)
 # Common words that open a chain, and more that chains pass over.
 ANCHORS = "the is of and was a der die und das le la les et el los y".split()
 PASSED = ANCHORS + ("an are as at be by for from in it on or that this to with von mit ein eine zu den dem "
@@ -80,17 +82,19 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, signature, edited text, and the next document's signature."""
-    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     signed = signatures(keyed, "text", "sig")
     sizes = keyed.groupBy("key").agg(F.max(F.floor(F.char_length("text") / 2)).cast("int").alias("need"))
     wants = next_ids(keyed).join(sizes, "key").select(F.col("key").alias("owner"), F.col("next").alias("key"), "need")
+    # both joins read the same columns of ``signed``, so its exchange is made once
     given = signed.join(wants, "key").select("owner", F.struct(F.expr("substring(text, 1, need)").alias("head"), "sig").alias("_next"))
     one = given.groupBy("owner").agg(F.min("_next").alias("_next")) if _repeats(keyed) else given
     joined = signed.join(one.withColumnRenamed("owner", "key"), "key")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("_next.head"), F.lit(1), half))
-    return joined.select("doc_id", n.cast("long").alias("n_chars"), "sig", edited.alias("edited"), F.col("_next.sig").alias("next_sig"))
+    doc_id = F.when(F.col("key") != NO_ID, F.col("key"))
+    return joined.select(doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), "sig", edited.alias("edited"), F.col("_next.sig").alias("next_sig"))
 
 
 def _repeats(keyed: DataFrame) -> bool:
