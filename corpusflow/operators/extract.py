@@ -51,15 +51,16 @@ def assemble_shapes(
 def assemble_cells(
     cells: DataFrame, doc: str = "doc", sheet: str = "sheet", row: str = "row", col: str = "col", value: str = "value"
 ) -> DataFrame:
-    """XLSX: per row the non-null cells joined by `` | ``; rows without values dropped;
+    """XLSX: per row the non-null cells joined by `` | ``; rows without any value
+    dropped (a row of empty strings has values and stays);
     rows of all sheets in (sheet, row) order joined by newline.
 
     Two aggregation levels: the first is keyed by (doc, sheet, row) and so
     spreads even one huge workbook over all tasks; it shrinks the data before
     the per-document shuffle.
     """
-    rows = cells.groupBy(doc, sheet, row).agg(_ordered_join([col], F.col(value), " | ").alias("_r"))
-    rows = rows.select(doc, sheet, row, F.when(F.col("_r") != "", F.col("_r")).alias("_r"))
+    rows = cells.groupBy(doc, sheet, row).agg(_ordered_join([col], F.col(value), " | ").alias("_r"), F.count(value).alias("_n"))
+    rows = rows.select(doc, sheet, row, F.when(F.col("_n") > 0, F.col("_r")).alias("_r"))
     return rows.groupBy(doc).agg(_ordered_join([sheet, row], F.col("_r"), NL).alias("text"))
 
 

@@ -204,7 +204,7 @@ def q_assemble_shapes(fx: Fixtures):
 
 @query("assemble_cells", "E5", with_views(f"""
 SELECT doc, coalesce(string_agg(r, {NL} ORDER BY sheet, "row"), '') AS text FROM (
-  SELECT doc, sheet, "row", nullif(coalesce(string_agg(value, ' | ' ORDER BY col), ''), '') AS r
+  SELECT doc, sheet, "row", string_agg(value, ' | ' ORDER BY col) AS r
   FROM v_cells GROUP BY doc, sheet, "row")
 GROUP BY doc""", "v_cells"))
 def q_assemble_cells(fx: Fixtures):

@@ -19,7 +19,6 @@ from .registry import query
 
 _DOCS = "SELECT text, source, title FROM v_docs"
 
-TIMEOUT_S = 1800
 
 
 def _docs_stream(fx: Fixtures):
@@ -39,7 +38,7 @@ def q_stream_documents(fx: Fixtures):
         fx.v_docs(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = T._start(_docs_stream(fx), each, root, {"availableNow": True})
-    q.awaitTermination(TIMEOUT_S)
+    T.finish(q)
     return fx.spark.read.parquet(out).select("n", "source", "text", "title", "lang")
 
 
@@ -48,7 +47,7 @@ def q_ingest_stream(fx: Fixtures):
     root = T.stream_root(fx.spark, "ingest")
     job = IngestJob(fx.spark, f"{root}/tables")
     q = T.start_ingest_stream(_docs_stream(fx), job, f"{root}/ckpt", {"availableNow": True}, _as_docs(fx))
-    q.awaitTermination(TIMEOUT_S)
+    T.finish(q)
     return job.chunks().select("doc_id", "chunk_id", "text", "source", "title")
 
 
@@ -57,7 +56,7 @@ def q_ingest_stream(fx: Fixtures):
 def q_ingest_now(fx: Fixtures):
     root = T.stream_root(fx.spark, "now")
     job = IngestJob(fx.spark, f"{root}/tables")
-    T.ingest_now(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx), TIMEOUT_S)
+    T.ingest_now(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx))
     return job.points().select("collection", "point_id", "doc_id", "chunk_id", "source", "title", "vector")
 
 
@@ -67,9 +66,9 @@ def q_ingest_full(fx: Fixtures):
     """Second, full pass over the same documents: chunks re-upserted, every vector skipped."""
     root = T.stream_root(fx.spark, "full")
     job = IngestJob(fx.spark, f"{root}/tables")
-    T.ingest_now(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx), TIMEOUT_S)
+    T.ingest_now(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx))
     before = job.registry_table.current_version()
-    T.ingest_full(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx), TIMEOUT_S)
+    T.ingest_full(_docs_stream(fx), job, f"{root}/ckpt", _as_docs(fx))
     after = job.registry_table.current_version()
     return job.points().groupBy("collection").agg(F.count(F.lit(1)).alias("points")).withColumn(
         "versions", F.lit(f"{before}->{after}")
@@ -88,7 +87,7 @@ def q_changed_files_stream(fx: Fixtures):
     q = T.start_change_detection(
         _docs_stream(fx), state, out, f"{root}/ckpt", {"availableNow": True}, lambda b: fx.v_listing(b)
     )
-    q.awaitTermination(TIMEOUT_S)
+    T.finish(q)
     return fx.spark.read.parquet(out).select("file_id", "name", "modified_time")
 
 
@@ -133,7 +132,7 @@ def q_changed_files_stateful(fx: Fixtures):
         out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
         .outputMode("append").trigger(availableNow=True).start()
     )
-    q.awaitTermination(TIMEOUT_S)
+    T.finish(q)
     if q.exception():
         raise q.exception()
     return fx.spark.read.schema("file_id string, name string, modified_time string").parquet(f"{root}/out")

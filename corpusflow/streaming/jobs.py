@@ -85,12 +85,21 @@ def start_ingest_stream(
     return _start(docs, each, checkpoint, trigger or {"processingTime": "15 minutes"})
 
 
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until ``query`` has ended. A wait that expires stops the query and
+    raises: what was committed so far is not the result."""
+    ended = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    if ended is False:
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not end within {timeout_s} s")
+    if query.exception():
+        raise query.exception()
+
+
 def ingest_now(docs: DataFrame, job: IngestJob, checkpoint: str, prepare=None, timeout_s: int | None = None) -> None:
     """Process everything available now on the same checkpoint, then stop."""
     q = start_ingest_stream(docs, job, checkpoint, {"availableNow": True}, prepare)
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    finish(q, timeout_s)
 
 
 def ingest_full(docs: DataFrame, job: IngestJob, checkpoint_parent: str, prepare=None, timeout_s: int | None = None) -> str:
@@ -135,24 +144,26 @@ def stream_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/corpusflow/streams/{name}-{uuid.uuid4().hex}"
 
 
-def supervise(start: Callable[[], StreamingQuery], max_restarts: int = 3, wait_s: float = 5.0, log=print) -> StreamingQuery:
+def supervise(
+    start: Callable[[], StreamingQuery], max_restarts: int | None = None, wait_s: float = 5.0, max_wait_s: float = 300.0, log=print
+) -> StreamingQuery:
     """T1 "a failed cycle is logged and the loop goes on": run a streaming query and
-    restart it from its checkpoint after a failure. The failed micro-batch is
-    replayed on restart, and the sinks are idempotent, so nothing is lost or
-    doubled. Returns the last query (stopped, or running when no failure occurred
-    before ``awaitTermination`` returned)."""
+    restart it from its checkpoint after every failure. The failed micro-batch is
+    replayed, and the sinks are idempotent, so nothing is lost or doubled. The wait
+    doubles with failures that made no progress in between. ``max_restarts`` (of
+    such failures in a row) is off by default. Returns the query that ended."""
     import time
 
-    q = start()
-    for attempt in range(max_restarts + 1):
+    failures = 0
+    while True:
+        q = start()
         try:
             q.awaitTermination()
+            return q
         except Exception as e:  # the query died; its checkpoint keeps the progress
-            log(f"stream {q.name or q.id} failed (attempt {attempt + 1}): {str(e)[:300]}")
-            if attempt == max_restarts:
+            moved = any(p["numInputRows"] for p in q.recentProgress)
+            failures = 1 if moved else failures + 1
+            log(f"stream {q.name or q.id} failed (attempt {failures}): {str(e)[:300]}")
+            if max_restarts is not None and failures > max_restarts:
                 raise
-            time.sleep(wait_s)
-            q = start()
-            continue
-        return q
-    return q
+            time.sleep(min(wait_s * 2 ** (failures - 1), max_wait_s))
