@@ -14,10 +14,9 @@ windows and lengths counted in code points:
    than ``overlap`` (or the next piece still would not fit);
 4. no overlap crosses a flush; blank windows are dropped.
 
-Every emitted chunk is a contiguous slice of the input, so the Python side
-returns only ``(begin, end)`` code-point offsets; Spark cuts the text with
-``substring`` on the JVM side. Text crosses into Python once and only a few
-integers per chunk come back.
+The Arrow UDF returns the chunk strings. They are sliced in Python, where a
+slice costs its own length; ``substring`` on the JVM walks a UTF-8 text from its
+start for every chunk, which is quadratic in the length of a document.
 """
 
 from __future__ import annotations
@@ -138,42 +137,33 @@ def chunk_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
     return [text[b:e] for b, e in chunk_spans(text, size, overlap)]
 
 
-SPAN_TYPE = "array<struct<b:int,e:int>>"
-_SPAN_ARROW = pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))
-
-
 @lru_cache(maxsize=None)
-def _span_udf(size: int, overlap: int, separators: tuple[str, ...]):
+def _chunk_udf(size: int, overlap: int, separators: tuple[str, ...]):
     if overlap > size:
         raise ValueError(f"overlap {overlap} is larger than size {size}")
 
-    @F.arrow_udf(SPAN_TYPE)
-    def spans(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<string>")
+    def chunks(texts: pa.Array) -> pa.Array:
         offsets = np.zeros(len(texts) + 1, dtype=np.int32)
-        begins: list[int] = []
-        ends: list[int] = []
-        for i, t in enumerate(texts.to_pylist()):
-            for b, e in chunk_spans(t, size, overlap, separators):
-                begins.append(b)
-                ends.append(e)
-            offsets[i + 1] = len(begins)
-        values = pa.StructArray.from_arrays(
-            [pa.array(begins, pa.int32()), pa.array(ends, pa.int32())], names=["b", "e"]
-        )
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, type=_SPAN_ARROW)
-
-    return spans
-
-
-def chunk_span_col(
+        cut: list[str] = []
+        for i, scalar in enumerate(texts):
+            t = scalar.as_py()
+            cut.extend(t[b:e] for b, e in chunk_spans(t, size, overlap, separators))
+            offsets[i + 1] = len(cut)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(cut, pa.string()))
+
+    return chunks
+
+
+def chunk_list(
     text: Column | str,
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     separators: tuple[str, ...] = CHUNK_SEPARATORS,
 ) -> Column:
-    """Column of chunk spans (Arrow UDF; the only Python in the chunk stage)."""
+    """Column of non-blank chunk texts (Arrow UDF; the only Python in the chunk stage)."""
     col = F.col(text) if isinstance(text, str) else text
-    return _span_udf(int(size), int(overlap), tuple(separators))(col)
+    return _chunk_udf(int(size), int(overlap), tuple(separators))(col)
 
 
 def chunk_documents(
@@ -186,19 +176,16 @@ def chunk_documents(
 ) -> DataFrame:
     """F7 + P4 + W1: one row per non-blank chunk, numbered 0.. within its document.
 
-    Narrow: no shuffle. ``posexplode`` numbers the already-filtered spans in
+    Narrow: no shuffle. ``posexplode`` numbers the already-filtered chunks in
     order, so ``chunk_id`` is the offset after blank removal. ``keep`` lists the
     columns carried next to each chunk (default: all but the text).
     """
     from ..session import ensure_parallel
 
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
-    t = F.col(text_col)
-    # Chunks are cut on the JVM into an array *before* the explode, so the
-    # document text is dropped ahead of the generator: a chunk row never carries
-    # a copy of its whole document (which would cost O(len^2 / size) for long texts).
-    cut = F.transform(chunk_span_col(text_col, size, overlap), lambda sp: F.substring(t, sp["b"] + 1, sp["e"] - sp["b"]))
-    arrays = ensure_parallel(docs).select(*keep, cut.alias("_c"))
+    # The chunks are an array *before* the explode, so the document text is dropped
+    # ahead of the generator: a chunk row never carries a copy of its whole document.
+    arrays = ensure_parallel(docs).select(*keep, chunk_list(text_col, size, overlap).alias("_c"))
     # posexplode_outer: a plain posexplode makes Catalyst infer ``size(_c) > 0`` and
     # push it below the repartition, which would run the splitter twice.
     exploded = arrays.select(*keep, F.posexplode_outer("_c").alias("chunk_id", chunk_col)).where(F.col(chunk_col).isNotNull())

@@ -1,19 +1,19 @@
 """E6 visible HTML text and E7 ``<title>``.
 
-Native mode (default) is a chain of regex expressions on the JVM. It follows
-the behaviour of a streaming HTML tokenizer with one *non-nested* skip flag:
-every start tag sets the flag to "tag is script/style/nav/header/footer",
-only an end tag among those five clears it. So text right after ``<nav>`` is
-dropped, text in ``<nav><ul><li>`` is kept. Script/style bodies are raw
-text. Text nodes are stripped, empty ones dropped, an unfinished tail is lost.
-
-Exact mode runs the stdlib tokenizer in an Arrow UDF for inputs outside the
-native rules (foreign end tags or comments inside a skipped region, rare
-entities).
+The text follows the standard library's streaming tokenizer with one
+*non-nested* skip flag: every start tag sets the flag to "tag is
+script/style/nav/header/footer", only an end tag among those five clears it. So
+text right after ``<nav>`` is dropped, text in ``<nav><ul><li>`` is kept. Text
+nodes are stripped, empty ones dropped, and an unfinished tail is lost, as the
+tokenizer is not closed.
+
+Entities, comments, quoted attributes, raw-text elements and stray ``<`` need a
+tokenizer, so the text is one Arrow-batched UDF; the title is a native expression.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from .constants import HTML_SKIP_TAGS
 from .text import py_strip
 
-_SEP = "\u0001"
+#: FIXED VALUE: the title pattern.
+TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 
-# Entities decoded by the native mode; ``&amp;`` goes last so ``&amp;lt;`` stays ``&lt;``.
-# FIXED VALUES
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+_OPEN, _CLOSE, _TEXT = range(3)
 
 
 def _c(c: Column | str) -> Column:
@@ -37,74 +36,54 @@ def _c(c: Column | str) -> Column:
 
 def html_title(html: Column | str) -> Column:
     """First ``<title ...>...</title>`` (any case, across lines), stripped; entities kept; '' if none."""
-    raw = F.regexp_extract(_c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return py_strip(raw)
+    return py_strip(F.regexp_extract(_c(html), TITLE_PATTERN, 1))
 
 
-def html_text(html: Column | str, sep: str = "\n") -> Column:
-    """Visible text parts joined by ``sep`` (``\\n`` for files, ``\\n\\n`` for web pages)."""
-    h = _c(html)
-    raw_tags = "|".join(t for t in HTML_SKIP_TAGS if t in ("script", "style"))
-    flag_tags = "|".join(t for t in HTML_SKIP_TAGS if t not in ("script", "style"))
-    h = F.regexp_replace(h, rf"(?is)<({raw_tags})\b[^>]*>.*?</({raw_tags})\s*>", _SEP)
-    # a skip tag hides text up to the next start tag or listed end tag; comments and
-    # other end tags inside do not change the flag, so the hidden region runs through them
-    listed = "|".join(HTML_SKIP_TAGS)
-    # possessive: the run is matched iteratively (a plain group repetition recurses per
-    # character in Java's regex engine and overflows the stack on long text)
-    through = rf"(?:[^<]++|<!--.*?-->|</(?!(?:{listed})\b)[a-zA-Z][^>]*+>)*+"
-    h = F.regexp_replace(h, rf"(?is)<({flag_tags})\b[^>]*>{through}", _SEP)
-    h = F.regexp_replace(h, r"(?s)<!--.*?-->", _SEP)
-    parts = F.split(h, f"{_SEP}|<[^>]*>")
-
-    def clean(x: Column) -> Column:
-        # these names also decode without the ';' (legacy forms), as the tokenizer does
-        for ent, ch in ENTITIES:
-            x = F.regexp_replace(x, ent[:-1] + ";?", ch)
-        return py_strip(x)
-
-    kept = F.filter(F.transform(parts, lambda x: clean(x)), lambda x: x != "")
-    return F.array_join(kept, sep)
-
-
-# -- exact mode -----------------------------------------------------------------
-
-class _TextParser(HTMLParser):
-    def __init__(self):
+class _Tokens(HTMLParser):
+    """The markup as a flat list of (kind, tag name or text), in document order."""
+
+    def __init__(self, raw: str):
         super().__init__()
-        self.parts: list[str] = []
-        self.skip = False
+        self.seen: list[tuple[int, str]] = []
+        self.feed(raw)
 
     def handle_starttag(self, tag, attrs):
-        self.skip = tag in HTML_SKIP_TAGS
+        self.seen.append((_OPEN, tag))
 
     def handle_endtag(self, tag):
-        if tag in HTML_SKIP_TAGS:
-            self.skip = False
+        self.seen.append((_CLOSE, tag))
 
     def handle_data(self, data):
-        if not self.skip:
-            s = data.strip()
-            if s:
-                self.parts.append(s)
+        self.seen.append((_TEXT, data))
+
+
+def _shown(tokens: Iterable[tuple[int, str]]) -> Iterator[str]:
+    """Text tokens that no skip tag hides, stripped, without empty ones."""
+    hidden = False
+    for kind, value in tokens:
+        listed = kind != _TEXT and value in HTML_SKIP_TAGS
+        if kind == _OPEN:
+            hidden = listed
+        elif kind == _CLOSE:
+            hidden = hidden and not listed
+        elif not hidden and (part := value.strip()):
+            yield part
 
 
 def parse_text(raw: str | None, sep: str = "\n") -> str | None:
-    if raw is None:
-        return None
-    p = _TextParser()
-    p.feed(raw)  # no close(): an unfinished tail is dropped
-    return sep.join(p.parts)
+    """Visible text of one page (NULL stays NULL)."""
+    return None if raw is None else sep.join(_shown(_Tokens(raw).seen))
 
 
 @lru_cache(maxsize=None)
-def _exact_udf(sep: str):
+def _text_udf(sep: str):
     @F.arrow_udf("string")
-    def exact(col: pa.Array) -> pa.Array:
-        return pa.array([parse_text(x, sep) for x in col.to_pylist()], pa.string())
+    def visible(col: pa.Array) -> pa.Array:
+        return pa.array([parse_text(x.as_py(), sep) for x in col], pa.string())
 
-    return exact
+    return visible
 
 
-def html_text_exact(html: Column | str, sep: str = "\n") -> Column:
-    return _exact_udf(sep)(_c(html))
+def html_text(html: Column | str, sep: str = "\n") -> Column:
+    """Visible text parts joined by ``sep`` (``\\n`` for files, ``\\n\\n`` for web pages)."""
+    return _text_udf(sep)(_c(html))

@@ -1,7 +1,7 @@
 """Text and title extraction as DataFrame jobs.
 
 Text-like files (Markdown, plain text, AsciiDoc, reStructuredText, HTML) are
-handled with native expressions in one narrow stage. Office formats arrive as
+handled in one narrow stage. Office formats arrive as
 *parts tables* produced by whatever decoder the user runs (page texts,
 paragraphs, shapes, cells); their assembly is an ordered aggregation per
 document. Binary decoding itself is not part of this library.
@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import BINARY_SUFFIXES
-from ..functions.html import html_text, html_text_exact, html_title
-from ..functions.text import is_blank, stem, suffix
+from ..functions.constants import BINARY_SUFFIXES, HTML_SUFFIXES, TEXT_SUFFIXES
+from ..functions.html import html_text, html_title
+from ..functions.text import is_blank, py_strip, stem, suffix
 from ..functions.titles import first_line_title, or_stem, rst_title
 
 NL = "\n"
@@ -24,7 +24,7 @@ PARA = "\n\n"
 def _ordered_join(order: list[str], value: Column, sep: str) -> Column:
     """Aggregate: ``value`` of the group's rows in ``order``, NULLs skipped, joined by ``sep``."""
     keyed = F.struct(*[F.col(c) for c in order], value.alias("_v"))
-    return F.array_join(F.transform(F.array_sort(F.collect_list(keyed)), lambda s: s["_v"]), sep)
+    return F.array_join(F.transform(F.sort_array(F.collect_list(keyed)), lambda s: s["_v"]), sep)
 
 
 # -- E2-E5: parts tables ---------------------------------------------------------
@@ -70,58 +70,50 @@ def file_kind(name: Column | str) -> Column:
     return F.lower(suffix(name))
 
 
-def extract_text_files(files: DataFrame, name: str = "name", content: str = "content", exact_html: bool = False) -> DataFrame:
-    """Text and HTML kinds (native; ``exact_html`` parses HTML with the stdlib
-    tokenizer in an Arrow UDF); other kinds get empty text and title here."""
-    kind = file_kind(F.col(name))
-    st = stem(F.col(name))
-    c = F.col(content)
-    text = (
-        F.when(kind.isin(".md", ".txt", ".adoc", ".rst"), c)
-        .when(kind.isin(".html", ".htm"), html_text_exact(c, NL) if exact_html else html_text(c, NL))
-        .otherwise(F.lit(""))
-    )
-    title = (
-        F.when(kind.isin(".md", ".adoc"), or_stem(first_line_title(c), st))
-        .when(kind == ".rst", or_stem(rst_title(c), st))
-        .when(kind == ".txt", or_stem(F.lit(""), st))
-        .when(kind.isin(".html", ".htm"), or_stem(html_title(c), st))
-        .otherwise(F.lit(""))
+def _part_text(kind: Column, content: Column) -> Column:
+    """E2-E5 for content that lists a document's parts in its own row: one part per
+    line, cells of a sheet row separated by ``", "``. No grouping: parts stay in their row."""
+    lines = F.split(content, NL)
+    rows = F.transform(lines, lambda line: F.array_join(F.split(line, ", "), " | "))
+    return (
+        F.when(kind == ".docx", F.array_join(F.filter(lines, lambda x: ~is_blank(x)), PARA))
+        .when(kind == ".xlsx", F.array_join(rows, NL))
+        .otherwise(F.array_join(lines, PARA))
     )
-    rest = [c for c in files.columns if c not in ("kind", "text", "title")]
-    return files.select(*rest, kind.alias("kind"), text.alias("text"), title.alias("title"))
 
 
-def extract_documents(files: DataFrame, name: str = "name", content: str = "content", exact_html: bool = False) -> DataFrame:
-    """``name, kind, text, title`` for every file.
-
-    Text-like kinds are narrow expressions. For PDF/DOCX/PPTX/XLSX the content
-    is treated as the decoder's part list (one part per line; XLSX cells split
-    on ``", "``) and assembled with the E2-E5 rules; their title is the stem (no
-    metadata title in this input). Unknown suffixes give empty text and title.
+def extract_documents(
+    files: DataFrame, name: str = "name", content: str = "content", title: str | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``keep..., name, kind, text, title`` for every file, one row each (files of
+    one name in different folders stay apart; carry their path or id with ``keep``).
+
+    Text kinds keep their content, HTML its visible text. For PDF/DOCX/PPTX/XLSX the
+    content is the decoder's part list. Titles: the heading or ``<title>``; for
+    PDF/DOCX/PPTX the metadata title in column ``title`` (stripped), if there is one; then
+    the stem of the name. A file that could not be read (NULL content) has empty text, and
+    an empty title if it is a text kind. Unknown suffixes give empty text and title.
     """
     from ..session import ensure_parallel
 
-    kind = file_kind(F.col(name))
-    base = ensure_parallel(files).select(F.col(name).alias("name"), F.col(content).alias("content"), kind.alias("kind"))
-    direct = extract_text_files(base.where(~F.col("kind").isin(*BINARY_SUFFIXES)), exact_html=exact_html).select(
-        "name", "kind", "text", "title"
+    n, c = F.col(name), F.col(content)
+    kind, st = file_kind(n), stem(n)
+    is_text, is_html, is_office = kind.isin(*TEXT_SUFFIXES), kind.isin(*HTML_SUFFIXES), kind.isin(*BINARY_SUFFIXES)
+    text = (
+        F.when(is_text, c)
+        .when(is_html, html_text(F.when(is_html, c), NL))
+        .when(is_office, _part_text(kind, c))
     )
-
-    binary = base.where(F.col("kind").isin(*BINARY_SUFFIXES))
-    parts = binary.select("name", "kind", F.posexplode(F.split(F.col("content"), NL)).alias("ord", "text"))
-    k, t = F.col("kind"), F.col("text")
-    pages = _ordered_join(["ord"], F.coalesce(t, F.lit("")), PARA)
-    paragraphs = _ordered_join(["ord"], F.when(~F.coalesce(is_blank(t), F.lit(True)), t), PARA)
-    shapes = pages  # every part has a text frame here
-    office = parts.where(k != ".xlsx").groupBy("name", "kind").agg(
-        F.when(k == ".pdf", pages).when(k == ".docx", paragraphs).otherwise(shapes).alias("text")
+    stated = F.lit("") if title is None else F.coalesce(py_strip(F.col(title)), F.lit(""))
+    found = (
+        F.when(kind.isin(".md", ".adoc"), first_line_title(c))
+        .when(kind == ".rst", rst_title(c))
+        .when(is_html, html_title(c))
+        .when(is_office & (kind != ".xlsx"), stated)
     )
-    cells = parts.where(k == ".xlsx").select(
-        F.col("name").alias("doc"), F.lit(0).alias("sheet"), F.col("ord").alias("row"),
-        F.posexplode(F.split(t, ", ")).alias("col", "value"),
+    unread = is_text & c.isNull()
+    named = F.when((is_text | is_html | is_office) & ~unread, or_stem(F.coalesce(found, F.lit("")), st))
+    return ensure_parallel(files).select(
+        *keep, n.alias("name"), kind.alias("kind"),
+        F.coalesce(text, F.lit("")).alias("text"), F.coalesce(named, F.lit("")).alias("title"),
     )
-    xlsx = assemble_cells(cells).select(F.col("doc").alias("name"), F.lit(".xlsx").alias("kind"), "text")
-    titled = office.unionByName(xlsx).withColumn("title", or_stem(F.lit(""), stem(F.col("name"))))
-    return direct.unionByName(titled)
-

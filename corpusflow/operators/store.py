@@ -5,11 +5,17 @@ the key followed by a write of a new snapshot. A snapshot is committed by a
 marker written after its data, so readers never see a half-written version
 and a failed job (lost executors included) leaves only an ignored folder;
 re-running the same batch writes the same rows (ids are deterministic).
+
+Large tables (``KeyedTable``) rewrite only the key buckets a batch touches, into
+a new version folder; a manifest renamed into place commits them (``Manifest``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +41,23 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+def _checked(batch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``batch`` with ``_new`` = true; a repeated key raises, as the join would multiply its rows.
+    The window needs the same partitions and order as the join after it: no extra shuffle."""
+    twice = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    fail = F.raise_error(F.lit(f"repeated key {', '.join(keys)} in the batch")).cast("boolean")
+    return batch.withColumn("_twice", twice).withColumn("_new", F.when(F.col("_twice"), fail).otherwise(F.lit(True))).drop("_twice")
+
+
 def upsert_chunks(old: DataFrame, batch: DataFrame, now: Column, seq: str | None = "seq") -> DataFrame:
     """K1: replace text/source/title of batch keys, keep ``created_at`` of existing rows,
-    keep rows not in the batch. Duplicate keys in the batch: the highest ``seq`` wins (W2)."""
+    keep rows not in the batch. Duplicate keys in the batch: the highest ``seq`` wins (W2);
+    without ``seq`` they raise."""
     if seq and seq in batch.columns:
         batch = last_wins(batch, CHUNK_KEYS, seq).drop(seq)
-    b = batch.select(
+    b = _checked(batch, CHUNK_KEYS).select(
         *CHUNK_KEYS, F.col("text").alias("_t"), F.col("source").alias("_s"),
-        F.coalesce(F.col("title"), F.lit("")).alias("_ti"), F.lit(True).alias("_new"),
+        F.coalesce(F.col("title"), F.lit("")).alias("_ti"), "_new",
     )
     j = old.join(b, list(CHUNK_KEYS), "full_outer")
     isnew = F.col("_new").isNotNull()
@@ -61,9 +76,9 @@ def delete_docs(chunks: DataFrame, doc_ids: DataFrame, doc: str = "doc_id") -> D
 
 
 def upsert_points(old: DataFrame, batch: DataFrame, keys: tuple[str, ...] = POINT_KEYS) -> DataFrame:
-    """K3: points replaced whole (vector and payload) by key; others kept."""
+    """K3: points replaced whole (vector and payload) by key; others kept. A repeated key in the batch raises."""
     cols = [c for c in old.columns if c not in keys]
-    b = batch.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_new"))
+    b = _checked(batch, keys).select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], "_new")
     j = old.join(b, list(keys), "full_outer")
     isnew = F.col("_new").isNotNull()
     return j.select(*keys, *[F.when(isnew, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
@@ -174,104 +189,192 @@ class SnapshotTable:
         fs.create(path, True).close()
 
 
+class Manifest:
+    """The committed state of a group of ``KeyedTable``s: one small JSON file per commit.
+
+    It names, per table, the key, the bucket count and the version folder of every
+    bucket, and per stream the last batch applied. All data of a commit is written
+    before it, and it appears by a rename: readers see every table of a batch or
+    none, and a crash anywhere leaves the previous state untouched. One writer at a time.
+    The last ``keep`` states stay readable; older data folders are removed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keep = keep
+
+    def _path(self, rel: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{rel}")
+
+    def _fs(self):
+        return self._path("manifests").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self, rel: str) -> list[str]:
+        """Names in a folder of the group (none if it is not there)."""
+        path = self._path(rel)
+        return [st.getPath().getName() for st in self._fs().listStatus(path)] if self._fs().exists(path) else []
+
+    def remove(self, rel: str) -> None:
+        self._fs().delete(self._path(rel), True)
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[2:-5]) for n in self.names("manifests") if n.startswith("v=") and n.endswith(".json"))
+
+    def load(self, version: int | None = None) -> dict:
+        """The newest state (or that of ``version``); before the first commit an empty one."""
+        if version is None:
+            found = self.versions()
+            if not found:
+                return {"version": -1, "applied": {}, "tables": {}}
+            version = found[-1]
+        stream = self._fs().open(self._path(f"manifests/v={version}.json"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    @staticmethod
+    def applied(state: dict, stream: str, batch: int) -> bool:
+        """Batch numbers of one stream only grow, so its last one tells about all."""
+        return batch <= state["applied"].get(stream, -1)
+
+    def commit(self, state: dict, tables: dict[str, dict], stream: str, batch: int) -> int:
+        """Make staged ``tables`` the state after ``state``; returns its version."""
+        version = state["version"] + 1
+        new = {
+            "version": version,
+            "applied": state["applied"] | {stream: batch},
+            "tables": state["tables"] | tables,
+        }
+        hidden = f"manifests/_{uuid.uuid4().hex}"
+        out = self._fs().create(self._path(hidden), True)
+        out.write(bytearray(json.dumps(new).encode()))
+        out.close()
+        if not self._fs().rename(self._path(hidden), self._path(f"manifests/v={version}.json")):
+            raise RuntimeError(f"{self.root}: version {version} was committed by another writer")
+        self._clean()
+        return version
+
+    def _clean(self) -> None:
+        versions = self.versions()
+        kept = [self.load(v) for v in versions[-self.keep:]]
+        for v in versions[:-self.keep]:
+            self.remove(f"manifests/v={v}.json")
+        for table in kept[-1]["tables"]:
+            live = {(v, int(b)) for st in kept for b, v in st["tables"].get(table, {"current": {}})["current"].items()}
+            for folder in self.names(table):
+                v = int(folder.removeprefix("v="))
+                if v > versions[-1]:
+                    continue
+                if not any(x == v for x, _ in live):
+                    self.remove(f"{table}/{folder}")
+                    continue
+                for bucket in self.names(f"{table}/{folder}"):
+                    if bucket.startswith("bucket=") and (v, int(bucket[7:])) not in live:
+                        self.remove(f"{table}/{folder}/{bucket}")
+
+
 class KeyedTable:
-    """Upsert target laid out as hash buckets of a key column (Hive partitions
-    ``bucket=<n>``, optionally under further partition columns).
-
-    An upsert reads only the buckets its batch touches (static partition
-    pruning on a list of at most ``buckets`` numbers), merges them with the
-    batch, and rewrites just those partitions with Spark's dynamic partition
-    overwrite. So a small batch costs the size of its buckets, not the table.
-    A commit marker per applied batch makes a replay of a committed batch a
-    no-op; a replay after a crash re-applies the same upsert, which is
-    idempotent (deterministic keys, ``created_at`` kept from the first write).
+    """Upsert target laid out as hash buckets of a key column:
+    ``<name>/v=<version>/bucket=<n>``, optionally under further partition columns.
+
+    An upsert reads only the buckets its batch touches, merges them with the
+    batch and writes them to a new version folder; the manifest then points those
+    buckets to it. So a batch costs the size of its buckets, not the table, and
+    readers and crashes never meet half-written rows. A replay of a committed batch is a
+    no-op. The bucket count is stored with the table: opening it with another one
+    raises, ``rebucket`` changes it. Tables that share a ``Manifest`` commit together
+    (``stage`` each, then ``Manifest.commit``).
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, bucket_key: str,
-        buckets: int = 64, partition_by: tuple[str, ...] = (),
+        self, spark: SparkSession, root: str, schema: T.StructType, bucket_key: str, buckets: int | None = None,
+        partition_by: tuple[str, ...] = (), manifest: Manifest | None = None, name: str = "data",
     ):
         self.spark = spark
-        self.root = root.rstrip("/")
         self.schema = schema
         self.bucket_key = bucket_key
-        self.buckets = buckets
         self.partition_by = partition_by
-        self._log = SnapshotTable(spark, f"{self.root}/log")
+        self.manifest = manifest or Manifest(spark, root)
+        self.name = name
+        state = self._state()
+        if state and (state["key"] != bucket_key or buckets not in (None, state["buckets"])):
+            raise ValueError(
+                f"{self.data} has {state['buckets']} buckets of {state['key']}, not {buckets} of {bucket_key}; rebucket it first"
+            )
+        self.buckets = state["buckets"] if state else buckets or 64
 
     @property
     def data(self) -> str:
-        return f"{self.root}/data"
+        return f"{self.manifest.root}/{self.name}"
+
+    def _state(self) -> dict | None:
+        return self.manifest.load()["tables"].get(self.name)
 
     def bucket_col(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.bucket_key)), F.lit(self.buckets)).cast("int")
 
-    def committed(self) -> list[int]:
-        return self._log.committed_versions()
-
-    def _exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.data)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-    def read_raw(self) -> DataFrame:
-        if not self._exists():
-            fields = list(self.schema.fields) + [T.StructField("bucket", T.IntegerType(), False)]
-            return self.spark.createDataFrame([], T.StructType(fields))
-        return self.spark.read.parquet(self.data)
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """Committed rows, of all buckets or of those listed (no other folder is opened)."""
+        current = (self._state() or {"current": {}})["current"]
+        paths = [f"{self.data}/v={v}/bucket={b}" for b, v in current.items() if buckets is None or int(b) in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        laid_out = T.StructType(self.schema.fields + [T.StructField(c, T.IntegerType()) for c in ("v", "bucket")])
+        return self.spark.read.schema(laid_out).option("basePath", self.data).parquet(*paths).select(*self.schema.fieldNames())
 
-    def read(self) -> DataFrame:
-        return self.read_raw().select(*self.schema.fieldNames())
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """Rows whose columns equal a row of ``keys`` (which has the bucket key); reads the buckets of ``keys`` only."""
+        return self.read(self.touched(keys)).join(keys.distinct(), keys.columns, "left_semi")
 
     def touched(self, batch: DataFrame) -> list[int]:
         """Buckets of a batch: at most ``buckets`` small ints."""
         return sorted(r[0] for r in batch.select(self.bucket_col().alias("b")).distinct().collect())
 
-    def upsert(
-        self, batch: DataFrame, merge, version: int, touched: list[int] | None = None, may_delete: bool = False
-    ) -> bool:
-        """Apply ``merge(old_rows_of_touched_buckets, batch)`` for batch ``version``; False if already applied.
-
-        ``may_delete``: the merge can drop rows, so a partition can end up empty;
-        dynamic overwrite would leave such a partition untouched, so the merged
-        rows are staged first and emptied partitions are removed after the write.
-        """
-        if version in self.committed():
-            return False
+    def stage(self, batch: DataFrame, merge, version: int, touched: list[int] | None = None) -> dict:
+        """Write ``merge(old rows of the touched buckets, batch)`` as ``version``; returns the table's
+        state for ``Manifest.commit``. Buckets that end up empty leave the state."""
+        current = dict((self._state() or {"current": {}})["current"])
         touched = self.touched(batch) if touched is None else touched
         if touched:
-            parts = [*self.partition_by, "bucket"]
-            old = self.read_raw().where(F.col("bucket").isin(touched))
-            merged = merge(old.select(*self.schema.fieldNames()), batch).withColumn("bucket", self.bucket_col())
-            merged = merged.select(*self.schema.fieldNames(), "bucket")
-            if may_delete:
-                staged = f"{self.root}/staging/v={version}"
-                merged.write.mode("overwrite").parquet(staged)
-                merged = self.spark.read.parquet(staged)
-                before = {tuple(r) for r in old.select(*parts).distinct().collect()}  # at most partitions x buckets
-                after = {tuple(r) for r in merged.select(*parts).distinct().collect()}
+            parts = ["bucket", *self.partition_by]
+            merged = merge(self.read(touched), batch).select(*self.schema.fieldNames()).withColumn("bucket", self.bucket_col())
             # rows of a bucket meet in few tasks (no small files); the rebalance hint lets
             # AQE split a bucket that holds a hot document over several writers
-            (
-                merged.hint("rebalance", *parts).write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(self.data)
-            )
-            if may_delete:
-                for gone in before - after:
-                    self._drop_partition(dict(zip(parts, gone)))
-        self._log.mark(version)
+            merged.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.data}/v={version}")
+            written = {n[7:] for n in self.manifest.names(f"{self.name}/v={version}") if n.startswith("bucket=")}
+            if not written <= {str(b) for b in touched}:
+                raise ValueError(f"{self.data}: rows outside the touched buckets")
+            current = {b: v for b, v in current.items() if int(b) not in touched} | {b: version for b in written}
+        return {"key": self.bucket_key, "buckets": self.buckets, "current": current}
+
+    def upsert(self, batch: DataFrame, merge, batch_id: int, touched: list[int] | None = None, stream: str = "batch") -> bool:
+        """Stage and commit one batch of this table alone; False if it is applied already."""
+        state = self.manifest.load()
+        if Manifest.applied(state, stream, batch_id):
+            return False
+        staged = self.stage(batch, merge, state["version"] + 1, touched)
+        self.manifest.commit(state, {self.name: staged}, stream, batch_id)
         return True
 
-    def _drop_partition(self, values: dict) -> None:
-        jvm = self.spark.sparkContext._jvm
-        esc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        rel = "/".join(f"{k}={esc(str(v))}" for k, v in values.items())
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.data}/{rel}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-    def delete(self, keys: DataFrame, version: int) -> bool:
+    def delete(self, keys: DataFrame, batch_id: int, stream: str = "batch") -> bool:
         """K2 on the stored table: drop every row whose bucket key is listed in ``keys``
         (e.g. all chunks of some documents); only their buckets are rewritten."""
-        col = self.bucket_key
-        return self.upsert(keys.select(col).distinct(), lambda old, b: old.join(b, col, "left_anti"), version, may_delete=True)
-
+        return self.upsert(keys.select(self.bucket_key).distinct(), self.without, batch_id, stream=stream)
+
+    def without(self, old: DataFrame, keys: DataFrame) -> DataFrame:
+        return old.join(keys, self.bucket_key, "left_anti")
+
+    def rebucket(self, buckets: int) -> None:
+        """Lay the whole table out anew in ``buckets`` buckets (as the table grows)."""
+        state = self.manifest.load()
+        rows, self.buckets = self.read(), buckets
+        version = state["version"] + 1
+        parts = ["bucket", *self.partition_by]
+        rows.withColumn("bucket", self.bucket_col()).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(
+            f"{self.data}/v={version}"
+        )
+        written = {n[7:]: version for n in self.manifest.names(f"{self.name}/v={version}") if n.startswith("bucket=")}
+        staged = {"key": self.bucket_key, "buckets": buckets, "current": written}
+        self.manifest.commit(state, {self.name: staged}, "rebucket", version)

@@ -160,7 +160,7 @@ SELECT name, kind, coalesce(CASE
 FROM parts WHERE kind <> '.xlsx' GROUP BY name, kind"""
     xlsx = f"""
 SELECT name, '.xlsx' AS kind, coalesce(string_agg(r, {NL} ORDER BY o), '') AS text, {Q.or_stem("''", Q.stem('name'))} AS title
-FROM (SELECT name, o, nullif(string_agg(v, ' | ' ORDER BY c), '') AS r FROM (
+FROM (SELECT name, o, string_agg(v, ' | ' ORDER BY c) AS r FROM (
         SELECT name, o, unnest(string_split(t, ', ')) AS v, generate_subscripts(string_split(t, ', '), 1) AS c
         FROM parts WHERE kind = '.xlsx') GROUP BY name, o)
 GROUP BY name"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.chunking import chunk_documents, chunk_span_col
+from ..functions.chunking import chunk_documents, chunk_list
 from ..functions.constants import WS_CLASS
 from ..functions.embedding import embed_frame
 from ..functions.vectors import l2_normalize, quantize_int8
@@ -30,10 +30,7 @@ SELECT d.source, coalesce(c.chunks, []) AS chunks FROM v_docs d LEFT JOIN (
   SELECT source, list(text ORDER BY chunk_id) AS chunks FROM ({doc_chunks_sql(_DOCS)}) GROUP BY source) c
 ON c.source = d.source""", "v_docs"))
 def q_chunk_text(fx: Fixtures):
-    d = fx.v_docs()
-    spans = chunk_span_col("text")
-    chunks = F.transform(spans, lambda s: F.substring(F.col("text"), s["b"] + 1, s["e"] - s["b"]))
-    return d.select("source", chunks.alias("chunks"))
+    return fx.v_docs().select("source", chunk_list("text").alias("chunks"))
 
 
 @query("number_chunks", "W1", with_views(f"SELECT doc_id, chunk_id, text FROM ({doc_chunks_sql(_DOCS)})", "v_docs"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import ALL_SUFFIXES, DEFAULT_GLOB
-from ..functions.html import html_text, html_text_exact, html_title
+from ..functions.html import html_text, html_title
 from ..functions.text import decode_text, glob_regex, is_blank, suffix
 from ..session import ensure_parallel
 
@@ -72,18 +72,17 @@ def read_text(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def scan_pages(
-    pages: DataFrame, url: str = "url", content_type: str = "content_type", body: str = "body", exact_html: bool = False
+    pages: DataFrame, url: str = "url", content_type: str = "content_type", body: str = "body"
 ) -> DataFrame:
     """S4 + E6/E7 + P3: crawled pages -> documents (text, source, title).
 
     HTML when the content type contains ``html`` in any case: visible text
     joined by blank lines and the ``<title>``; otherwise the body as is and an
     empty title. Pages blank after strip are dropped. No stem fallback for web.
-    ``exact_html`` parses with the stdlib tokenizer in an Arrow UDF instead of
-    the native expressions (for markup outside the native rules).
+    Other bodies do not enter the parser: it gets NULL for them.
     """
     is_html = F.lower(F.coalesce(F.col(content_type), F.lit(""))).contains("html")
-    parsed = html_text_exact(F.col(body), "\n\n") if exact_html else html_text(F.col(body), "\n\n")
+    parsed = html_text(F.when(is_html, F.col(body)), "\n\n")
     text = F.when(is_html, parsed).otherwise(F.col(body))
     title = F.when(is_html, html_title(F.col(body))).otherwise(F.lit(""))
     # The blank filter sits inside a generator so the parsed text is computed once

@@ -1,9 +1,9 @@
 """Polling ingestion as Structured Streaming jobs.
 
 Every job is ``readStream`` -> ``foreachBatch`` with a checkpoint in the
-shared checkpoint folder. Micro-batch ``batch_id`` is applied as ingest batch
-``base + batch_id`` (``base`` is fixed per checkpoint). A batch with a commit
-marker is skipped, and a half-applied one is re-applied by idempotent upserts.
+shared checkpoint folder. The checkpoint names the stream and the micro-batch its
+``batch_id``; the tables' manifest keeps the last batch of each stream. A committed
+batch is skipped, and a half-applied one, which no reader has seen, is applied again.
 So a restarted query (after a crash or lost executors) replays its last batch
 without duplicating anything (T5). ``supervise`` restarts a failed query from
 its checkpoint: the failed cycle is logged and the loop goes on.
@@ -75,12 +75,9 @@ def start_ingest_stream(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Every trigger, ingest the new documents (``text, source, title``) with ``job``."""
-    spark = docs.sparkSession
-    base = _version_base(spark, checkpoint, job.registry_table.current_version())
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        d = prepare(batch) if prepare else batch
-        job.run(d, base + batch_id)
+        job.run(prepare(batch) if prepare else batch, batch_id, stream=checkpoint)
 
     return _start(docs, each, checkpoint, trigger or {"processingTime": "15 minutes"})
 

@@ -168,3 +168,19 @@ def test_sql_twin_of_the_splitter(texts, size, overlap):
     for k, t in enumerate(texts):
         have = [got.get(k, {})[i] for i in range(len(got.get(k, {})))]
         assert have == chunk_text(t, size, overlap)
+
+
+def test_cutting_grows_with_the_length_of_the_document(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    def seconds(words):
+        df = spark.range(1).select(F.repeat(F.lit("wörd and more. "), words).alias("text"))
+        t = time.perf_counter()
+        chunk_documents(df).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+
+    seconds(1000)
+    one, four = min(seconds(70_000) for _ in range(3)), min(seconds(280_000) for _ in range(3))  # 1 and 4 MB
+    assert four < 6 * one

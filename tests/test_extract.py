@@ -2,9 +2,11 @@
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusflow.functions.html import html_text, html_text_exact, html_title, parse_text
+from corpusflow.functions.html import html_text, html_title, parse_text
 from corpusflow.operators.extract import assemble_cells, assemble_pages, assemble_paragraphs, extract_documents
 
 FILES = [
@@ -50,25 +52,59 @@ def test_exact_parser_rules(html, want):
     assert parse_text(html) == want
 
 
-NATIVE_CASES = HTML_CASES[:5] + [
+MORE_CASES = HTML_CASES + [
     ("<nav></p>a</nav>b", "b"),
     ("<nav>a<!-- c -->b</nav>c", "c"),
     ("<footer>x</span>y<b>z</b>", "z"),
     ("<p>keep<!-- hidden --> more</p>", "keep\nmore"),
+    ("<p>&copy; &mdash; &#x27;q&#x27;</p>", "\u00a9 \u2014 'q'"),
+    ("<p>a &#390; b</p>", "a \u0186 b"),
+    ("<p>&ltimes;</p>", "\u22c9"),
+    ("<!-- <script> --> visible <script>x</script> end<br>", "visible\nend"),
+    ('<script>var a="</style>"; leak()</script>z<br>', "z"),
+    ('<a title="x>y">link</a>', "link"),
 ]
 
 
-def test_native_rules(spark):
-    df = spark.createDataFrame([(h,) for h, _ in NATIVE_CASES], "h string")
-    got = [r["t"] for r in df.select(html_text("h").alias("t")).collect()]
-    assert got == [w for _, w in NATIVE_CASES]
-    assert got == [parse_text(h) for h, _ in NATIVE_CASES]
+def test_html_text_column(spark):
+    df = spark.createDataFrame([(h,) for h, _ in MORE_CASES] + [(None,)], "h string")
+    assert [r["t"] for r in df.select(html_text("h").alias("t")).collect()] == [w for _, w in MORE_CASES] + [None]
 
 
-def test_native_equals_exact_on_pages(spark):
-    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    rows = df.select(html_text("html").alias("a"), html_text_exact("html").alias("b")).collect()
-    assert all(r["a"] == r["b"] for r in rows)
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<nav>", "</nav>", "<p>", "</p>", "<script>", "</script>", "<!--", "-->", "text", " a < b ", "&amp;", "&#390;", "&copy", '<a t="x>y">', "</", "<footer/>"]
+), max_size=12))
+def test_html_text_against_the_tokenizer(parts):
+    """A plain second form: what the tokenizer reports, with the flag kept as text arrives."""
+    from html.parser import HTMLParser
+
+    hidden, kept = [False], []
+    parser = HTMLParser()
+    listed = ("script", "style", "nav", "header", "footer")
+    parser.handle_starttag = lambda tag, attrs: hidden.__setitem__(0, tag in listed)
+    parser.handle_endtag = lambda tag: hidden.__setitem__(0, hidden[0] and tag not in listed)
+    parser.handle_data = lambda data: kept.append("" if hidden[0] else data.strip())
+    parser.feed("".join(parts))
+    assert parse_text("".join(parts)) == "\n".join(x for x in kept if x)
+
+
+def test_extraction_keeps_files_apart(spark):
+    df = spark.createDataFrame(
+        [("x/a.pdf", "a.pdf", "one\ntwo", " Meta "), ("y/a.pdf", "a.pdf", "", None), ("n.pdf", "n.pdf", None, ""),
+         ("n.md", "n.md", None, None), ("n.html", "n.html", None, None), ("s.xlsx", "s.xlsx", "a, b\n\nc", "unused"),
+         ("d.docx", "d.docx", "p\n \nq", "T")],
+        "path string, name string, content string, meta string",
+    )
+    from corpusflow.operators.extract import extract_documents as run
+
+    got = {r["path"]: (r["text"], r["title"]) for r in run(df, title="meta", keep=("path",)).collect()}
+    assert got == {
+        "x/a.pdf": ("one\n\ntwo", "Meta"), "y/a.pdf": ("", "a"), "n.pdf": ("", "n"), "n.md": ("", ""),
+        "n.html": ("", "n"), "s.xlsx": ("a | b\n\nc", "s"), "d.docx": ("p\n\nq", "T"),
+    }
+    plan = run(df, keep=("path",))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
 
 
 def test_html_title_keeps_entities(spark):
@@ -116,20 +152,21 @@ def test_scan_tree_on_storage(spark, tmp_path):
     assert allmd == {"docs/a/x.md", "top.md"}
 
 
-def test_exact_html_mode(spark):
+def test_pages_of_both_kinds(spark):
     from corpusflow.sources.scans import scan_pages
 
     pages = spark.createDataFrame(
-        [("u1", "text/html", "<nav></p>a</nav>b"), ("u2", "text/plain", "plain")], "url string, content_type string, body string"
+        [("u1", "text/html", "<nav></p>a</nav>b<br>"), ("u2", "text/plain", "plain"), ("u3", None, " "), ("u4", "text/html", None)],
+        "url string, content_type string, body string",
     )
-    got = {r["source"]: r["text"] for r in scan_pages(pages, exact_html=True).collect()}
+    got = {r["source"]: r["text"] for r in scan_pages(pages).collect()}
     assert got == {"u1": "b", "u2": "plain"}
 
 
 def test_long_inputs_do_not_overflow_the_regex_stack(spark):
     from corpusflow.functions.titles import first_line_title
 
-    page = "<p>a</p><nav>" + ("word " * 60000) + "</nav><p>tail</p><!--" + ("c" * 200000) + "-->end"
+    page = "<p>a</p><nav>" + ("word " * 60000) + "</nav><p>tail</p><!--" + ("c" * 200000) + "-->end<br>"
     line = "# " + ("x" * 300000) + "\nrest"
     df = spark.createDataFrame([(page, line)], "h string, m string")
     r = df.select(html_text("h").alias("t"), first_line_title("m").alias("ti")).first()

@@ -118,23 +118,123 @@ def test_keyed_table_rewrites_only_touched_buckets(spark, scratch):
     rows = [(f"d{i}", c, f"t{i}-{c}", "s", "t", T0) for i in range(40) for c in range(3)]
     merge = lambda old, b: K.upsert_chunks(old, b, _now(), seq=None)
     assert t.upsert(_chunks(spark, rows), merge, 0)
-    root = scratch.replace("file:", "") + "/data"
-
-    def files():
-        return {d: set(fs) for d, _, fs in os.walk(root) if os.path.basename(d).startswith("bucket=")}
-
-    before = files()
+    before = t._state()["current"]
     one = _chunks(spark, [("d7", 0, "new", "s", "t", T0), ("d99", 0, "fresh", "s", "t", T0)])
     assert t.upsert(one, merge, 1)
     assert not t.upsert(one, merge, 1)  # replay of a committed batch
-    after = files()
-    changed = {d for d in after if after[d] != before.get(d)}
-    touched = {r[0] for r in one.select(t.bucket_col()).distinct().collect()}
-    assert changed == {os.path.join(root, f"bucket={b}") for b in touched}
+    after = t._state()["current"]
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert changed == {str(b) for b in t.touched(one)}
     got = {(r["doc_id"], r["chunk_id"]): r["text"] for r in t.read().collect()}
     assert len(got) == 121 and got[("d7", 0)] == "new" and got[("d7", 1)] == "t7-1" and got[("d99", 0)] == "fresh"
 
 
+def _merge(old, b):
+    return K.upsert_chunks(old, b, _now(), seq=None)
+
+
+def test_keyed_table_keeps_its_bucket_count(spark, scratch):
+    import pytest
+
+    rows = _chunks(spark, [(f"d{i}", 0, f"t{i}", "s", "t", T0) for i in range(40)])
+    K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=8).upsert(rows, _merge, 0)
+    with pytest.raises(ValueError):
+        K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=4)
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id")
+    assert t.buckets == 8
+    t.rebucket(3)
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=3)
+    t.upsert(rows, _merge, 1)
+    assert t.read().count() == 40 and len(t._state()["current"]) <= 3
+
+
+def test_keyed_table_lookup_reads_the_buckets_of_its_keys(spark, scratch):
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=16)
+    t.upsert(_chunks(spark, [(f"d{i}", c, f"t{i}-{c}", "s", "t", T0) for i in range(30) for c in (0, 1)]), _merge, 0)
+    found = t.lookup(spark.createDataFrame([("d3", 1), ("d3", 1), ("nope", 0)], "doc_id string, chunk_id int"))
+    assert [r["text"] for r in found.collect()] == ["t3-1"]
+    assert {f.split("bucket=")[1].split("/")[0] for f in t.read(t.touched(found)).inputFiles()} == {str(b) for b in t.touched(found)}
+
+
+def test_a_crash_between_write_and_commit_leaves_the_table(spark, scratch):
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=2)
+    t.upsert(_chunks(spark, [(f"d{i}", 0, "a", "s", "t", T0) for i in range(20)]), _merge, 0)
+    batch = _chunks(spark, [("d1", 0, "b", "s", "t", T0)])
+    t.stage(batch, _merge, 1)  # data written, never committed
+    assert {r["text"] for r in t.read().collect()} == {"a"}
+    assert t.upsert(batch, _merge, 1)
+    assert sorted(r["text"] for r in t.read().collect()) == ["a"] * 19 + ["b"]
+
+
+def test_old_versions_go_and_emptied_buckets_stay_empty(spark, scratch):
+    t = K.KeyedTable(spark, scratch, K.CHUNK_SCHEMA, "doc_id", buckets=1)
+    for i in range(6):
+        t.upsert(_chunks(spark, [("d", 0, f"t{i}", "s", "t", T0)]), _merge, i)
+    assert [r["text"] for r in t.read().collect()] == ["t5"]
+    assert sorted(t.manifest.names("data")) == ["v=3", "v=4", "v=5"] and len(t.manifest.versions()) == 3
+    t.delete(spark.createDataFrame([("d",)], "doc_id string"), 6)
+    assert t.read().count() == 0
+
+
+def test_repeated_batch_keys_raise(spark):
+    import pytest
+
+    old = _chunks(spark, [("d", 0, "a", "s", "t", T0)])
+    with pytest.raises(Exception, match="repeated key"):
+        K.upsert_chunks(old, _chunks(spark, [("d", 0, "b", "s", "t", T0), ("d", 0, "c", "s", "t", T0)]), _now(), seq=None).collect()
+
+
+def _job(spark, scratch, **kw):
+    from corpusflow.plans.ingest import IngestJob
+
+    return IngestJob(spark, scratch, buckets=2, **kw)
+
+
+def test_a_document_in_two_collections_has_one_row_per_chunk(spark, scratch):
+    job = _job(spark, scratch)
+    rows = [("body", "git://a", "t", c) for c in ("one", "two")] + [(f"n{i}", "git://b", "t", "one") for i in range(1)]
+    for i in range(3):
+        docs = spark.createDataFrame([*rows[:2], (f"neighbour {i}", "git://b", "t", "one")], "text string, source string, title string, collection string")
+        job.run(docs, i)
+        assert job.chunks().count() == 2 and job.points().count() == 3
+    assert {r["text"] for r in job.chunks().collect()} == {"body", "neighbour 2"}
+
+
+def test_the_last_of_colliding_sources_wins(spark, scratch):
+    job = _job(spark, scratch)
+    for i, seq in enumerate([(1, 2), (4, 3)]):
+        docs = spark.createDataFrame([("one", "git://a", "t", seq[0]), ("two", "git://a", "t", seq[1])], "text string, source string, title string, seq int")
+        job.run(docs, i)
+        assert [r["text"] for r in job.chunks().collect()] == [["two"], ["one"]][i]
+
+
+def test_streams_do_not_hide_each_others_batches(spark, scratch):
+    job = _job(spark, scratch)
+    for i, (stream, batch) in enumerate([("a", 0), ("b", 0), ("b", 1), ("a", 1)]):
+        job.run(spark.createDataFrame([("x", f"git://{i}", "t")], "text string, source string, title string"), batch, stream=stream)
+    assert job.chunks().count() == 4
+
+
+def test_log_after_a_replay_and_after_a_failure(spark, scratch):
+    import pytest
+
+    from corpusflow.operators import metrics as M
+
+    docs = spark.createDataFrame([("x", "git://a", "t"), ("y", "git://b", "t")], "text string, source string, title string")
+    job = _job(spark, scratch)
+    job.run(docs, 0)
+    job.run(docs, 1)
+    log = sorted(job.ingest_log().select("batch_id", "n_docs", "n_chunks", "skipped", "ok").collect())
+    assert [tuple(r) for r in log] == [(0, 2, 2, 0, True), (1, 0, 0, 2, None)]
+    job.model = "no such model"
+    with pytest.raises(Exception):
+        job.run(docs.withColumn("source", F.concat("source", F.lit("2"))), 2)
+    assert job.chunks().count() == 2  # nothing of the failed batch is seen
+    assert job.ingest_log().where("NOT ok").select("batch_id", "n_docs").collect() == [(2, 0)]
+    values = {r["metric"]: r["value"] for r in M.counter_metrics(job.ingest_log()).collect()}
+    assert 2.0 in values.values()
+
+
 def test_micro_batches_cover_every_row_in_groups_of_n(spark):
     from corpusflow.operators.aggregates import micro_batches
 
