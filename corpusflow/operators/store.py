@@ -75,10 +75,12 @@ def delete_docs(chunks: DataFrame, doc_ids: DataFrame, doc: str = "doc_id") -> D
     return chunks.join(doc_ids.select(doc), doc, "left_anti")
 
 
-def upsert_points(old: DataFrame, batch: DataFrame, keys: tuple[str, ...] = POINT_KEYS) -> DataFrame:
-    """K3: points replaced whole (vector and payload) by key; others kept. A repeated key in the batch raises."""
+def upsert_points(old: DataFrame, batch: DataFrame, keys: tuple[str, ...] = POINT_KEYS, checked: bool = False) -> DataFrame:
+    """K3: points replaced whole (vector and payload) by key; others kept. With ``checked``
+    (the stored tables) a repeated key in the batch raises."""
     cols = [c for c in old.columns if c not in keys]
-    b = _checked(batch, keys).select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], "_new")
+    batch = _checked(batch, keys) if checked else batch.withColumn("_new", F.lit(True))
+    b = batch.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], "_new")
     j = old.join(b, list(keys), "full_outer")
     isnew = F.col("_new").isNotNull()
     return j.select(*keys, *[F.when(isnew, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in cols])

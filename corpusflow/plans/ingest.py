@@ -192,7 +192,8 @@ class IngestJob:
         pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
         # points: only the buckets of the chunks to embed (none on a replay)
         self._embedding = True
-        points = self.point_table.stage(pts, K.upsert_points, version, self.point_table.touched(todo) if self.skip_indexed else touched)
+        buckets = self.point_table.touched(todo) if self.skip_indexed else touched
+        points = self.point_table.stage(pts, lambda old, b: K.upsert_points(old, b, checked=True), version, buckets)
         self._embedding = False
         chunk_state = self._stage_chunks(chunks, touched, version, now, len({r["collection"] for r in facts}) > 1)
 
