@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ..session import scratch_path
 
 #: ASCII white space that separates words in every contract: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of an Arrow batch that a task turns into Python objects together.
+SLICE = 256
 #: Rows of an inner side that may be broadcast; checked by a count, beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -27,6 +31,13 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a worker's memory follows the piece."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished jobs now instead of
     at the driver's next full garbage collection, so peak disk stays low."""

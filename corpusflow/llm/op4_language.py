@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import bytewise as bw
-from .common import table
+from .common import slices, table
 
 BITS, DIM = 15, 16
 BUCKETS = 1 << BITS
@@ -73,6 +73,19 @@ def _padded(part: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buf, starts
 
 
+def _cut(buf: np.ndarray, limit: int = bw.CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of a padded buffer that each start and end on a word edge (only a longer
+    word makes one longer): neighbours share that byte, and no subword is lost or
+    counted twice, as none has an edge inside and two edges are none."""
+    at, last = 0, len(buf) - 1
+    while at < last:
+        end = min(at + limit, last)
+        while end < last and _FOLD[buf[end]] != _EDGE:
+            end += 1
+        yield at, end + 1
+        at = end
+
+
 @dataclass(frozen=True)
 class Model:
     langs: list[str]
@@ -87,9 +100,16 @@ class Model:
         for part, _, _ in bw.chunks(texts):
             buf, starts = _padded(part)
             total, count = np.zeros((len(part), len(self.langs))), np.zeros(len(part))
-            for bucket, whole in subwords(buf):
-                total += np.add.reduceat(self.logits[np.where(whole, bucket, BUCKETS)], starts, axis=0)
-                count += np.add.reduceat(whole, starts, dtype=np.int64)
+            for a, b in _cut(buf):
+                # texts of the range, the first and the last perhaps in part
+                first, last = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b, "left")
+                text = slice(max(first, 0), last)
+                begin = np.maximum(starts[text] - a, 0)
+                if not len(begin):
+                    continue
+                for bucket, whole in subwords(buf[a:b]):
+                    total[text] += np.add.reduceat(self.logits[np.where(whole, bucket, BUCKETS)], begin, axis=0)
+                    count[text] += np.add.reduceat(whole, begin, dtype=np.int64)
             found.append(total / np.maximum(count, 1)[:, None] + self.bias)
         z = np.concatenate(found) / self.temperature if found else np.zeros((0, len(self.langs)))
         p = np.exp(z - z.max(1, keepdims=True))
@@ -199,7 +219,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             lang, score = model.predict(texts) if model else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
             good = [x != UNKNOWN and s >= model.bound for x, s in zip(lang, score, strict=True)]

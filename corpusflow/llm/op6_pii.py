@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
@@ -217,7 +217,7 @@ def detect(docs: DataFrame) -> DataFrame:
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, digest, listed, added = [[] for _ in KINDS], [], [], []
             for text in batch.column(1).to_pylist():
                 base, every = spans(text)
@@ -238,7 +238,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             clean = [redact(t, spans(t)[1]) for t in batch.column(at).to_pylist()]
             columns = [*batch.columns[:at], pa.array(clean, pa.string()), *batch.columns[at + 1 :]]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)

@@ -24,9 +24,9 @@ from pyspark.sql import SparkSession
 from . import bytewise as bw
 
 #: Bytes of text whose words are looked up together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Units kept per worker; beyond it the memo starts anew (results do not change).
-MEMO = 2_000_000
+MEMO = 500_000
 _PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 #: Pre-token pattern of the tokenizer file (fixed value).
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
