@@ -49,9 +49,10 @@ def scan_tree(spark: SparkSession, root: str, glob: str = DEFAULT_GLOB) -> DataF
     *relative* path (``pathGlobFilter`` only sees the file name). Note: Spark
     file sources skip names starting with ``.`` or ``_``.
     """
-    root = root.rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?" + _re_escape(root.lstrip("file:")) + "/", "")
+    rel = F.regexp_replace(F.col("path"), "^" + _re_escape(full) + "/", "")  # paths of files are qualified, as ``full``
     out = df.select(rel.alias("path"), F.col("content"), F.col("length"))
     regex = glob_regex(F.lit(glob))
     ok = F.expr("regexp_like(path, _re)")

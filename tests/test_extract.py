@@ -148,6 +148,7 @@ def test_scan_tree_on_storage(spark, tmp_path):
     (tmp_path / "top.md").write_text("t")
     got = {r["path"]: r["text"] for r in read_text(scan_tree(spark, str(tmp_path), "docs/**/*")).collect()}
     assert got == {"docs/a/x.md": "# X\nbody�", "docs/y.TXT": "y"}
+    assert scan_tree(spark, f"file://{tmp_path}/", "docs/**/*").count() == 2
     allmd = {r["path"] for r in scan_tree(spark, str(tmp_path), "**/*.md").collect()}
     assert allmd == {"docs/a/x.md", "top.md"}
 
