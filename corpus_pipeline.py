@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, up to a few edits, go from the texts."""
+    """Lines that repeat an earlier line, up to two edits, go from the texts."""
     ship_package(spark)
     return _recounted(op7_lines.dedup_lines(docs), docs)
 

@@ -5,7 +5,7 @@ doc_id, then line number; judged on the input). Distinct lines of ``MIN_NEAR``
 code points or more are cut into TAU + 1 segments: of two lines within TAU edits
 one must hold a segment of the shorter at a place that the length difference
 bounds, so an index on (length, segment number, segment) is probed with those
-few substrings; within one edit, outlines of the ends prune pairs in the join.
+few substrings; parities of the lines' character counts prune pairs in the join.
 Keys that very many lines share are split once more by segments
 of what is left of the line. Candidates are verified by banded bit-parallel edit
 distance over the part between common ends.
@@ -18,14 +18,12 @@ gives no rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_checked, stored, table
 
-TAU = 1
+TAU = 2
 MIN_NEAR = 16
 #: Lines that may share an index key before the key is split further.
 HOT = 500
@@ -61,33 +59,23 @@ def probe_keys(base: Column, text: Column, length: Column, tau: int) -> Column:
     return F.array_compact(F.array(*keys))
 
 
-def _outline(pieces: int = 8) -> Column:
-    """Four-bit hashes of a line's first and last ``pieces`` pieces of width w, packed:
-    the first from the lowest bits on, the last from bit 32 on, outer pieces first."""
-    starts = [F.col("w") * k for k in range(pieces)] + [F.col("n") - F.col("w") * (k + 1) for k in range(pieces)]
-    lanes = [F.shiftleft(F.xxhash64(F.substring(F.col("line"), at + 1, F.col("w"))).bitwiseAND(F.lit(15)), 4 * k) for k, at in enumerate(starts)]
-    return reduce(lambda x, y: x.bitwiseOR(y), lanes)
+def _parity() -> Column:
+    """64 bits: which of 64 classes of characters occur an odd number of times."""
+    return F.expr("aggregate(split(line, ''), 0L, (bits, c) -> bits ^ shiftleft(1L, hash(c)))")
 
 
 def _may_match(tau: int) -> Column:
-    """Outlines of lines within one edit agree in all but one piece, counted from
-    both ends (n is at least 8 w); other widths and more edits are not judged."""
-    if tau != 1:
-        return F.lit(True)
-
-    def agree(x: Column) -> Column:
-        return F.least(F.lit(8), F.floor(F.bit_count(x.bitwiseAND(-x) - 1) / 4))
-
-    differ = F.col("outline").bitwiseXOR(F.col("other_outline"))
-    return (F.col("w") != F.col("other_w")) | (agree(differ.bitwiseAND(F.lit(0xFFFFFFFF))) + agree(F.shiftrightunsigned(differ, 32)) >= 7)
+    """An edit takes at most one character and adds at most one, so lines within
+    ``tau`` edits differ in at most 2 tau parities."""
+    return F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity"))) <= 2 * tau
 
 
 def candidates(lines: DataFrame, tau: int) -> DataFrame:
     """Pairs (a, b), a < b, of lines (lid, line, n) that share a key."""
     none = F.lit(0).cast("long")
-    drawn = lines.withColumn("w", F.expr("cast(pow(2, floor(log2(n / 8))) as int)")).withColumn("outline", _outline())
-    index = drawn.select("lid", "w", "outline", F.explode(index_keys(none, F.col("line"), F.col("n"), tau)).alias("key"))
-    probe = drawn.select(F.col("lid").alias("other"), F.col("w").alias("other_w"), F.col("outline").alias("other_outline"),
+    drawn = lines.withColumn("parity", _parity())
+    index = drawn.select("lid", "parity", F.explode(index_keys(none, F.col("line"), F.col("n"), tau)).alias("key"))
+    probe = drawn.select(F.col("lid").alias("other"), F.col("parity").alias("other_parity"),
                          F.explode(probe_keys(none, F.col("line"), F.col("n"), tau)).alias("key"))
     hot = stored(index.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > HOT).select("key"), "hot_keys")
     cool = index
@@ -96,7 +84,7 @@ def candidates(lines: DataFrame, tau: int) -> DataFrame:
     met = probe.join(cool, "key").where((F.col("lid") != F.col("other")) & _may_match(tau))
     pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b"))
     if n_hot:
-        pairs = pairs.union(_hot_candidates(lines, hot, tau))
+        pairs = pairs.union(_hot_candidates(drawn, hot, tau))
     return pairs.distinct()
 
 
@@ -117,10 +105,10 @@ def _hot_candidates(lines: DataFrame, hot: DataFrame, tau: int) -> DataFrame:
                 found.append(F.when(fits, F.struct(_key(none, short, j, F.col("line"), at + shift, width).alias("key"), _without(at + shift, width).alias("rest"))))
     sides = []
     for keys, second in ((F.array(*own), index_keys), (F.array_compact(F.array(*found)), probe_keys)):
-        rows = lines.select("lid", F.inline(keys)).join(broadcast_checked(hot, 100_000), "key")
+        rows = lines.select("lid", "parity", F.inline(keys)).join(broadcast_checked(hot, 100_000), "key")
         rows = rows.withColumn("m", F.char_length("rest"))
-        sides.append(rows.select("lid", F.explode(second(F.col("key"), F.col("rest"), F.col("m"), tau)).alias("second")))
-    met = sides[1].withColumnRenamed("lid", "other").join(sides[0], "second").where("lid <> other")
+        sides.append(rows.select("lid", "parity", F.explode(second(F.col("key"), F.col("rest"), F.col("m"), tau)).alias("second")))
+    met = sides[1].withColumnsRenamed({"lid": "other", "parity": "other_parity"}).join(sides[0], "second").where((F.col("lid") != F.col("other")) & _may_match(tau))
     return met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b"))
 
 

@@ -224,6 +224,36 @@ def test_op7_equals_all_pairs(spark, monkeypatch, tau, hot):
     assert {r.doc_id: r.text for r in op7_lines.dedup_lines(df, tau).collect()} == expected
 
 
+def test_op7_and_the_stage_take_lines_two_edits_apart(spark):
+    import corpus_pipeline
+
+    base = "All rights reserved 2014, no part of page 37 may be copied"
+    edited = {1: base.replace("2014", "2025"), 2: base.replace("part", "paraxt"), 3: base.replace("copied", "cpoied"), 4: base[1:] + "!", 5: base.replace("reserved", "ved")}
+    df = spark.createDataFrame([(0, base), *edited.items()], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, df, "").collect()} == {0: base, 1: "", 2: "", 3: "", 4: "", 5: edited[5]}
+
+
+@pytest.mark.parametrize("hot", [500, 1])
+def test_op7_parities_keep_every_pair_within_two_edits(spark, monkeypatch, hot):
+    import random
+
+    monkeypatch.setattr(op7_lines, "HOT", hot)
+    rng = random.Random(4)
+    lines = set()
+    for _ in range(12):
+        b = "".join(rng.choice("abcdé ü漢0123") for _ in range(rng.randint(16, 40)))
+        for _ in range(12):
+            x = list(b)
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(x))
+                x[at : at + rng.randint(0, 1)] = rng.choice(["", "é", "漢", "7"])
+            lines.add("".join(x))
+    lines = sorted(x for x in lines if len(x) >= 16)
+    df = spark.createDataFrame([(k, x, len(x)) for k, x in enumerate(lines)], "lid long, line string, n int")
+    got = {(r.a, r.b) for r in op7_lines.line_links(df).collect()}
+    assert got == {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if _distance(lines[a], lines[b]) <= 2}
+
+
 def test_op8_pieces_and_bins(spark, docs, texts):
     from tokenizers import Tokenizer
 
