@@ -1,10 +1,11 @@
 """Personal data with offset-preserving deobfuscation.
 
-The base finders run over the whole text. For texts that hold a disguise, three
-transducers rewrite the text one after the other (look-alike characters, at/dot
-disguises, spelled digits), each keeping the source span of every character it
-emits; the same finders run over the result, and finds map back to source spans.
-A find that overlaps a base span is dropped, so base spans stay as they are.
+The base finders run over the whole text. Transducers rewrite the text one after
+the other (look-alike characters, boxed at and dot, spelled digits, bare at and
+dot), each judging the text its predecessors left and keeping the source span of
+every character it emits; the same finders run over the result, and finds map
+back to source spans. A find that overlaps a base span is dropped, so base spans
+stay as they are.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows are
 alike; an empty table gives no rows.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from .common import slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
+Edit = tuple[int, int, list[tuple[str, int, int]]]  # place [a, b) becomes characters, each with its own place
 
 _LOCAL_BYTE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -96,6 +98,8 @@ _BARE = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?P<at>\s{1,3}at\s{1,3})[A-Za-z0-9-]{1,63}(?:(?:\.|\s{1,3}dot\s{1,3})[A-Za-z0-9-]{1,63}){0,4}?"
     r"(?:\s{1,3}dot\s{1,3})[A-Za-z]{2,24}(?![A-Za-z0-9])", re.IGNORECASE)
 _BARE_DOT = re.compile(r"\s{1,3}dot\s{1,3}", re.IGNORECASE)
+_HOST_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z]{2,24}\b)", re.IGNORECASE)
+_DOT_ANY = re.compile(r"\sdot\s", re.IGNORECASE)
 _HIDDEN_ANY = re.compile("[" + re.escape("".join(_LOOK_ALIKE) + _HIDDEN) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
 _BOX_ANY = re.compile(r"[\[({<]\s{0,3}(?:at|dot|@|\.)\s{0,3}[\])}>]", re.IGNORECASE)
 
@@ -103,11 +107,13 @@ _BOX_ANY = re.compile(r"[\[({<]\s{0,3}(?:at|dot|@|\.)\s{0,3}[\])}>]", re.IGNOREC
 class Traced:
     """A text whose characters know the source span they came from."""
 
-    def __init__(self, text: str, start: list[int], end: list[int]):
+    def __init__(self, text: str, start: Sequence[int], end: Sequence[int]):
         self.text, self.start, self.end = text, start, end
 
-    def rewrite(self, edits: list[tuple[int, int, list[tuple[str, int, int]]]]) -> Traced:
+    def rewrite(self, edits: list[Edit]) -> Traced:
         """Replace places [a, b) by characters, each with its own place [x, y)."""
+        if not edits:
+            return self
         text, start, end, at = [], [], [], 0
         for a, b, chars in edits:
             text.append(self.text[at:a])
@@ -118,7 +124,9 @@ class Traced:
                 start.append(self.start[x])
                 end.append(self.end[y - 1])
             at = b
-        return Traced("".join(text) + self.text[at:], start + self.start[at:], end + self.end[at:])
+        start += self.start[at:]
+        end += self.end[at:]
+        return Traced("".join(text) + self.text[at:], start, end)
 
 
 def _plain(c: str) -> str:
@@ -134,21 +142,30 @@ def _plain(c: str) -> str:
 
 
 def look_alikes(t: Traced) -> Traced:
+    if t.text.isascii():
+        return t
     return t.rewrite([(m.start(), m.end(), [(p, m.start(), m.end())] if (p := _plain(m[0])) else []) for m in _HIDDEN_ANY.finditer(t.text)])
 
 
-def at_and_dot(t: Traced) -> Traced:
+def boxed(t: Traced) -> Traced:
+    if not _BOX_ANY.search(t.text):
+        return t
     for pattern, char in ((_BOXED_AT, "@"), (_BOXED_DOT, ".")):
         t = t.rewrite([(m.start(), m.end(), [(char, m.start(), m.end())]) for m in pattern.finditer(t.text)])
-    edits = []
+    return t
+
+
+def bare(t: Traced) -> Traced:
+    if "dot" not in t.text.casefold() or not _DOT_ANY.search(t.text):
+        return t
+    edits: list[Edit] = []
     for m in _BARE.finditer(t.text):
         edits.append((*m.span("at"), [("@", *m.span("at"))]))
         edits += [(*d.span(), [(".", *d.span())]) for d in _BARE_DOT.finditer(t.text, m.end("at"), m.end())]
     t = t.rewrite(edits)
     # a host after an @ may still spell its dots
-    edits = [(*d.span(), [(".", *d.span())]) for d in re.finditer(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z]{2,24}\b)", t.text, re.IGNORECASE)
-             if re.search(r"@[A-Za-z0-9.-]{1,63}\Z", t.text[max(0, d.start() - 64) : d.start()])]
-    return t.rewrite(edits)
+    return t.rewrite([(*d.span(), [(".", *d.span())]) for d in _HOST_DOT.finditer(t.text)
+                      if re.search(r"@[A-Za-z0-9.-]{1,63}\Z", t.text[max(0, d.start() - 64) : d.start()])])
 
 
 def spelled_digits(t: Traced) -> Traced:
@@ -162,31 +179,16 @@ def spelled_digits(t: Traced) -> Traced:
     return t.rewrite(plus)
 
 
-def disguises(text: str) -> list[Callable[[Traced], Traced]]:
-    """The transducers that this text calls for, in their order."""
-    steps: list[Callable[[Traced], Traced]] = []
-    if not text.isascii() and _HIDDEN_ANY.search(text):
-        steps.append(look_alikes)
-    if " dot " in text or " DOT " in text or " Dot " in text or _BOX_ANY.search(text):
-        steps.append(at_and_dot)
-    if any(len(_ONE_DIGIT.findall(m[0])) >= SPELLED for m in _SPELLED.finditer(text)):
-        steps.append(spelled_digits)
-    if steps == [look_alikes]:
-        steps += [at_and_dot, spelled_digits]
-    return steps
-
-
 def spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans with those found under disguises."""
     if not text:
         return [], []
     base = find(text)
-    steps = disguises(text)
-    if not steps:
-        return base, base
-    traced = Traced(text, list(range(len(text))), list(range(1, len(text) + 1)))
-    for step in steps:
+    traced = plain = Traced(text, range(len(text)), range(1, len(text) + 1))
+    for step in (look_alikes, boxed, spelled_digits, bare):
         traced = step(traced)
+    if traced is plain:
+        return base, base
     taken = sorted((a, b) for a, _, b in base)
     every = set(base)
     for a, kind, b in find(traced.text):

@@ -174,6 +174,19 @@ def test_op6_disguises_map_back(text, found):
     assert [text[a:b] for a, _, b in every] == ([found] if found else [])
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    # look-alikes uncover a disguise, whatever else the text holds
+    ("a dot here (at) noon: four\u00a0one\u00a0one\u00a0one one one one one one one one one one one one one", ["four\u00a0one\u00a0one\u00a0one one one one one one one one one one one one one"]),
+    ("a dot here: plus one four one five five five five \u043ene two three four", ["plus one four one five five five five \u043ene two three four"]),
+    ("one two three four five six seven; joe [\u0430t] host.org", ["joe [\u0430t] host.org"]),
+    ("joe at host\tdOt\norg", ["joe at host\tdOt\norg"]),
+    ("one dot two, one plus one is two", []), ("chapter 12, one of 3 or one by one", [])])
+def test_op6_mixed_disguises_and_short_runs(text, found):
+    base, every = op6_pii.spans(text)
+    assert not base
+    assert [text[a:b] for a, _, b in every] == found
+
+
 def test_op6_rows_and_redaction(docs, texts):
     got = {r.doc_id: r for r in op6_pii.detect(docs).collect()}
     assert got.keys() == texts.keys()
