@@ -85,11 +85,15 @@ _DIGITS = {w: str(k) for k, names in enumerate((
     ("three", "drei", "tres", "trois"), ("four", "vier", "cuatro", "quatre"), ("five", "fünf", "cinco", "cinq"),
     ("six", "sechs", "seis"), ("seven", "sieben", "siete", "sept"), ("eight", "acht", "ocho", "huit"),
     ("nine", "neun", "nueve", "neuf"))) for w in names}
-#: Digit words in a row that count as a spelled number.
-SPELLED = 7
+#: Digits a find has at least (an address has four); fewer are not rewritten.
+FEWEST = 4
 _WORD = "|".join(sorted(_DIGITS, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?<![^\W_])(?:(?:{_WORD})(?:[ ,.\-]{{1,2}}(?:{_WORD}))+)(?![^\W_])", re.IGNORECASE)
-_ONE_DIGIT = re.compile(_WORD, re.IGNORECASE)
+_DIGIT = rf"(?:[0-9]++|{_WORD})(?![^\W_])"
+#: Digits and digit words, in a row or with spelled dots between them.
+_NUMBER = re.compile(rf"(?<![^\W_]){_DIGIT}(?:(?:[ ().,\-]{{1,3}}|\s{{1,3}}dot\s{{1,3}}){_DIGIT})++", re.IGNORECASE)
+_PART = re.compile(rf"[0-9]++|{_WORD}", re.IGNORECASE)
+_PLUS = re.compile(r"(?<![^\W_])plus\s{1,2}[0-9]", re.IGNORECASE)
+_LETTER = re.compile(r"[^\W\d_]")
 _OPEN, _SHUT = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
 _BOXED_AT = re.compile(rf"(?<=[A-Za-z0-9]){_OPEN}(?:at|@){_SHUT}(?=[A-Za-z0-9])", re.IGNORECASE)
 _BOXED_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_OPEN}(?:dot|\.){_SHUT}(?=[A-Za-z0-9])", re.IGNORECASE)
@@ -168,15 +172,43 @@ def bare(t: Traced) -> Traced:
                       if re.search(r"@[A-Za-z0-9.-]{1,63}\Z", t.text[max(0, d.start() - 64) : d.start()])])
 
 
+def _digit(word: str) -> str:
+    return _DIGITS[word.casefold().replace("ı", "i")]  # the patterns ignore case, which takes ı for i and ſ for s
+
+
+def _number(text: str, m: re.Match[str]) -> list[Edit]:
+    """Edits that turn a number's digit words into digits and its spelled dots into dots.
+
+    Separators between words go, unless three dots part the four groups of an address;
+    those beside digits and brackets stay, for the finders to judge."""
+    parts = [p.span() for p in _PART.finditer(text, m.start(), m.end())]
+    sizes = [b - a if text[a].isdecimal() else 1 for a, b in parts]
+    gaps = [(b, a) for (_, b), (a, _) in zip(parts, parts[1:], strict=False)]
+    dots = [text[a:b] == "." or "dot" in text[a:b].lower() for a, b in gaps]
+    if sum(sizes) < FEWEST:
+        return []
+    ends = [k + 1 for k, d in enumerate(dots) if d]
+    address = len(ends) == 3 and all(sum(sizes[a:b]) <= 3 for a, b in zip([0, *ends], [*ends, len(sizes)], strict=True))
+    edits: list[Edit] = []
+    for k, (a, b) in enumerate(parts):
+        if not text[a].isdecimal():
+            edits.append((a, b, [(_digit(text[a:b]), a, b)]))
+        if k < len(gaps):
+            x, y = gaps[k]
+            if text[x:y] != "." and dots[k]:
+                edits.append((x, y, [(".", x, y)]))
+            elif text[a].isdecimal() or text[y].isdecimal() or dots[k] and address or y - x > 2 or "(" in text[x:y] or ")" in text[x:y]:
+                continue
+            else:
+                edits.append((x, y, []))
+    return edits
+
+
 def spelled_digits(t: Traced) -> Traced:
-    edits = []
-    for m in _SPELLED.finditer(t.text):
-        words = list(_ONE_DIGIT.finditer(t.text, m.start(), m.end()))
-        if len(words) >= SPELLED:
-            edits.append((m.start(), m.end(), [(_DIGITS[w[0].lower()], w.start(), w.end()) for w in words]))
-    t = t.rewrite(edits)
-    plus = [(m.start(), m.end() - 1, [("+", m.start(), m.end() - 1)]) for m in re.finditer(r"(?<![^\W_])plus\s{1,2}[0-9]", t.text, re.IGNORECASE)]
-    return t.rewrite(plus)
+    t = t.rewrite([e for m in _NUMBER.finditer(t.text) if _LETTER.search(m[0]) for e in _number(t.text, m)])
+    if "plus" not in t.text.casefold():
+        return t
+    return t.rewrite([(m.start(), m.end() - 1, [("+", m.start(), m.end() - 1)]) for m in _PLUS.finditer(t.text)])
 
 
 def spans(text: str | None) -> tuple[list[Span], list[Span]]:

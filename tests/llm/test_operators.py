@@ -180,7 +180,16 @@ def test_op6_disguises_map_back(text, found):
     ("a dot here: plus one four one five five five five \u043ene two three four", ["plus one four one five five five five \u043ene two three four"]),
     ("one two three four five six seven; joe [\u0430t] host.org", ["joe [\u0430t] host.org"]),
     ("joe at host\tdOt\norg", ["joe at host\tdOt\norg"]),
-    ("one dot two, one plus one is two", []), ("chapter 12, one of 3 or one by one", [])])
+    # short runs of digit words
+    ("from one nine two dot one six eight dot one dot one!", ["one nine two dot one six eight dot one dot one"]),
+    ("it is at one nine two [dot] one six eight [dot] one [dot] one", ["one nine two [dot] one six eight [dot] one [dot] one"]),
+    ("host is at ten dot 192 dot 168 dot one dot 7 ok", ["192 dot 168 dot one dot 7"]),
+    ("call +1 614 555 eight zero zero one", ["+1 614 555 eight zero zero one"]),
+    ("call plus one (six one four) 555-eight zero zero one", ["plus one (six one four) 555-eight zero zero one"]),
+    ("card four one one one.one one one one.one one one one.one one one one", ["four one one one.one one one one.one one one one.one one one one"]),
+    ("in 12, " + "four" + " one" * 15, ["four" + " one" * 15]),
+    ("pay 4111 1111 1111 one one one one", ["4111 1111 1111 one one one one"]),
+    ("\u017fix six six six six six six", []), ("one dot two, one plus one is two", []), ("chapter 12, one of 3 or one by one", [])])
 def test_op6_mixed_disguises_and_short_runs(text, found):
     base, every = op6_pii.spans(text)
     assert not base
