@@ -17,8 +17,10 @@ strings contain the same minimal seed, so strings meet by seed:
 Exact copies of a text repeat as a whole and leave before step 1.
 
 Defined cases: null and empty texts have no bytes; a text shorter than
-``LENGTH`` stays; rows that repeat a doc_id share their repeated places; a null
-doc_id comes before all others; an empty table gives no rows.
+``LENGTH`` stays; rows that repeat doc_id and text count as one; different texts of
+one doc_id are told apart by ``sub``, a hash of the text (0 if the doc_id has one
+text), in whose order they come; a null doc_id comes before all others; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -74,7 +76,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def seed_runs(docs: DataFrame) -> DataFrame:
-    """doc, seed, span, packed place (start * 128 + count) and ``known`` of every run.
+    """doc, sub, seed, span, packed place (start * 128 + count) and ``known`` of every run.
 
     A run whose seed and span occurred before in its text is known to repeat; it
     gets a seed of its own, so periodic texts do not pile up on one seed.
@@ -84,14 +86,14 @@ def seed_runs(docs: DataFrame) -> DataFrame:
         for batch in batches:
             parts: list[tuple] = []
             size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, sub, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for seed, span, start, count in runs((text or "").encode("utf-8", "replace")):
                     place = start * 128 + count
                     name = bw.mix(seed * bw.U(3) + span)
                     known = np.ones(len(seed), bool)
                     known[np.unique(name, return_index=True)[1]] = False
-                    own = bw.mix(place.astype(bw.U) ^ bw.mix(np.full(1, doc, np.int64).view(bw.U)))
-                    parts.append((np.full(len(seed), doc, np.int64), np.where(known, own, seed), span, place, known))
+                    own = bw.mix(place.astype(bw.U) ^ bw.mix(np.full(1, doc ^ sub, np.int64).view(bw.U)))
+                    parts.append((np.full(len(seed), doc, np.int64), np.full(len(seed), sub, np.int64), np.where(known, own, seed), span, place, known))
                     size += len(seed)
                 if size > 200_000:
                     yield _batch(parts)
@@ -100,10 +102,10 @@ def seed_runs(docs: DataFrame) -> DataFrame:
                 yield _batch(parts)
 
     def _batch(parts: list[tuple]) -> pa.RecordBatch:
-        doc, seed, span, place, known = (np.concatenate([p[k] for p in parts]) for k in range(5))
-        return pa.RecordBatch.from_arrays([pa.array(doc), _signed(seed), _signed(span), pa.array(place), pa.array(known)], ["doc", "seed", "span", "place", "known"])
+        doc, sub, seed, span, place, known = (np.concatenate([p[k] for p in parts]) for k in range(6))
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(sub), _signed(seed), _signed(span), pa.array(place), pa.array(known)], ["doc", "sub", "seed", "span", "place", "known"])
 
-    return docs.mapInArrow(run, "doc long, seed long, span long, place long, known boolean")
+    return docs.mapInArrow(run, "doc long, sub long, seed long, span long, place long, known boolean")
 
 
 def _merged(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,30 +138,35 @@ def repeated_starts(text: list[bytes], doc: np.ndarray, start: np.ndarray, count
     return d[later], s[later]
 
 
-RUN = "doc long, start long, count long"
+RUN = "doc long, sub long, start long, count long"
 
 
 def _suffix_block(key: tuple[pa.Scalar, ...], spans: pa.Table) -> pa.Table:
     """Repeated runs of one block of seeds."""
-    doc, place = spans.column("doc").to_numpy(), spans.column("place").to_numpy()
-    d, s, c = _merged(*repeated_starts(spans.column("bytes").to_pylist(), doc, place >> 7, place & 127))
-    return pa.table({"doc": d, "start": s, "count": c})
+    doc, sub, place = (spans.column(k).to_numpy() for k in ("doc", "sub", "place"))
+    order = np.lexsort((sub, doc))
+    doc_of, sub_of = doc[order], sub[order]
+    item = np.empty(len(doc), np.int64)  # texts numbered in their order
+    item[order] = np.maximum.accumulate(np.where(np.append(True, (doc_of[1:] != doc_of[:-1]) | (sub_of[1:] != sub_of[:-1])), np.arange(len(doc)), 0))
+    t, s, c = _merged(*repeated_starts(spans.column("bytes").to_pylist(), item, place >> 7, place & 127))
+    return pa.table({"doc": doc_of[t], "sub": sub_of[t], "start": s, "count": c})
 
 
 def _span_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """seed, doc, place and bytes of the wanted runs (doc, seed, place, hot)."""
-    listed = wanted.groupBy("doc").agg(F.collect_list(F.struct("seed", "place")).alias("runs"))
+    """seed, doc, sub, place and bytes of the wanted runs (doc, sub, seed, place)."""
+    listed = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct("seed", "place")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, sub, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = (text or "").encode("utf-8", "replace")
                 place = [r["place"] for r in found]
                 cut = [raw[p >> 7 : (p >> 7) + (p & 127) + LENGTH - 1] for p in place]
-                columns = [pa.array([r["seed"] for r in found], pa.int64()), pa.array([doc] * len(place), pa.int64()), pa.array(place, pa.int64()), pa.array(cut, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["seed", "doc", "place", "bytes"])
+                columns = [pa.array([r["seed"] for r in found], pa.int64()), pa.array([doc] * len(place), pa.int64()), pa.array([sub] * len(place), pa.int64()),
+                           pa.array(place, pa.int64()), pa.array(cut, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["seed", "doc", "sub", "place", "bytes"])
 
-    return docs.join(listed, "doc").select("doc", "text", "runs").mapInArrow(run, "seed long, doc long, place long, bytes binary")
+    return docs.join(listed, ["doc", "sub"]).select("doc", "sub", "text", "runs").mapInArrow(run, "seed long, doc long, sub long, place long, bytes binary")
 
 
 def _hot_strings(spans: DataFrame) -> DataFrame:
@@ -167,31 +174,31 @@ def _hot_strings(spans: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, place, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, sub, place, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 buf = np.frombuffer(raw, np.uint8)
                 at = np.arange(place & 127)
                 a, b = bw.Rolling(buf).of(at, at + LENGTH), bw.Rolling(buf, bw.FOLDED_CODE[::-1]).of(at, at + LENGTH)
-                yield pa.RecordBatch.from_arrays([_signed(a), _signed(b), pa.array(np.full(len(at), doc, np.int64)), pa.array(at + (place >> 7))], ["a", "b", "doc", "start"])
+                yield pa.RecordBatch.from_arrays([_signed(a), _signed(b), pa.array(np.full(len(at), doc, np.int64)), pa.array(np.full(len(at), sub, np.int64)), pa.array(at + (place >> 7))], ["a", "b", "doc", "sub", "start"])
 
-    strings = spans.select("doc", "place", "bytes").mapInArrow(run, "a long, b long, doc long, start long")
-    dealt = strings.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(64)).cast("int"))
-    least = dealt.groupBy("a", "b", "salt").agg(F.min(F.struct("doc", "start")).alias("one"), F.count("*").alias("n"))
+    strings = spans.select("doc", "sub", "place", "bytes").mapInArrow(run, "a long, b long, doc long, sub long, start long")
+    dealt = strings.withColumn("salt", F.pmod(F.xxhash64("doc", "sub"), F.lit(64)).cast("int"))
+    least = dealt.groupBy("a", "b", "salt").agg(F.min(F.struct("doc", "sub", "start")).alias("one"), F.count("*").alias("n"))
     shared = least.groupBy("a", "b").agg(F.min("one").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
     first = least.select("a", "b", "salt").join(shared, ["a", "b"])
-    found = dealt.join(first, ["a", "b", "salt"]).where("doc <> first.doc or start <> first.start")
-    return found.select("doc", "start", F.lit(1).cast("long").alias("count"))
+    found = dealt.join(first, ["a", "b", "salt"]).where("doc <> first.doc or sub <> first.sub or start <> first.start")
+    return found.select("doc", "sub", "start", F.lit(1).cast("long").alias("count"))
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """Runs (doc, start, count) of string starts that repeat, over distinct texts (doc, text)."""
-    by_seed, by_span = Window.partitionBy("seed").orderBy("span", "doc", "place"), Window.partitionBy("seed", "span").orderBy("doc", "place")
+    """Runs (doc, sub, start, count) of string starts that repeat, over distinct texts (doc, sub, text)."""
+    by_seed, by_span = Window.partitionBy("seed").orderBy("span", "doc", "sub", "place"), Window.partitionBy("seed", "span").orderBy("doc", "sub", "place")
     ranked = seed_runs(docs).select(
         "*", F.row_number().over(by_span).alias("nth"), F.lag("span").over(by_seed).alias("before"), F.lead("span").over(by_seed).alias("after"))
     met = ranked.where("known or before is not null or after is not null")
-    met = stored(met.select("doc", "place", F.when(~F.col("known") & (F.col("nth") == 1), F.col("seed")).alias("seed")), "seed_runs")
+    met = stored(met.select("doc", "sub", "place", F.when(~F.col("known") & (F.col("nth") == 1), F.col("seed")).alias("seed")), "seed_runs")
     release(docs.sparkSession)
     start, count = F.shiftright("place", 7), F.col("place").bitwiseAND(F.lit(127))
-    whole = met.where("seed is null").select("doc", start.alias("start"), count.alias("count"))
+    whole = met.where("seed is null").select("doc", "sub", start.alias("start"), count.alias("count"))
     firsts = met.where("seed is not null")
     sizes = firsts.groupBy("seed").agg(F.count("*").alias("spans")).where("spans > 1")
     spans = stored(_span_bytes(docs, firsts.join(sizes.select("seed"), "seed")).join(sizes, "seed"), "spans")
@@ -218,11 +225,24 @@ def _cut(raw: bytes, found: list[dict] | None) -> tuple[int, int, bytes]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and ``kept`` (remaining bytes) per row."""
     named = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    hashed = named.where(F.octet_length("text") >= LENGTH).select("doc", F.md5("text").alias("md5"))
-    first = with_group_min(hashed, "md5", "doc", "first")
-    copies = stored(first.where("doc <> first").select("doc").distinct(), "copies")
-    alone = named.join(broadcast_checked(copies), "doc", "left_anti").select("doc", "text")
-    found = repeated_runs(alone).groupBy("doc").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+    hashed = named.where(F.octet_length("text") >= LENGTH).select("doc", F.xxhash64("text").alias("hash"), F.md5("text").alias("md5"))
+    texts = stored(hashed.groupBy("doc", "hash", "md5").agg(F.count("*").alias("rows")), "texts")
+    several = stored(texts.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc", F.lit(True).alias("several")), "several")
+
+    def told_apart(df: DataFrame) -> DataFrame:
+        joined = df.join(broadcast_checked(several), "doc", "left")
+        return joined.withColumn("sub", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0))).drop("several", "hash")
+
+    named = told_apart(named.withColumn("hash", F.xxhash64("text")))
+    first = told_apart(with_group_min(texts.withColumn("place", F.struct("doc", "hash")), "md5", "place", "first"))
+    copies = stored(first.where("place <> first").select("doc", "sub").distinct(), "copies")
+    twice = stored(told_apart(texts.where("rows > 1")).select("doc", "sub"), "twice")
+    alone = named.join(broadcast_checked(copies), ["doc", "sub"], "left_anti").select("doc", "sub", "text").where(F.octet_length("text") >= LENGTH)
+    if n_twice := twice.count():
+        again = F.broadcast(twice) if n_twice <= 500_000 else twice
+        once = alone.join(again, ["doc", "sub"], "left_anti")
+        alone = once.unionByName(alone.join(again, ["doc", "sub"], "left_semi").dropDuplicates(["doc", "sub"]))
+    found = repeated_runs(alone).groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
     lists = stored(found.withColumn("copy", F.lit(False)).unionByName(copies.withColumns({"runs": F.lit(None).cast("array<struct<start:long,count:long>>"), "copy": F.lit(True)})), "repeats")
     release(docs.sparkSession)
 
@@ -234,12 +254,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 if copy and len(raw) >= LENGTH:
                     rows.append((len(raw), len(raw), 1, b""))
                 else:
-                    rows.append((len(raw), *_cut(raw, found)))
+                    rows.append((len(raw), *_cut(raw, found if len(raw) >= LENGTH else None)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = named.join(lists, "doc", "left").select("doc_id", "text", "runs", "copy")
+    joined = named.join(lists, ["doc", "sub"], "left").select("doc_id", "text", "runs", "copy")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

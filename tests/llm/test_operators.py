@@ -365,6 +365,34 @@ def test_op10_equals_all_windows(docs, texts, monkeypatch, hot):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got} == expected
 
 
+@pytest.mark.parametrize("hot", [4000, 0])
+def test_op10_repeated_rows_and_null_ids_equal_all_windows(spark, monkeypatch, hot):
+    import random
+
+    from pyspark.sql import functions as F
+
+    ship_package(spark)
+    monkeypatch.setattr(op10_repeats, "HOT", hot)
+    rng = random.Random(5)
+    a, b, c, d, e = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(5))
+    data = [(None, a), (None, b + c[:150]), (None, "short"), (None, a), (1, c), (1, c), (1, "short"), (2, d + a[40:200]), (2, a), (2, e), (2, "x" * 99),
+            (3, e[100:] + d[:150]), (3, c[20:180] + e), (3, c[20:180] + e), (4, e), (5, "y" * 250), (5, "y" * 250)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    order = {(r.doc_id, r.text): r.h for r in df.select("*", F.xxhash64("text").alias("h")).collect()}
+    seen, expected = set(), {}
+    for k, t in sorted(order, key=lambda x: (x[0] is not None, x[0] or 0, order[x])):
+        raw = t.encode()
+        gone = np.zeros(len(raw), bool)
+        for s in range(len(raw) - 99):
+            if raw[s : s + 100] in seen:
+                gone[s : s + 100] = True
+            seen.add(raw[s : s + 100])
+        expected[k, t] = (len(raw), int(gone.sum()), np.frombuffer(raw, np.uint8)[~gone].tobytes())
+    got = op10_repeats.remove_repeats(df).collect()
+    rows_ = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got)
+    assert rows_ == collections.Counter((k, *expected[k, t]) for k, t in data)
+
+
 def test_empty_tables_and_repeated_rows(spark, docs):
     path = tokenizer_files.path("word_bpe_49k.json")
     none = docs.limit(0)
