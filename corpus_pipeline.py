@@ -67,7 +67,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express language models or packings; tests/llm holds the stages against brute force.
+#: SQL cannot express language models or packings; tests/llm holds the operators against brute force, and of the stages only the columns and the lines stage's two-edit rule.
 ORACLE_SQL = None
 
 
