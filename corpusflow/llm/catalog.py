@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_pieces, op2_quality, op3_spots, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats
+from . import (
+    op1_pieces, op2_quality, op3_spots, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats, op11_negatives,
+    op12_alignment, op13_bytes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing.query,
         "op9_token_counts": op9_rollup.query,
         "op10_suffix_dedup": op10_repeats.query,
+        "op11_hard_negatives": op11_negatives.query,
+        "op12_alignment": op12_alignment.query,
+        "op13_byte_bpe": op13_bytes.query,
     }
 
 
