@@ -4,8 +4,8 @@ Both tokenizers read a blank and the text; their tokens cover the same bytes, so
 each gives an ascending list of token ends. Entries of the shorter list look for
 themselves in the longer one: each starts where its predecessor was found,
 doubles its step until it has passed its value, and halves the span that is left
-(all entries of a level move together; every eighth entry is placed first and is
-where its followers start). Common ends cut both token lists into groups, and
+(all entries of a level move together; every second entry is placed first and is
+where its follower starts). Common ends cut both token lists into groups, and
 differences of their ranks say how many tokens of either side share a group.
 
 Every pair of tokens in one group is a link. How many documents hold an id pair
@@ -13,9 +13,7 @@ linked is summed over the corpus: a block of documents sends each of its distinc
 pairs once, with its count, and gets the corpus counts of those pairs back. So no
 pair has more rows than there are blocks, and nothing is broadcast.
 
-A task encodes the distinct new units of its texts; a unit ends only where both
-tokenizers always end a token (between a word and a blank or line break, and
-between a line break and a word).
+Each side reads whole texts; the merges of the first come from its own file.
 
 Defined cases: a null or empty text has no tokens, nor has a text whose joined
 token bytes differ from blank + text on either side (it holds the word mark of
@@ -27,10 +25,7 @@ an empty table; other columns of the input, whatever their names, are not read.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
-import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,14 +39,10 @@ from .tokens import _byte_letters, file_bytes
 
 #: Rows and characters of a block: its documents are aligned and counted together. A longer text is a block of its own.
 ROWS, CHARS = 1_024, 1 << 22
-#: Units kept per worker; beyond it the memo starts anew. Longer units are not kept.
-MEMO, UNIT = 300_000, 64
 #: Neighbours in the shorter list that start their search from the same place.
-LANE = 8
+LANE = 2
 #: Groups with more links are linked by distinct ids.
 WIDE = 4_096
-#: Ends that both tokenizers always have (see the docstring).
-_CUT = re.compile(r"(?<=\S)(?=[ \n])|(?<=\n)(?=\S)")
 _MARK = "▁"
 
 
@@ -96,77 +87,44 @@ class Pair:
 
     def __init__(self, a_json: bytes, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self._a = Tokenizer.from_buffer(a_json)
-        self._a.encode_special_tokens = True
-        self._b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        letters = _byte_letters()
-        size = self._a.get_vocab_size()
-        special = {t["id"] for t in json.loads(a_json)["added_tokens"]}
-        self.a_bytes = [b"" if k in special else bytes(letters[c] for c in self._a.id_to_token(k)) for k in range(size)]
-        self.b_bytes = [self._shown(k) for k in range(self._b.get_piece_size())]
-        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
-            raise ValueError("a vocabulary has more than 65,536 ids")
-        self.a_length, self.b_length = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
-        # units are safe only if the second side never joins a blank to what is before it, nor a line break to anything
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        letters, model = _byte_letters(), json.loads(a_json)
+        special = {t["id"] for t in model["added_tokens"]}  # plain text here: their bytes go through the merges
+        vocab = {bytes(letters[c] for c in piece): k for piece, k in model["model"]["vocab"].items() if k not in special}
+        merged = [bytes(letters[c] for c in "".join(m.split(" ") if isinstance(m, str) else m)) for m in model["model"]["merges"]]
+        # ids of merged tokens rank them here, so they have to follow the order of the merges
+        if [vocab[m] for m in merged] != sorted(vocab[m] for m in merged) or len(merged) + 256 != len(vocab):
+            raise ValueError("the ids of the first tokenizer do not follow its merges")
+        self._a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=vocab, special_tokens={})
+        self._b = sentencepiece.SentencePieceProcessor(model_proto=b_model)  # puts the blank in front itself
+        self.a_length = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.a_length[list(vocab.values())] = [len(x) for x in vocab]
         pieces = [self._b.id_to_piece(k) for k in range(self._b.get_piece_size())]
-        self._whole_texts = any(re.search(rf"[^{_MARK}]{_MARK}|\n", p) for p in pieces) or len(self._b.encode("\n")) != 2
-        self._memo: dict[str, tuple[bytes, bytes] | None] = {}  # packed ids of both sides
-        self._last: dict[str, tuple[bytes, bytes] | None] = {}  # the same of units that end a text
+        self._shown = [self._bytes(k, piece) for k, piece in enumerate(pieces)]
+        self.b_length = np.array([len(x) for x in self._shown], np.int64)
+        if max(len(self.a_length), len(pieces)) > 1 << 16:
+            raise ValueError("a vocabulary has more than 65,536 ids")
 
-    def _shown(self, k: int) -> bytes:
-        piece = self._b.id_to_piece(k)
+    def _bytes(self, k: int, piece: str) -> bytes:
         if self._b.is_byte(k):
             return bytes([int(piece[3:-1], 16)])
         return b"" if self._b.is_control(k) or self._b.is_unknown(k) else piece.replace(_MARK, " ").encode()
 
-    def _learn(self, units: list[str], last: bool) -> None:
-        """Ids of units; None where the bytes of a side differ from the unit's."""
-        # the first tokenizer looks at what follows white space, the second puts a mark in front
-        follows = [not last and u[-1] == "\n" for u in units]
-        a = self._a.encode_batch([u + "x" if f else u for u, f in zip(units, follows, strict=True)], add_special_tokens=False)
-        a = [x.ids[:-1] if f else x.ids for x, f in zip(a, follows, strict=True)]
-        b = [x[2:] for x in self._b.encode(["\n" + u for u in units], num_threads=1)]
-        raw = [u.encode("utf-8", "replace") for u in units]
-        sides = [self._packed(a, raw, self.a_bytes), self._packed(b, raw, self.b_bytes)]
-        memo = self._last if last else self._memo
-        for unit, x, y in zip(units, *sides, strict=True):
-            memo[unit] = None if x is None or y is None else (x, y)
-
-    @staticmethod
-    def _packed(found: list[list[int]], raw: list[bytes], shown: list[bytes]) -> list[bytes | None]:
-        """Ids of each unit as 16-bit integers, None where their bytes are not the unit's."""
-        every = np.array([k for ids in found for k in ids], "<u2")
-        ends = np.cumsum([0, *map(len, found)]).tolist()
-        packed, pieces = every.tobytes(), [shown[k] for k in every.tolist()]
-        size = np.cumsum([0, *map(len, pieces)])[ends]
-        same = [True] * len(raw)
-        if b"".join(pieces) != b"".join(raw) or size.tolist() != np.cumsum([0, *map(len, raw)]).tolist():
-            same = [b"".join(pieces[i:j]) == u for (i, j), u in zip(itertools.pairwise(ends), raw, strict=True)]
-        return [packed[2 * i : 2 * j] if x else None for (i, j), x in zip(itertools.pairwise(ends), same, strict=True)]
-
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of blank + text on both sides; None for texts without tokens."""
-        if len(self._memo) > MEMO:
-            self._memo.clear()
-        cut = [([" " + t] if self._whole_texts else _CUT.split(" " + t)) if t else [] for t in texts]
-        self._last.clear()
-        inner = set().union(*(x[:-1] for x in cut))
-        self._learn([u for u in inner if u not in self._memo], last=False)
-        self._learn(list({x[-1] for x in cut if x}), last=True)
+        some = [t for t in texts if t]
+        b = iter(self._b.encode(some, num_threads=1) if some else [])
         out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for units in cut:
-            found = [*map(self._memo.__getitem__, units[:-1]), *map(self._last.__getitem__, units[-1:])]
-            if not found or None in found:
+        for text in texts:
+            if not text:
                 out.append(None)
-            else:
-                sides = b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-                out.append(tuple(np.frombuffer(side, "<u2").astype(np.int64) for side in sides))
-        for unit in inner:
-            if len(unit) > UNIT:
-                del self._memo[unit]
+                continue
+            x, y = self._a.encode_ordinary(" " + text), next(b)
+            raw = (" " + text).encode("utf-8", "replace")  # all bytes go through the merges on the first side
+            same = b"".join([self._shown[k] for k in y]) == raw
+            out.append((np.array(x, np.int64), np.array(y, np.int64)) if same else None)
         return out
 
 
