@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_relational, q_sources, q_stream, q_vectors  # noqa: F401  (importing registers the queries)
+from . import q_deltas, q_relational, q_sources, q_stream, q_vectors  # noqa: F401  (importing registers the queries)
 from .registry import REGISTRY, runner
 
 
