@@ -21,90 +21,72 @@ def l2_normalize(v: Column | str) -> Column:
     return F.when(n == 0, vec).otherwise(F.transform(vec, lambda x: (x.cast("double") / n).cast("float")))
 
 
-def exact_quantiles(
-    values: DataFrame, col: str, by: tuple[str, ...], qs: tuple[float, ...], accuracy: int = 100_000,
-    max_bracket: int = 2_000_000,
-) -> DataFrame:
+#: Size of the quantile sketches, and how often the values inside the brackets are sketched again.
+SKETCH_K, ROUNDS = 4_096, 2
+#: Cells of the grid of quantiles that brackets are taken from.
+GRID = 512
+
+
+def sketch_error(k: int = SKETCH_K) -> float:
+    """Rank error of a KLL sketch as a share of its values: the published fit of the 99 % bound,
+    2.296 / k ** 0.9723 (fixed values), four times over, which is beyond ten standard deviations."""
+    return 4 * 2.296 / k**0.9723
+
+
+def exact_quantiles(values: DataFrame, col: str, by: tuple[str, ...], qs: tuple[float, ...], k: int = SKETCH_K, rounds: int = ROUNDS) -> DataFrame:
     """Exact order statistics per group: for each q the value of rank ``max(ceil(q*n), 1)``.
 
-    Distributed, with memory bounded independently of the group size:
-    1. one aggregation gives ``n`` and, from a mergeable sketch, two values per q
-       that bracket the target rank (rank error of the sketch <= n/accuracy);
-    2. while a bracket may hold more than ``max_bracket`` values (huge groups),
-       one pass counts the values below and inside it and takes a 1,000-point
-       quantile grid of the inside values; the grid cell holding the rank is the
-       new, ~1,000x narrower bracket (a few passes even for trillions of values);
-    3. one pass aggregates the values inside each bracket to (value, count) rows
-       plus one row counting those below; a running sum picks the exact value.
-    Only one row per (group, quantile) reaches the driver between passes. A
-    bracket that missed its rank (the sketch bound failed) raises instead of
-    returning a wrong value.
+    One plan, nothing eager, memory independent of the group's size. A mergeable sketch (KLL) per
+    group gives two values that bracket each rank. Each further round counts the values below
+    every bracket and sketches those inside it, which narrows the bracket by the sketch's
+    error again; brackets stay a table (one row per group and quantile) that joins the values.
+    At last the values inside a bracket are counted by value and a running sum finds the rank:
+    for n values at most about ``n * (2 * sketch_error(k) + 2 / GRID) ** rounds`` distinct ones. A bracket
+    that missed its rank raises instead of giving a wrong value.
     """
-    from decimal import Decimal
-
-    eps = 3.0 / accuracy
-    probs = []
-    for q in qs:
-        probs += [max(q - eps, 0.0), min(q + eps, 1.0)]
-    stats = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(col, probs, accuracy).alias("_br"))
-    rows = []
-    for r in stats.collect():  # one row per group
-        for i, q in enumerate(qs):
-            k = max(int((Decimal(r["_n"]) * Decimal(str(q))).to_integral_value(rounding="ROUND_CEILING")), 1)
-            est = min(r["_n"], int(8 * r["_n"] / accuracy) + 1)  # values a bracket may hold
-            rows.append([*(r[c] for c in by), i, k, float(r["_br"][2 * i]), float(r["_br"][2 * i + 1]), est])
-    spark = values.sparkSession
-    schema = ", ".join(f"`{c}` {dict(values.dtypes)[c]}" for c in by) + ", _qi int, _k long, _lo double, _hi double, _est long"
-    for _ in range(8):
-        big = [r for r in rows if r[-1] > max_bracket]
-        if not big:
-            break
-        rows = [r for r in rows if r[-1] <= max_bracket] + _narrow(values, col, by, spark.createDataFrame(big, schema))
-    targets = spark.createDataFrame(rows, schema).drop("_est")
-    return _select_ranks(values, col, by, targets, small=len(rows) <= 100_000)
-
-
-def _narrow(values: DataFrame, col: str, by: tuple[str, ...], big: DataFrame, grid: int = 1000) -> list:
-    """One pass over the values: count below/inside each wide bracket and sketch the inside values."""
-    j = values.select(*by, F.col(col).alias("_x")).join(F.broadcast(big), list(by))  # rows known on the driver
-    inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
-    cuts = [i / grid for i in range(grid + 1)]
-    agg = j.groupBy(*by, "_qi", "_k", "_lo", "_hi").agg(
-        F.count_if(F.col("_x") < F.col("_lo")).alias("_below"),
-        F.count_if(inside).alias("_in"),
-        F.percentile_approx(F.when(inside, F.col("_x")), cuts, 10 * grid).alias("_g"),
-    )
-    out = []
-    for r in agg.collect():  # one row per wide bracket
-        need = r["_k"] - r["_below"]  # rank inside the bracket
-        g, n_in = r["_g"], r["_in"]
-        if not g or need < 1 or need > n_in:
-            out.append([*(r[c] for c in by), r["_qi"], r["_k"], r["_lo"], r["_hi"], 0])  # let the final check decide
-            continue
-        pos = need / n_in * grid
-        lo_i, hi_i = max(int(pos) - 2, 0), min(int(pos) + 3, grid)
-        est = int(n_in * (hi_i - lo_i) / grid) + 1
-        out.append([*(r[c] for c in by), r["_qi"], r["_k"], float(g[lo_i]), float(g[hi_i]), est])
-    return out
-
-
-def _select_ranks(values: DataFrame, col: str, by: tuple[str, ...], targets: DataFrame, small: bool = True) -> DataFrame:
+    x = values.select(*by, F.col(col).cast("double").alias("_x")).where("_x is not null")
+    exact = [F.lit(f"{q:.12f}").cast("decimal(20,12)") for q in qs]
+    first = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sketch"))
+    ranks = F.array(*[F.struct(F.lit(i).alias("_qi"), F.greatest(F.ceil(F.col("_n") * q), F.lit(1)).cast("long").alias("_k")) for i, q in enumerate(exact)])
+    targets = first.select(*by, "_n", "_sketch", F.explode(ranks).alias("_t")).select(*by, "_t.*", F.col("_k").alias("_need"), "_n", "_sketch")
+    brackets = _bracket(targets, by, k)
+    for _ in range(rounds - 1):
+        brackets = _narrowed(x, by, brackets, k)
+    return _select_ranks(x, by, brackets)
+
+
+def _bracket(targets: DataFrame, by: tuple[str, ...], k: int) -> DataFrame:
+    """Values around the rank ``_need`` of the ``_n`` values that a sketch holds: cells of a grid of
+    its quantiles (Spark asks for constant ranks)."""
+    grid = F.kll_sketch_get_quantile_double("_sketch", F.lit([i / GRID for i in range(GRID + 1)]))
+    margin = F.lit(sketch_error(k)) * F.col("_n") + 1
+    cell = lambda rank: F.greatest(F.least(rank / F.col("_n") * GRID, F.lit(float(GRID))), F.lit(0.0))
+    low, high = F.floor(cell(F.col("_need") - margin)).cast("int"), F.ceil(cell(F.col("_need") + margin)).cast("int")
+    return targets.withColumn("_grid", grid).select(*by, "_qi", "_k", F.get("_grid", low).alias("_lo"), F.get("_grid", high).alias("_hi"))
+
+
+def _narrowed(x: DataFrame, by: tuple[str, ...], brackets: DataFrame, k: int) -> DataFrame:
+    """The brackets, narrowed by a sketch of the values inside them."""
+    inside = F.col("_x") >= F.col("_lo")
+    found = x.join(brackets, list(by)).where(F.col("_x") <= F.col("_hi")).groupBy(*by, "_qi", "_k").agg(
+        F.count_if(~inside).alias("_below"), F.count_if(inside).alias("_n"), F.kll_sketch_agg_double(F.when(inside, F.col("_x")), F.lit(k)).alias("_sketch"))
+    return _bracket(found.withColumn("_need", F.col("_k") - F.col("_below")), by, k)
+
+
+def _select_ranks(x: DataFrame, by: tuple[str, ...], brackets: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
-    # targets: one row per (group, quantile); its size is known on the driver, broadcast when small
-    t = F.broadcast(targets) if small else targets
-    j = values.select(*by, F.col(col).alias("_x")).join(t, list(by)).where(F.col("_x") <= F.col("_hi"))
+    j = x.join(brackets, list(by)).where(F.col("_x") <= F.col("_hi"))
     # everything under the bracket collapses into one -inf key: one pass gives both
     # the count below and the (value, count) rows inside
     key = F.when(F.col("_x") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_x"))
     counts = j.groupBy(*by, "_qi", "_k", key.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by, "_qi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.withColumn("_cum", F.sum("_c").over(w))
-    hit = ranked.where(F.col("_cum") >= F.col("_k")).groupBy(*by, "_qi").agg(F.min("_v").alias("_val"))
-    # the sketch guarantees the rank lies inside the bracket; fail loudly rather than be wrong
-    out = targets.select(*by, "_qi").join(hit, [*by, "_qi"], "left")
+    hit = ranked.groupBy(*by, "_qi").agg(F.min(F.when(F.col("_cum") >= F.col("_k"), F.col("_v"))).alias("_val"))
+    # the sketch's bound says the rank lies inside the bracket; fail loudly rather than be wrong
     bad = F.col("_val").isNull() | (F.col("_val") == float("-inf"))
-    return out.select(
+    return hit.select(
         *by, "_qi", F.when(bad, F.raise_error(F.lit("exact_quantiles: rank outside the sketch bracket"))).otherwise(F.col("_val")).alias("value")
     )
 
@@ -114,23 +96,21 @@ def quantile_bounds(
     vector_col: str = "vector",
     by: tuple[str, ...] = ("collection",),
     quantile: float = 0.99,
-    accuracy: int = 100_000,
+    k: int = SKETCH_K,
     exact: bool = True,
 ) -> DataFrame:
     """Per group, the (1-q)/2 and (1+q)/2 quantiles of all vector components.
 
     ``exact=True`` (default) returns the exact order statistics via
     ``exact_quantiles``; ``exact=False`` keeps only the sketch (one pass, rank
-    error <= n/accuracy). Neither gathers a group's values in one task.
+    error ``sketch_error(k)`` of the values). Neither gathers a group's values in one task.
     """
     lo_q, hi_q = round((1.0 - quantile) / 2.0, 12), round((1.0 + quantile) / 2.0, 12)
     comp = points.select(*by, F.explode(vector_col).alias("_x")).withColumn("_x", F.col("_x").cast("double"))
     if not exact:
-        q = F.percentile_approx("_x", [lo_q, hi_q], accuracy)
-        return comp.groupBy(*by).agg(q.alias("_q")).select(
-            *by, F.col("_q")[0].cast("double").alias("q_lo"), F.col("_q")[1].cast("double").alias("q_hi")
-        )
-    ex = exact_quantiles(comp, "_x", by, (lo_q, hi_q), accuracy)
+        sketch = comp.groupBy(*by).agg(F.kll_sketch_agg_double("_x", F.lit(k)).alias("_s"))
+        return sketch.select(*by, *[F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(n) for n, q in (("q_lo", lo_q), ("q_hi", hi_q))])
+    ex = exact_quantiles(comp, "_x", by, (lo_q, hi_q), k)
     return ex.groupBy(*by).agg(
         F.max(F.when(F.col("_qi") == 0, F.col("value"))).alias("q_lo"),
         F.max(F.when(F.col("_qi") == 1, F.col("value"))).alias("q_hi"),
@@ -155,18 +135,13 @@ def quantize_int8(
     vector_col: str = "vector",
     by: tuple[str, ...] = ("collection",),
     quantile: float = 0.99,
-    accuracy: int = 100_000,
+    k: int = SKETCH_K,
     exact: bool = True,
 ) -> DataFrame:
     """Adds ``q_lo``, ``q_hi`` and ``codes`` (array<tinyint>) to every point.
 
-    The bounds table has one row per collection; it is materialised once
-    (checkpoint in the shared folder) and broadcast after a bounded row count.
+    The bounds are part of the same plan: one row per collection, joined by
+    whatever way Spark's measured sizes allow.
     """
-    from ..session import broadcast_if_small, checkpoint_root
-
-    checkpoint_root(points.sparkSession)
-    bounds = quantile_bounds(points, vector_col, by, quantile, accuracy, exact).checkpoint()  # computed once
-    return points.join(broadcast_if_small(bounds), list(by)).withColumn(
-        "codes", quantize_col(vector_col, "q_lo", "q_hi")
-    )
+    bounds = quantile_bounds(points, vector_col, by, quantile, k, exact)
+    return points.join(bounds, list(by)).withColumn("codes", quantize_col(vector_col, "q_lo", "q_hi"))

@@ -88,38 +88,30 @@ def last_wins_window(batch: DataFrame, keys: tuple[str, ...], seq: str = "seq")
     return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def micro_batches(df: DataFrame, size: int, key: str | None = None) -> DataFrame:
-    """Consecutive groups of ``size`` rows inside each partition (no global numbering).
+def numbered(df: DataFrame, key: str, out: str = "position") -> DataFrame:
+    """``df`` with the position (0, 1, ...) of each row in the order of ``key``, without a global window.
 
-    Emits one row per micro-batch: partition, batch number, rows and the key of
-    its first row. The grouping is arithmetic over Arrow batch lengths.
+    Rows are dealt into key ranges and sorted there; the number of rows before a range is a
+    running sum over one row per range. The dealt rows are stored once (checkpoint), so both
+    uses see the same ranges. Rows of equal key share a range; their order is any.
     """
-    import pyarrow as pa
+    from ..session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    id_ = F.monotonically_increasing_id()  # partition << 33 | place in it
+    laid = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_id", id_).checkpoint()
+    part = F.shiftright("_id", 33)
+    sizes = laid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    starts = sizes.select("_part", before.alias("_before"))
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return laid.withColumn("_part", part).join(starts, "_part").withColumn(out, place).drop("_id", "_part", "_before")
 
-    col = key or df.columns[0]
 
-    def per_partition(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        seen = 0  # rows of this partition before the current Arrow batch
-        out_p, out_b, out_n, out_k = [], [], [], []
-        for b in batches:
-            keys = b.column(0).cast(pa.string()).to_pylist()
-            for i in range(b.num_rows):
-                pos = seen + i
-                if pos % size == 0:
-                    out_p.append(pid)
-                    out_b.append(pos // size)
-                    out_n.append(0)
-                    out_k.append(keys[i])
-                out_n[-1] += 1
-            seen += b.num_rows
-        if out_p:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_p, pa.int32()), pa.array(out_b, pa.int32()), pa.array(out_n, pa.int32()),
-                 pa.array(out_k, pa.string())],
-                names=["partition", "batch", "rows", "first_key"],
-            )
-
-    return df.select(col).mapInArrow(per_partition, "partition int, batch int, rows int, first_key string")
+def micro_batches(df: DataFrame, size: int, key: str | None = None) -> DataFrame:
+    """Consecutive groups of ``size`` rows in the order of ``key``, the same for every
+    partitioning of ``df``: one row per group with its number, rows and the key of its first row."""
+    col = key or df.columns[0]
+    batch = F.floor(F.col("position") / size).cast("long")
+    return numbered(df.select(col), col).groupBy(batch.alias("batch")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min_by(F.col(col).cast("string"), "position").alias("first_key"))

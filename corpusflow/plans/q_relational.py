@@ -124,7 +124,9 @@ def q_last_wins(fx: Fixtures):
     return A.last_wins(fx.v_batch(), K.CHUNK_KEYS).select("doc_id", "chunk_id", "text", "seq")
 
 
-@query("micro_batches", "W3")
+@query("micro_batches", "W3", with_views("""
+WITH p AS (SELECT point_id, row_number() OVER (ORDER BY point_id) - 1 AS pos FROM v_points)
+SELECT CAST(pos // 100 AS BIGINT) AS batch, count(*) AS rows, arg_min(CAST(point_id AS VARCHAR), pos) AS first_key FROM p GROUP BY 1""", "v_points"))
 def q_micro_batches(fx: Fixtures):
     from ..functions.constants import UPSERT_BATCH
 
@@ -283,6 +285,29 @@ def q_metrics_exposition(fx: Fixtures):
     return M.metrics_exposition(M.all_metrics(fx.v_ingest_log()))
 
 
+# label values with a quote, a backslash and a line break
+_ODD_LOG = """SELECT * REPLACE (CASE collection WHEN 'notes' THEN 'no"tes' || chr(92) || 'x' || chr(10) || 'y' ELSE collection END AS collection) FROM v_ingest_log"""
+_HEADS = ", ".join(f"('{name}', {part}, '# {word} {name} {text}')" for name, kind, help_ in M.FAMILIES for part, word, text in ((0, "HELP", help_), (1, "TYPE", kind)))
+
+
+def _text_sql() -> str:
+    parts = f"({_COUNTERS_SQL}\nUNION ALL\n{_HIST_SQL}\nUNION ALL\n{_LAST_SQL})"
+    odd = "replace(replace(replace(labels, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n')"
+    lab = f"CASE WHEN labels = '' THEN '' ELSE '{{' || regexp_replace({odd}, '=([^,]*)', '=\"\\1\"', 'g') || '}}' END"
+    num = ("CASE WHEN round(value, 6) = floor(round(value, 6)) THEN CAST(CAST(floor(round(value, 6)) AS BIGINT) AS VARCHAR) "
+           "ELSE rtrim(printf('%.6f', round(value, 6)), '0') END")
+    family = "regexp_replace(metric, '^(ingest_duration_seconds)_(bucket|sum|count)$', '\\1')"
+    body = f"SELECT {family} AS family, 2 AS part, metric || {lab} || ' ' || {num} AS line FROM {parts} UNION ALL SELECT * FROM (VALUES {_HEADS}) AS t(family, part, line)"
+    views = with_views("SELECT 1", "v_ingest_log")[5:].rsplit("SELECT 1", 1)[0]
+    return f"WITH {views.replace('v_ingest_log AS', 'plain_log AS', 1)}, v_ingest_log AS ({_ODD_LOG.replace('FROM v_ingest_log', 'FROM plain_log')})\n{body}"
+
+
+@query("metrics_text", "A9", _text_sql())
+def q_metrics_text(fx: Fixtures):
+    odd = F.when(F.col("collection") == "notes", F.lit('no"tes\\x\ny')).otherwise(F.col("collection"))
+    return M.metrics_text(M.all_metrics(fx.v_ingest_log().withColumn("collection", odd)))
+
+
 @query("embed_throughput", "A10", with_views("""
 SELECT collection, sum(n_chunks) AS texts, round(sum(duration_s), 6) AS seconds,
   round(coalesce(sum(n_chunks) / nullif(sum(duration_s), 0), 0), 6) AS texts_per_s

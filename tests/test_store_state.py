@@ -235,16 +235,13 @@ def test_log_after_a_replay_and_after_a_failure(spark, scratch):
     assert 2.0 in values.values()
 
 
-def test_micro_batches_cover_every_row_in_groups_of_n(spark):
-    from corpusflow.operators.aggregates import micro_batches
-
-    df = spark.range(1003).repartition(4)
-    rows = micro_batches(df, 100, "id").collect()
-    assert sum(r["rows"] for r in rows) == 1003
-    by_part = {}
-    for r in rows:
-        by_part.setdefault(r["partition"], []).append(r)
-    for part in by_part.values():
-        part.sort(key=lambda r: r["batch"])
-        assert [r["batch"] for r in part] == list(range(len(part)))
-        assert all(r["rows"] == 100 for r in part[:-1]) and 0 < part[-1]["rows"] <= 100
+def test_micro_batches_are_the_same_for_every_partitioning(spark):
+    from corpusflow.operators.aggregates import micro_batches, numbered
+
+    df = spark.range(1003).selectExpr("id * 7 % 1003 as id")
+    want = [(k, 100 if k < 10 else 3, str(100 * k)) for k in range(11)]
+    for laid in (df.repartition(1), df.repartition(7), df.repartition(3, "id")):
+        assert sorted(tuple(r) for r in micro_batches(laid, 100, "id").collect()) == want
+    positions = numbered(df.repartition(5), "id").collect()
+    assert all(r["position"] == r["id"] for r in positions) and len(positions) == 1003
+    assert micro_batches(df.limit(0), 100, "id").collect() == []

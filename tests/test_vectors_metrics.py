@@ -33,8 +33,8 @@ def test_quantile_bounds_exact_and_sketch(spark):
     flat = np.sort(vecs.reshape(-1).astype(np.float64))
     n = flat.size
     want_lo, want_hi = flat[max(math.ceil(0.005 * n), 1) - 1], flat[max(math.ceil(0.995 * n), 1) - 1]
-    for acc in (100, 100_000):  # a coarse sketch still gives the exact value
-        b = quantile_bounds(df, accuracy=acc).first()
+    for acc in (8, 200, 4_096):  # a coarse sketch still gives the exact value
+        b = quantile_bounds(df, k=acc).first()
         assert (b["q_lo"], b["q_hi"]) == (want_lo, want_hi)
     a = quantile_bounds(df, exact=False).first()
     lo_rank = int(np.searchsorted(flat, a["q_lo"], side="right"))
@@ -71,8 +71,8 @@ def test_exact_quantiles_narrow_huge_brackets(spark):
     x = rng.normal(size=20000)
     df = spark.createDataFrame([("g", float(v)) for v in x], "g string, x double")
     srt = np.sort(x)
-    # a tiny max_bracket forces the narrowing passes
-    got = {r["_qi"]: r["value"] for r in exact_quantiles(df, "x", ("g",), (0.005, 0.5, 0.995), accuracy=50, max_bracket=100).collect()}
+    # a small sketch leaves wide brackets, which the rounds narrow
+    got = {r["_qi"]: r["value"] for r in exact_quantiles(df, "x", ("g",), (0.005, 0.5, 0.995), k=64, rounds=3).collect()}
     for i, q in enumerate((0.005, 0.5, 0.995)):
         assert got[i] == srt[max(math.ceil(q * len(x)), 1) - 1]
 
@@ -91,3 +91,44 @@ def test_registered_model_runs_on_workers(spark):
     df = spark.createDataFrame([(1, "abc"), (2, "")], "k int, text string")
     got = {r["k"]: r["vector"] for r in embed_frame(df, model="length", dim=2).collect()}
     assert got == {1: [3.0, 1.0], 2: [0.0, 1.0]}
+
+
+def test_quantile_bounds_are_one_plan(spark):
+    import inspect
+
+    from corpusflow.functions import vectors
+
+    assert "collect()" not in inspect.getsource(vectors) and "checkpoint" not in inspect.getsource(vectors)
+    df = spark.createDataFrame([("a", [1.0, None, 2.0]), ("b", [5.0]), ("c", None), ("d", [])], "collection string, vector array<double>")
+    got = {r["collection"]: (r["q_lo"], r["q_hi"]) for r in quantile_bounds(df).collect()}
+    assert got == {"a": (1.0, 2.0), "b": (5.0, 5.0)}
+
+
+_LOG = ("ts timestamp, source_type string, collection string, n_docs long, n_chunks long, embed_requests long, embed_errors long, "
+        "skipped long, duration_s double, ok boolean")
+
+
+def test_metrics_read_the_log_once_and_escape_labels(spark, scratch):
+    import datetime as dt
+
+    odd = 'a"b\\c\nd'
+    log = spark.createDataFrame([(dt.datetime(2024, 1, 1), "web", odd, 1, 10, 1, 0, 2, 0.5, True), (dt.datetime(2024, 1, 1), "git", "x", 1, 1, 1, 1, 0, 2.0, None)], _LOG)
+    log.write.parquet(scratch)
+    found = M.metrics_text(M.all_metrics(spark.read.parquet(scratch)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Scan parquet") == 1
+    lines = [r["line"] for r in found.collect()]
+    assert r'chunks_created_total{collection="a\"b\\c\nd"} 10' in lines
+    assert not any('collection="x"' in line for line in lines)  # no successful ingest there
+    assert "embed_errors_total 1" in lines and 'documents_skipped_total{reason="already_indexed"} 2' in lines
+    for name, kind, _ in M.FAMILIES:
+        at = lines.index(f"# TYPE {name} {kind}")
+        assert lines[at - 1].startswith(f"# HELP {name} ") and lines[at + 1].startswith(name)
+    bounds = [line.split('le="')[1].split('"')[0] for line in lines if "_bucket" in line]
+    assert bounds == ["1.0", "5.0", "10.0", "30.0", "60.0", "120.0", "300.0", "600.0", "+Inf"]
+
+
+def test_metrics_of_an_empty_log_are_zero(spark):
+    samples = {r["metric"]: r["value"] for r in M.all_metrics(spark.createDataFrame([], _LOG)).collect()}
+    assert samples == {"embed_requests_total": 0.0, "embed_errors_total": 0.0, "documents_skipped_total": 0.0}
+    assert len(M.metrics_text(M.all_metrics(spark.createDataFrame([], _LOG))).collect()) == 2 * len(M.FAMILIES) + 3
