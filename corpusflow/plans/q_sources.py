@@ -52,6 +52,68 @@ def q_scan_tree(fx: Fixtures):
     return m.select("url", "path", F.concat(F.col("url"), F.lit("@"), F.col("path")).alias("source_uri"))
 
 
+def _write_tree(fx: Fixtures) -> str:
+    """The files of ``v_files`` as a real tree, ``<repo>/<path>``, in the shared folder: the input of the two queries below."""
+    from ..session import scratch_path
+
+    root = scratch_path(fx.spark, "tree")
+
+    def write(rows):
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(root)
+        for r in rows:
+            path = f"{top}/{r.repo}/{r.path}"
+            store.create_dir(path.rpartition("/")[0])
+            with store.open_output_stream(path) as out:
+                out.write(r.content.encode())
+
+    fx.v_files().select("repo", "path", "content").foreachPartition(write)
+    return root
+
+
+def _repo_globs(fx: Fixtures) -> str:
+    """Repository -> glob as JSON: one entry per configured repository."""
+    import json
+
+    return json.dumps({r.repo: r.glob for r in _repo_specs(fx).collect()})
+
+
+_TREE_SQL = with_views(f"""
+SELECT f.repo || '/' || f.path AS path, CAST(octet_length(encode(f.content)) AS BIGINT) AS length,
+  regexp_replace(f.content, '\r\n?', chr(10), 'g') AS text
+FROM v_files f JOIN ({_SPECS_SQL}) s ON f.repo = s.repo
+WHERE regexp_full_match(f.path, s.re) AND {Q.kind('f.name')} IN {Q.SUPPORTED}""", "v_files")
+
+
+@query("scan_tree_storage", "S2", _TREE_SQL)
+def q_scan_tree_storage(fx: Fixtures):
+    """S2 on storage: files of a tree of repositories, each by its own glob; others are never opened."""
+    from ..sources.trees import register_tree_source
+
+    register_tree_source(fx.spark)
+    files = fx.spark.read.format("corpus_tree").option("globs", _repo_globs(fx)).load(_write_tree(fx))
+    return S.read_text(files).select("path", "length", "text")
+
+
+@query("stream_tree", "S7", _TREE_SQL)
+def q_stream_tree(fx: Fixtures):
+    """The same tree as a stream with offsets of its own, run until nothing new is found."""
+    from ..session import scratch_path
+    from ..sources.trees import register_tree_source
+
+    register_tree_source(fx.spark)
+    root, out = _write_tree(fx), scratch_path(fx.spark, "stream-tree")
+    files = fx.spark.readStream.format("corpus_tree").option("globs", _repo_globs(fx)).load(root)
+    writer = S.read_text(files).select("path", "length", "text").writeStream.format("parquet").option("path", f"{out}/files")
+    stream = writer.option("checkpointLocation", f"{out}/offsets").trigger(processingTime="0 seconds").start()
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return fx.spark.read.schema("path string, length long, text string").parquet(f"{out}/files")
+
+
 # -- S3: bytes with bad UTF-8 and CR/CRLF line ends ----------------------------------------------
 
 @query("read_text", "S3", f"""

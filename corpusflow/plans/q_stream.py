@@ -136,3 +136,19 @@ def q_changed_files_stateful(fx: Fixtures):
     if q.exception():
         raise q.exception()
     return fx.spark.read.schema("file_id string, name string, modified_time string").parquet(f"{root}/out")
+
+
+@query("state_snapshot", "S8", with_views("""
+SELECT coalesce(l.file_id, s.file_id) AS file_id, CASE WHEN l.file_id IS NULL THEN s.modified_time ELSE l.modified_time END AS modified_time
+FROM v_state s FULL OUTER JOIN v_listing l ON l.file_id = s.file_id""", "v_listing", "v_state"))
+def q_state_snapshot(fx: Fixtures):
+    """The poll state that a change-detecting stream left in its state store, read back as a table."""
+    from ..streaming.stateful import changed_files_stateful, state_snapshot
+
+    root = T.stream_root(fx.spark, "snapshot")
+    out = changed_files_stateful(fx.v_listing(_docs_stream(fx)), fx.v_state())
+    writer = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+    T.finish(q := writer.outputMode("append").trigger(availableNow=True).start())
+    if q.exception():
+        raise q.exception()
+    return state_snapshot(fx.spark, f"{root}/ckpt")
