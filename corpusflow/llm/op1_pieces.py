@@ -1,20 +1,23 @@
 """SentencePiece encoding and decoding with a shared-prefix forward pass.
 
-A text (blanks marked, one mark in front) falls into marked words that no piece
-crosses. A task sorts the distinct new words, which is a depth-first walk of
-their trie, and keeps one forward state per depth, so words with a common
+A text (blanks marked, one mark in front) falls into units that no piece crosses:
+blanks with the word after them, and white space that the vocabulary joins to
+nothing. A task sorts the distinct new units, which is a depth-first walk of
+their trie, and keeps one forward state per depth, so units with a common
 prefix share its states. The state of a prefix is the last piece of its best
-path; a piece may follow another only if the model keeps the two apart (checked
-once per pair by the merge rule), which leaves exactly one path: the model's own
-segmentation. (A sum of piece scores would not give this model's ids, for it
-ranks merges and not segmentations.)
+path; a piece may follow another only if the model keeps the two apart (no parts
+at their edges would have merged first), which leaves exactly one path: the
+model's own segmentation. (A sum of piece scores would not give this model's ids,
+for it ranks merges and not segmentations.)
 
 Defined cases: null and empty texts have no ids and decode to an empty text;
-characters without a piece become byte pieces; repeated rows are alike.
+characters without a piece become byte pieces; repeated rows are alike; an empty
+table gives an empty table; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,22 +61,30 @@ class PieceEncoder(UnitEncoder):
                 shown.append(piece.replace(MARK, " ").encode())
         self._longest = max(map(len, self._id))
         self._apart: dict[tuple[str, str], bool] = {}
-        self._whole: dict[str, bool] = {}
+        self._spines: dict[str, tuple[list, list] | None] = {}
+        # units are cut where no piece goes across
+        inner = {p[k : k + 2] for p in self._id for k in range(len(p) - 1)}
+        if any(x[0] != MARK and x[1] == MARK for x in inner):
+            raise ValueError("a piece joins a blank to what is before it")
+        self._before, self._after = np.zeros(256, bool), np.zeros(256, bool)
+        for code in (9, 10, 11, 12, 13):
+            self._before[code] = not any(x[1] == chr(code) for x in inner)
+            self._after[code] = not any(x[0] == chr(code) for x in inner)
         self._packed = {p: np.array([k], "<u4").tobytes() for p, k in self._id.items()}
         self._shown_length = np.array([len(x) for x in shown], np.int64)
         self._shown_start = np.cumsum(self._shown_length) - self._shown_length
         self._shown = np.frombuffer(b"".join(shown), np.uint8)
 
     def units(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Units: blanks with the word after them; any other white space alone. A
-        text that holds the mark itself is one unit."""
+        """Units: blanks with the word after them; other white space alone where no piece joins it
+        to a neighbour. A text that holds the mark itself is one unit."""
         marked = [" " + t if t else "" for t in texts]
         for part, buf, offsets in bw.chunks(marked, CHUNK):
             blank = buf == 32
-            other = bw.IS_SPACE[buf] & ~blank
-            head = other.copy()
+            head = self._before[buf]
             head[0] = True
-            head[1:] |= (blank[1:] & ~blank[:-1]) | (other[:-1] & ~blank[1:])
+            head[1:] |= (blank[1:] & ~blank[:-1]) | self._after[buf[:-1]]
+            head[offsets[:-1]] = head[offsets[1:] - 1] = True  # texts, and the breaks after them
             for k, raw in enumerate(part):
                 if MARK.encode() in raw:
                     head[offsets[k] + 1 : offsets[k + 1] - 1] = False
@@ -82,10 +93,10 @@ class PieceEncoder(UnitEncoder):
             inner = ~np.isin(starts, offsets[1:] - 1)  # not the break after a text
             yield buf, offsets, starts[inner], ends[inner]
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, down_to: int = 1) -> list[str]:
         """The model's rule itself: join the neighbours whose union ranks best, leftmost first."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > down_to:
             best = max(((self._score[u], -k) for k in range(len(parts) - 1) if (u := parts[k] + parts[k + 1]) in self._score), default=None)
             if best is None:
                 break
@@ -93,18 +104,50 @@ class PieceEncoder(UnitEncoder):
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
+    def _spine(self, piece: str) -> tuple[list[tuple[str, float]], list[tuple[str, float]]] | None:
+        """Parts of a piece at its right and at its left edge while the rule makes it, each with the
+        score of the piece that takes it up; None if the rule does not make the piece."""
+        if piece not in self._spines:
+            found = ([(piece, -math.inf)], [(piece, -math.inf)])
+            if len(piece) > 1:
+                halves = self.merge(piece, 2)
+                sides = [self._spine(half) for half in halves] if len(halves) == 2 and piece in self._score else [None]
+                if None in sides:
+                    found = None
+                else:
+                    score = self._score[piece]
+                    found = ([*sides[1][0][:-1], (halves[1], score), found[0][0]], [*sides[0][1][:-1], (halves[0], score), found[1][0]])
+            self._spines[piece] = found
+        return self._spines[piece]
+
     def _may_follow(self, left: str, right: str) -> bool:
+        """Whether the rule keeps two pieces in a row apart: no part at the right edge of one and part
+        at the left edge of the other, there at a time, join before either is taken up."""
         key = (left, right)
-        if key not in self._apart:
+        known = self._apart.get(key)
+        if known is None:
             if len(self._apart) > PAIRS:
                 self._apart.clear()
-            self._apart[key] = self.merge(left + right) == [left, right]
-        return self._apart[key]
+            score, a, b = self._score, self._spine(left)[0], self._spine(right)[1]
+            i = j = 0
+            known = True
+            while True:
+                (x, taken_x), (y, taken_y) = a[i], b[j]
+                cross = score.get(x + y)
+                if cross is not None and cross > taken_x and cross >= taken_y:
+                    known = False
+                    break
+                if i == len(a) - 1 and j == len(b) - 1:
+                    break
+                if taken_x >= taken_y:
+                    i += 1
+                else:
+                    j += 1
+            self._apart[key] = known
+        return known
 
     def _is_whole(self, piece: str) -> bool:
-        if piece not in self._whole:
-            self._whole[piece] = self.merge(piece) == [piece]
-        return self._whole[piece]
+        return self._spine(piece) is not None
 
     def _bytes(self, piece: str) -> bytes:
         if piece not in self._packed:
@@ -115,7 +158,7 @@ class PieceEncoder(UnitEncoder):
         words = [u.replace(" ", MARK) for u in units]
         out = [b""] * len(words)
         before, last = "", [""]  # last[d]: last piece of the best path to depth d
-        ids, apart, whole, longest = self._id, self._apart, self._whole, self._longest
+        ids, apart, whole, longest = self._id, self._apart, self._spines, self._longest
         for k in sorted(range(len(words)), key=words.__getitem__):
             word = words[k]
             shared, most = 0, min(len(word), len(before))

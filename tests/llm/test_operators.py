@@ -40,6 +40,27 @@ def test_op1_equals_the_library_and_round_trips(spark, docs, texts):
         assert r.decoded == texts[r.doc_id].replace("▁", " ")
 
 
+def test_op1_control_characters_and_empty_table(spark, docs):
+    import random
+
+    import sentencepiece
+
+    path = tokenizer_files.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as fh:
+        enc = op1_pieces.PieceEncoder(fh.read())
+    rng = random.Random(1)
+    alphabet = ["".join(map(chr, range(33))) + "\x7f", "ab ", " \r\n\t", "\x85\xa0　▁", ";)}{>.:,*/\"", "éü漢😀"]
+    texts = ["\r", "a \r\nb", "x;\r\n}", *("".join(rng.choice(rng.choice(alphabet)) for _ in range(rng.randint(0, 25))) for _ in range(4_000))]
+    got = enc.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == sp.encode(texts)
+    assert enc.decode(got) == [t.replace("▁", " ") for t in texts]
+    for a, b in (("▁t", "he"), ("in", "g"), ("▁", "the"), ("er", "s"), ("▁a", "b")):
+        assert enc._may_follow(a, b) == (enc.merge(a + b) == [a, b])
+    model = file_bytes(spark, path)
+    assert op1_pieces.decode(op1_pieces.encode(docs.limit(0), model), model).collect() == []
+
+
 def test_op2_statistics_and_base_rules(spark, docs, texts):
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
     for r in op2_quality.quality(docs, labels).collect():
