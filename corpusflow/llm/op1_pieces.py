@@ -27,18 +27,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytewise as bw
-from .common import table
+from .common import slices, table
 from .tokens import CHUNK, UnitEncoder, encoder, file_bytes
 
 MARK = "▁"
-ROWS = 2_000
 #: Piece pairs remembered per worker; beyond it the memo starts anew.
-PAIRS = 500_000
+PAIRS = 400_000
+#: Lengths of pieces that any end may have.
+SHORT = (2, 1)
+#: Code of the first character without a piece; ids of pieces lie below.
+OTHER = 1 << 17
 
 
 class PieceEncoder(UnitEncoder):
     """Encoder and decoder of one model file."""
 
+    memo = 350_000
+
     def __init__(self, model: bytes):
         import sentencepiece
 
@@ -59,8 +64,14 @@ class PieceEncoder(UnitEncoder):
             else:
                 self._id[piece], self._score[piece] = k, sp.get_score(k)
                 shown.append(piece.replace(MARK, " ").encode())
-        self._longest = max(map(len, self._id))
-        self._apart: dict[tuple[str, str], bool] = {}
+        lengths: dict[str, set[int]] = {}
+        for piece in self._id:
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], set()).add(len(piece))
+        self._tails = {tail: (*sorted(found, reverse=True), *SHORT) for tail, found in lengths.items()}  # lengths of pieces by their end
+        self._pieces = [sp.id_to_piece(k) for k in range(n)]
+        self._apart: dict[int, bool] = {}  # by both codes
+        self._made: set[int] = set()  # codes of pieces that the rule makes
         self._spines: dict[str, tuple[list, list] | None] = {}
         # units are cut where no piece goes across
         inner = {p[k : k + 2] for p in self._id for k in range(len(p) - 1)}
@@ -70,7 +81,7 @@ class PieceEncoder(UnitEncoder):
         for code in (9, 10, 11, 12, 13):
             self._before[code] = not any(x[1] == chr(code) for x in inner)
             self._after[code] = not any(x[0] == chr(code) for x in inner)
-        self._packed = {p: np.array([k], "<u4").tobytes() for p, k in self._id.items()}
+        self._packed = [self._bytes(k) for k in range(n)]
         self._shown_length = np.array([len(x) for x in shown], np.int64)
         self._shown_start = np.cumsum(self._shown_length) - self._shown_length
         self._shown = np.frombuffer(b"".join(shown), np.uint8)
@@ -120,67 +131,78 @@ class PieceEncoder(UnitEncoder):
             self._spines[piece] = found
         return self._spines[piece]
 
-    def _may_follow(self, left: str, right: str) -> bool:
+    def _text(self, code: int) -> str:
+        """A piece by its code: its id, or ``OTHER`` and the place of a character without a piece."""
+        return self._pieces[code] if code < OTHER else chr(code - OTHER)
+
+    def _may_follow(self, left: int, right: int) -> bool:
         """Whether the rule keeps two pieces in a row apart: no part at the right edge of one and part
         at the left edge of the other, there at a time, join before either is taken up."""
-        key = (left, right)
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) > PAIRS:
-                self._apart.clear()
-            score, a, b = self._score, self._spine(left)[0], self._spine(right)[1]
-            i = j = 0
-            known = True
-            while True:
-                (x, taken_x), (y, taken_y) = a[i], b[j]
-                cross = score.get(x + y)
-                if cross is not None and cross > taken_x and cross >= taken_y:
-                    known = False
-                    break
-                if i == len(a) - 1 and j == len(b) - 1:
-                    break
-                if taken_x >= taken_y:
-                    i += 1
-                else:
-                    j += 1
-            self._apart[key] = known
+        if len(self._apart) > PAIRS:
+            self._apart.clear()
+        score, a, b = self._score, self._spine(self._text(left))[0], self._spine(self._text(right))[1]
+        i = j = 0
+        known = True
+        while True:
+            (x, taken_x), (y, taken_y) = a[i], b[j]
+            cross = score.get(x + y)
+            if cross is not None and cross > taken_x and cross >= taken_y:
+                known = False
+                break
+            if i == len(a) - 1 and j == len(b) - 1:
+                break
+            if taken_x >= taken_y:
+                i += 1
+            else:
+                j += 1
+        self._apart[left << 21 | right] = known
         return known
 
-    def _is_whole(self, piece: str) -> bool:
-        return self._spine(piece) is not None
-
-    def _bytes(self, piece: str) -> bytes:
-        if piece not in self._packed:
-            return np.array([self._byte[b] for b in piece.encode("utf-8", "replace")], "<u4").tobytes()
-        return self._packed[piece]
+    def _bytes(self, code: int) -> bytes:
+        ids = [code] if code < OTHER else [self._byte[b] for b in self._text(code).encode("utf-8", "replace")]
+        return np.array(ids, "<u4").tobytes()
 
     def learn(self, units: list[str]) -> list[bytes]:
         words = [u.replace(" ", MARK) for u in units]
         out = [b""] * len(words)
-        before, last = "", [""]  # last[d]: last piece of the best path to depth d
-        ids, apart, whole, longest = self._id, self._apart, self._spines, self._longest
+        before, last = "", [0]  # last[d]: code of the last piece of the best path to depth d
+        start_of = [0]  # and where that piece starts
+        ids, apart, whole, tails, packed = self._id, self._apart, self._made, self._tails, self._packed
         for k in sorted(range(len(words)), key=words.__getitem__):
             word = words[k]
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], start_of[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                for length in tails.get(word[end - 3 : end], SHORT) if end > 2 else SHORT:
+                    start = end - length
+                    if start < 0:
+                        continue
                     piece = word[start:end]
-                    if piece in ids or end - start == 1:
-                        if not (whole.get(piece) or self._is_whole(piece)):
+                    code = ids.get(piece)
+                    if code is None:
+                        if length > 1:
                             continue
-                        left = last[start]
-                        if not start or apart.get((left, piece)) or self._may_follow(left, piece):
-                            last.append(piece)
-                            break
+                        code = OTHER + ord(piece)
+                    elif code not in whole:
+                        if self._spine(piece) is None:
+                            continue
+                        whole.add(code)
+                    if start:
+                        known = apart.get(last[start] << 21 | code)
+                        if not (self._may_follow(last[start], code) if known is None else known):
+                            continue
+                    last.append(code)
+                    start_of.append(start)
+                    break
             path, at = [], len(word)
             while at:
-                path.append(last[at])
-                at -= len(last[at])
+                code = last[at]
+                path.append(packed[code] if code < OTHER else self._bytes(code))
+                at = start_of[at]
             path.reverse()
-            out[k] = b"".join([self._bytes(p) for p in path])
+            out[k] = b"".join(path)
             before = word
         return out
 
@@ -202,8 +224,7 @@ def encode(docs: DataFrame, model: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(PieceEncoder, model.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
+            for batch in slices([whole]):
                 ids = pa.array(enc.encode(batch.column(1).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], ["doc_id", "text", "ids"])
 
@@ -216,8 +237,7 @@ def decode(encoded: DataFrame, model: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(PieceEncoder, model.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
+            for batch in slices([whole]):
                 text = pa.array(enc.decode(batch.column(2).to_pylist()), pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, text], ["doc_id", "text", "ids", "decoded"])
 

@@ -52,6 +52,9 @@ class UnitEncoder:
     A subclass says how a text falls into units and gives the ids of new ones.
     """
 
+    #: Units kept per worker.
+    memo = MEMO
+
     def __init__(self) -> None:
         self._forget()
 
@@ -84,7 +87,7 @@ class UnitEncoder:
 
     def _numbers(self, hashes: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Numbers of the units (ascending hashes); unknown ones are encoded first."""
-        if len(self._known) + len(hashes) > MEMO:
+        if len(self._known) + len(hashes) > self.memo:
             self._forget()
         at = np.searchsorted(self._known, hashes)
         new = np.ones(len(hashes), bool)
