@@ -151,6 +151,55 @@ def test_op5_components_equal_all_pairs(docs, texts, threshold, size):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root(r.doc_id), root(r.doc_id) == r.doc_id)
 
 
+def test_op5_repeated_and_null_ids_lose_no_link(spark):
+    import itertools
+
+    ship_package(spark)
+    a, b, c = (" ".join(f"{x}{k}" for k in range(100)) for x in "abc")
+    data = [(1, a), (1, b), (2, b + " x"), (3, a + " y"), (4, c), (4, c), (None, a), (None, c + " z"), (None, "q r s t"), (5, ""), (5, b), (6, None), (None, "  ")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+
+    top = list(range(len(data)))
+
+    def root(k):
+        while top[k] != k:
+            k = top[k]
+        return k
+
+    for x, y in itertools.combinations(range(len(data)), 2):
+        p, q = shingles(data[x][1]), shingles(data[y][1])
+        if p and q and (100 * len(p & q) >= 85 * len(p | q) or (data[x][0] is not None and data[x][0] == data[y][0])):
+            top[max(root(x), root(y))] = min(root(x), root(y))
+    want = []
+    for x, (i, t) in enumerate(data):
+        ids = [data[y][0] for y in range(len(data)) if root(y) == root(x) and data[y][0] is not None]
+        least = (min(ids) if ids else None) if shingles(t) else i
+        want.append((i, len(shingles(t)), least, i == least))
+    key = repr
+    assert sorted((tuple(r) for r in op5_minhash.near_duplicates(df).collect()), key=key) == sorted(want, key=key)
+
+
+def test_op5_recall_at_the_threshold(spark):
+    """5,000 documents in pairs a little over the threshold: links found and links missed."""
+    import random
+
+    ship_package(spark)
+    rng, data = random.Random(11), []
+    for k in range(2_500):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(120)]
+        other = list(words)
+        for at in rng.sample(range(3, 117, 6), 3):  # three changed words: at most nine of 118 windows
+            other[at] = f"v{rng.randrange(10**9)}"
+        data += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    found = op5_minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    linked = sum(r.component_id == r.doc_id - r.doc_id % 2 for r in found if r.doc_id % 2)
+    assert 100 * 109 >= 85 * 127 and linked == 2_500
+
+
 def test_op5_blocks_find_the_links_of_rounds(spark, monkeypatch):
     import random
 
