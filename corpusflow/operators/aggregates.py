@@ -34,19 +34,21 @@ def chunk_counts(chunks: DataFrame, doc: str = "doc_id") -> DataFrame:
 def skip_stats(all_chunks: DataFrame, indexed: DataFrame, doc: str = "doc_id") -> DataFrame:
     """A4: chunks and documents skipped because their document is already indexed.
 
-    One join of the chunks with the indexed id set (a flag column), then one
-    aggregation pass; distinct counts are planned by Spark as a two-level
-    aggregate, so no id set is gathered in one place.
+    Chunks are counted per document first, so the join with the indexed id set sees
+    one row per document, already dealt by its key, and no distinct count is left.
+    Chunks without a document id count as chunks, not as a document.
     """
     flag = indexed.select(doc).distinct().withColumn("_idx", F.lit(True))
-    j = all_chunks.select(doc).join(flag, doc, "left")
+    per_doc = all_chunks.groupBy(doc).agg(F.count(F.lit(1)).alias("_chunks"))
+    j = per_doc.join(flag, doc, "left")
     hit = F.coalesce(F.col("_idx"), F.lit(False))
+    none = F.lit(0).cast("long")
     return j.agg(
-        F.count(F.lit(1)).alias("all_chunks"),
-        F.count_if(~hit).alias("new_chunks"),
-        F.count_if(hit).alias("skipped_chunks"),
-        F.count_distinct(doc).alias("all_docs"),
-        F.count_distinct(F.when(hit, F.col(doc))).alias("skipped_docs"),
+        F.coalesce(F.sum("_chunks"), none).alias("all_chunks"),
+        F.coalesce(F.sum(F.when(~hit, F.col("_chunks"))), none).alias("new_chunks"),
+        F.coalesce(F.sum(F.when(hit, F.col("_chunks"))), none).alias("skipped_chunks"),
+        F.count(doc).alias("all_docs"),
+        F.count_if(hit).alias("skipped_docs"),
     )
 
 

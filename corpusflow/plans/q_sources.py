@@ -13,7 +13,7 @@ from ..sources import scans as S
 from ..session import ensure_parallel
 from ..sources.fixtures import BATCH_TS, Fixtures
 from . import oracle_sql as Q
-from .oracle_views import NL, with_views
+from .oracle_views import NL, py_strip, with_views
 from .registry import query
 
 # -- S1 ---------------------------------------------------------------------------------------
@@ -198,7 +198,8 @@ def q_load_state(fx: Fixtures):
 
 # -- E1 / E10 ---------------------------------------------------------------------------------------
 
-def _extract_sql() -> str:
+def _extract_sql(files: str = "v_files", stated: str = "''") -> str:
+    """``stated``: the metadata title of office files, an expression over the rows of ``files``."""
     k, st = Q.kind("name"), Q.stem("name")
     direct = f"""
 SELECT name, {k} AS kind,
@@ -208,17 +209,17 @@ SELECT name, {k} AS kind,
        WHEN {k} = '.rst' THEN {Q.or_stem(Q.rst_title('content'), st)}
        WHEN {k} = '.txt' THEN {Q.or_stem("''", st)}
        WHEN {k} IN ('.html', '.htm') THEN {Q.or_stem(Q.html_title('content'), st)} ELSE '' END AS title
-FROM v_files WHERE {k} NOT IN ('.pdf', '.docx', '.pptx', '.xlsx')"""
+FROM {files} WHERE {k} NOT IN ('.pdf', '.docx', '.pptx', '.xlsx')"""
     parts = f"""
 SELECT name, {k} AS kind, unnest(string_split(content, {NL})) AS t,
-       generate_subscripts(string_split(content, {NL}), 1) AS o
-FROM v_files WHERE {k} IN ('.pdf', '.docx', '.pptx', '.xlsx')"""
+       generate_subscripts(string_split(content, {NL}), 1) AS o, {py_strip(stated)} AS stated
+FROM {files} WHERE {k} IN ('.pdf', '.docx', '.pptx', '.xlsx')"""
     office = f"""
 SELECT name, kind, coalesce(CASE
     WHEN kind = '.pdf' THEN string_agg(coalesce(t, ''), {NL} || {NL} ORDER BY o)
     WHEN kind = '.docx' THEN string_agg(CASE WHEN NOT {Q.is_blank('t')} THEN t END, {NL} || {NL} ORDER BY o)
     WHEN kind = '.pptx' THEN string_agg(coalesce(t, ''), {NL} || {NL} ORDER BY o) END, '') AS text,
-  {Q.or_stem("''", Q.stem('name'))} AS title
+  {Q.or_stem("any_value(stated)", Q.stem('name'))} AS title
 FROM parts WHERE kind <> '.xlsx' GROUP BY name, kind"""
     xlsx = f"""
 SELECT name, '.xlsx' AS kind, coalesce(string_agg(r, {NL} ORDER BY o), '') AS text, {Q.or_stem("''", Q.stem('name'))} AS title
@@ -236,9 +237,14 @@ def q_extract_documents(fx: Fixtures):
     return X.extract_documents(fx.v_files())
 
 
-@query("resolve_title", "E10", f"SELECT name, title FROM ({_extract_sql()})")
+# metadata titles: stated, blank and missing ones
+_STATED = "CASE doc_id % 5 WHEN 0 THEN ' Report ' || source || ' ' WHEN 1 THEN '  ' WHEN 2 THEN lang END"
+
+
+@query("resolve_title", "E10", f"SELECT name, title FROM ({_extract_sql('(SELECT * FROM v_files JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id))', _STATED)})")
 def q_resolve_title(fx: Fixtures):
-    return X.extract_documents(fx.v_files()).select("name", "title")
+    stated = fx.table("documents").select("doc_id", F.expr(_STATED).alias("stated"))
+    return X.extract_documents(fx.v_files().join(stated, "doc_id"), title="stated").select("name", "title")
 
 
 # -- E2-E5 ---------------------------------------------------------------------------------------------

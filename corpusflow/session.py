@@ -65,14 +65,20 @@ def sf_dir_default() -> str:
 
 def ensure_parallel(df, factor: int = 2):
     """Spread a frame over the cluster before a CPU-heavy narrow stage (Python UDF,
-    regex-heavy parsing) when its input has fewer partitions than task slots —
-    e.g. one unsplittable file. Large inputs already arrive in many splits and are
-    left alone, so this adds no shuffle at scale."""
+    regex-heavy parsing) when its input is so small that a scan gets fewer splits than
+    there are task slots: Spark packs at least ``openCostInBytes`` (4 MB, each file
+    counted with that much on top) into a split. This is decided on the plan's size
+    estimate and file list, nothing is planned or run for it, and what is shuffled is
+    at most that much per slot; larger inputs and streams are left alone."""
+    if df.isStreaming:
+        return df
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # no RDD access (e.g. Spark Connect): keep the plan as is
+        unit = df.sparkSession._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except (AttributeError, TypeError):  # no JVM plan at hand (e.g. Spark Connect): keep the plan as is
+        return df
+    if size >= slots * unit or len(df.inputFiles()) >= slots:
         return df
     return df.repartition(slots * factor)
 

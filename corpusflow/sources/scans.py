@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.constants import ALL_SUFFIXES, DEFAULT_GLOB
 from ..functions.html import html_text, html_title
 from ..functions.text import decode_text, glob_regex, is_blank, suffix
+from ..operators.joins import indexed_doc_ids
 from ..session import ensure_parallel
 
 LISTING_COLUMNS = ("file_id", "name", "mime", "modified_time")
@@ -116,7 +117,7 @@ def scan_indexed_docs(points: DataFrame | None, doc: str = "doc_id") -> DataFram
     """Distinct non-blank ``doc_id`` of the index; only that column is read."""
     if points is None:
         return None
-    return points.select(doc).where(F.col(doc).isNotNull() & (F.col(doc) != "")).distinct()
+    return indexed_doc_ids(points, doc)
 
 
 def load_state(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusflow.functions.html import html_text, html_title, parse_text
-from corpusflow.operators.extract import assemble_cells, assemble_pages, assemble_paragraphs, extract_documents
+from corpusflow.operators.extract import assemble_cells, assemble_pages, assemble_paragraphs, assemble_shapes, extract_documents
 
 FILES = [
     ("readme.md", "# My Project\n\nSome content here.", "My Project"),
@@ -183,3 +183,59 @@ def test_parse_url_list_and_invalid_config(spark):
     ]
     specs = spark.createDataFrame([(1, '[{"url": "https://g/r.git"}, {"glob": "*.md"}, {"url": ""}]')], "k int, config string")
     assert [(r["url"], r["glob"]) for r in parse_repo_specs(specs).collect()] == [("https://g/r.git", "**/*")]
+
+
+def _parts_frame(spark):
+    """A document of 6,000 parts with unevenly spread orders, 300 of five parts, one without an id."""
+    big = spark.range(6000).select(F.lit(7).alias("doc"), (F.col("id") * F.col("id")).alias("ord"), F.col("id").alias("n"))
+    few = spark.range(1500).select((100 + F.floor(F.col("id") / 5)).cast("int").alias("doc"), (F.col("id") % 5).alias("ord"), F.col("id").alias("n"))
+    none = spark.range(50).select(F.lit(None).cast("int").alias("doc"), F.col("id").alias("ord"), F.col("id").alias("n"))
+    text = F.when(F.col("n") % 7 == 3, F.lit(None)).when(F.col("n") % 7 == 5, F.lit("")).when(F.col("n") % 7 == 6, F.lit(" \t")).otherwise(F.concat(F.lit("p"), "n"))
+    rows = big.union(few).union(none).withColumn("text", text).withColumn("has_text", F.col("n") % 3 != 0)
+    return rows.repartition(8, F.xxhash64("n"))
+
+
+@pytest.mark.parametrize("most", [1, 40, 1000, 5999])
+def test_huge_documents_are_joined_by_ranges(spark, most):
+    parts = _parts_frame(spark).persist()
+    by_doc = {}
+    for r in sorted(parts.collect(), key=lambda r: r["ord"]):
+        by_doc.setdefault(r["doc"], []).append((r["text"], r["has_text"]))
+    want = {
+        assemble_pages: lambda rows: "\n\n".join(t or "" for t, _ in rows),
+        assemble_paragraphs: lambda rows: "\n\n".join(t for t, _ in rows if t is not None and t.strip()),
+        assemble_shapes: lambda rows: "\n\n".join(t or "" for t, has in rows if has),
+    }
+    for run, text in want.items():
+        got = {r["doc"]: r["text"] for r in run(parts, most=most).collect()}
+        assert got == {doc: text(rows) for doc, rows in by_doc.items()}, run
+    parts.unpersist()
+
+
+def test_a_huge_document_does_not_meet_in_one_list(spark):
+    """Only joined ranges reach the document's group, a few rows of the 6,000."""
+    plan = assemble_pages(_parts_frame(spark), most=1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") >= 1 and "_range" in plan
+    small = assemble_pages(_parts_frame(spark), most=6000)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in small and "Join" not in small
+
+
+def test_huge_workbook(spark):
+    cells = spark.range(9000).select(
+        F.lit("wb").alias("doc"), (F.col("id") % 3).alias("sheet"), F.floor(F.col("id") / 9).alias("row"), (F.floor(F.col("id") / 3) % 3).alias("col"),
+        F.when(F.floor(F.col("id") / 9) % 10 == 4, F.lit(None)).otherwise(F.col("id").cast("string")).alias("value"))
+    plain = assemble_cells(cells).first()["text"]
+    assert assemble_cells(cells, most=100).first()["text"] == plain
+    assert len(plain.split("\n")) == 2700 and plain.startswith("0 | 3 | 6\n9 | 12 | 15\n")
+
+
+def test_empty_parts(spark):
+    parts = spark.createDataFrame([], "doc int, ord int, text string")
+    assert assemble_pages(parts, most=1).count() == 0
+
+
+def test_metadata_titles(spark):
+    files = [("a.pdf", " Annual "), ("b.docx", "  "), ("c.pptx", None), ("d.xlsx", "ignored"), ("e.md", "ignored")]
+    df = spark.createDataFrame([(n, "x", t) for n, t in files], "name string, content string, stated string")
+    got = {r["name"]: r["title"] for r in extract_documents(df, title="stated").collect()}
+    assert got == {"a.pdf": "Annual", "b.docx": "b", "c.pptx": "c", "d.xlsx": "d", "e.md": "e"}

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import joins as J
@@ -245,3 +246,27 @@ def test_micro_batches_are_the_same_for_every_partitioning(spark):
     positions = numbered(df.repartition(5), "id").collect()
     assert all(r["position"] == r["id"] for r in positions) and len(positions) == 1003
     assert micro_batches(df.limit(0), 100, "id").collect() == []
+
+
+def test_skip_stats_counts_chunks_without_a_document(spark):
+    from corpusflow.operators.aggregates import skip_stats
+
+    chunks = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("c",)], "doc_id string")
+    seen = spark.createDataFrame([("a",), ("a",), ("x",)], "doc_id string")
+    assert tuple(skip_stats(chunks, seen).first()) == (5, 3, 2, 3, 1)
+    assert tuple(skip_stats(chunks.limit(0), seen).first()) == (0, 0, 0, 0, 0)
+
+
+def test_ensure_parallel_judges_without_running(spark, scratch):
+    from corpusflow.session import ensure_parallel
+
+    spark.range(1000).coalesce(1).write.parquet(scratch)
+    small = spark.read.parquet(scratch)
+    assert ensure_parallel(small).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(scratch + "-many")
+    many = spark.read.parquet(scratch + "-many")
+    assert ensure_parallel(many) is many
+    big = spark.range(10**9)
+    assert ensure_parallel(big) is big
+    failing = small.select(F.raise_error(F.lit("ran")).alias("x")).groupBy("x").count()
+    ensure_parallel(failing)
