@@ -103,6 +103,8 @@ _BARE = re.compile(
     r"(?:\s{1,3}dot\s{1,3})[A-Za-z]{2,24}(?![A-Za-z0-9])", re.IGNORECASE)
 _BARE_DOT = re.compile(r"\s{1,3}dot\s{1,3}", re.IGNORECASE)
 _HOST_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z]{2,24}\b)", re.IGNORECASE)
+_AT_HOST = re.compile(r"@[A-Za-z0-9.-]{1,63}\Z")
+_HOST_PART = re.compile(r"[A-Za-z0-9.-]{1,63}")
 _DOT_ANY = re.compile(r"\sdot\s", re.IGNORECASE)
 _HIDDEN_ANY = re.compile("[" + re.escape("".join(_LOOK_ALIKE) + _HIDDEN) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
 _BOX_ANY = re.compile(r"[\[({<]\s{0,3}(?:at|dot|@|\.)\s{0,3}[\])}>]", re.IGNORECASE)
@@ -167,9 +169,14 @@ def bare(t: Traced) -> Traced:
         edits.append((*m.span("at"), [("@", *m.span("at"))]))
         edits += [(*d.span(), [(".", *d.span())]) for d in _BARE_DOT.finditer(t.text, m.end("at"), m.end())]
     t = t.rewrite(edits)
-    # a host after an @ may still spell its dots
-    return t.rewrite([(*d.span(), [(".", *d.span())]) for d in _HOST_DOT.finditer(t.text)
-                      if re.search(r"@[A-Za-z0-9.-]{1,63}\Z", t.text[max(0, d.start() - 64) : d.start()])])
+    # a host after an @ may still spell its dots, each after the one before it
+    edits, last = [], -1
+    for d in _HOST_DOT.finditer(t.text):
+        follows = last >= 0 and _HOST_PART.fullmatch(t.text, last, d.start())
+        if follows or _AT_HOST.search(t.text[max(0, d.start() - 64) : d.start()]):
+            edits.append((*d.span(), [(".", *d.span())]))
+            last = d.end()
+    return t.rewrite(edits)
 
 
 def _digit(word: str) -> str:

@@ -202,11 +202,12 @@ def line_verdicts(docs: DataFrame, tau: int = TAU) -> DataFrame:
 def dedup_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``; other columns stay."""
     gone = line_verdicts(docs, tau).where("copy or near").groupBy("doc").agg(F.collect_list("i").alias("_gone"))
-    joined = docs.withColumn("_doc", F.col("doc_id").cast("long")).join(gone, F.col("_doc").eqNullSafe(F.col("doc")), "left")
-    split = joined.withColumn("_lines", F.split("text", "\n", -1))
-    left = "array_except(sequence(0, size(_lines) - 1), _gone)"
-    text = F.expr(f"if(_gone is null, text, array_join(transform({left}, i -> get(_lines, i)), '\n'))")
-    return split.withColumn("text", text).select(*docs.columns)
+    # the row travels as one struct, so that no name of it can clash with ours
+    joined = docs.select(F.struct("*").alias("own")).join(gone, F.col("own.doc_id").cast("long").eqNullSafe(F.col("doc")), "left")
+    split = joined.withColumn("lines", F.split("own.text", "\n", -1))
+    left = "array_except(sequence(0, size(lines) - 1), _gone)"
+    text = F.expr(f"if(_gone is null, own.text, array_join(transform({left}, i -> get(lines, i)), '\n'))")
+    return split.select(*[text.alias(c) if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

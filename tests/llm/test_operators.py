@@ -86,6 +86,17 @@ def test_op2_forest_separates_labelled_junk(spark):
     assert np.mean([k for q, k in got if q == 0]) < 0.1
 
 
+def test_op2_sample_is_bounded_and_the_same_in_any_order(spark):
+    ship_package(spark)
+    sf = "/root/testdata/sf0.01"
+    stats = op2_quality.rule_statistics(spark.read.parquet(f"{sf}/documents.parquet")).cache()
+    given = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    labels = given.union(spark.createDataFrame([(3, 1), (3, 0), (None, 1), (5, None)], given.schema))
+    one, two = (op2_quality.fit(stats.repartition(n), labels.repartition(n), 200) for n in (1, 7))
+    assert one.threshold == two.threshold and (one.cut == two.cut).all() and (one.path == two.path).all()
+    assert op2_quality.fit(stats.limit(0), labels) is None and op2_quality.fit(stats, labels.limit(0)) is None
+
+
 def test_op3_edited_text_and_likeness(docs, texts):
     got = {r.doc_id: r for r in op3_spots.signatures(op3_spots.edited_pairs(docs), "edited", "edited_sig").collect()}
     ids = sorted(texts, reverse=True)
@@ -259,6 +270,10 @@ def test_op6_disguises_map_back(text, found):
     ("card four one one one.one one one one.one one one one.one one one one", ["four one one one.one one one one.one one one one.one one one one"]),
     ("in 12, " + "four" + " one" * 15, ["four" + " one" * 15]),
     ("pay 4111 1111 1111 one one one one", ["4111 1111 1111 one one one one"]),
+    ("mail joe@host dot co dot uk now", ["joe@host dot co dot uk"]),
+    ("joe at host dot mail dot example dot co dot uk, ok", ["joe at host dot mail dot example dot co dot uk"]),
+    ("joe@a dot " + "bb dot " * 40 + "org", ["joe@a dot " + "bb dot " * 40 + "org"]),
+    ("a dot b dot com, joe@host or, a dot com", []),
     ("\u017fix six six six six six six", []), ("one dot two, one plus one is two", []), ("chapter 12, one of 3 or one by one", [])])
 def test_op6_mixed_disguises_and_short_runs(text, found):
     base, every = op6_pii.spans(text)
