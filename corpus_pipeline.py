@@ -87,7 +87,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express language models or packings; tests/llm holds the operators and the first four stages against brute force.
+#: SQL cannot express language models or packings; tests/llm holds the line and near-duplicate stages against brute force, the language and personal-data stages against their operators; packing only through op8's tests.
 ORACLE_SQL = None
 
 
