@@ -1,7 +1,7 @@
 """Registered queries: streaming jobs.
 
 Each query starts its stream with ``availableNow`` over the driver folder
-(only the documents file), waits for it, and returns the table it produced.
+(only the documents table), waits for it, and returns the table it produced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ _DOCS = "SELECT text, source, title FROM v_docs"
 
 
 def _docs_stream(fx: Fixtures):
-    return T.file_stream(fx.spark, fx.sf_dir, T.DOCUMENT_SCHEMA, file_glob="documents.parquet")
+    return T.table_stream(fx.spark, fx.sf_dir, "documents", T.DOCUMENT_SCHEMA)
 
 
 def _as_docs(fx: Fixtures):

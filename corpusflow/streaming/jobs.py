@@ -45,6 +45,16 @@ def file_stream(
     return r.load(folder)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """S7 on a table of ``folder``, which is one Parquet file or a folder of them (``pathGlobFilter``
+    sees only names of files, so it would pass over every part of such a folder)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isDirectory():
+        return file_stream(spark, path.toString(), schema)
+    return file_stream(spark, folder, schema, file_glob=path.getName())
+
+
 def _version_base(spark: SparkSession, checkpoint: str, current: int | None) -> int:
     """First snapshot version used by the query with this checkpoint (stable across restarts)."""
     path = f"{checkpoint}/version_base"

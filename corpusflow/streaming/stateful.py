@@ -11,9 +11,11 @@ is new again. ``state_snapshot`` reads the state of a checkpoint back as a table
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +23,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 OUTPUT_SCHEMA = "file_id string, name string, modified_time string"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# the Python process beside the driver that sets up the state does not see shipped packages:
+# the processor travels whole, not by the name of this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class LastModified(StatefulProcessor):
     def __init__(self, forget_after: float | None = None):

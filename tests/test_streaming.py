@@ -114,3 +114,34 @@ def test_replace_docs_and_delete(spark, scratch):
         job.delete_documents(job.chunks().where("title = 'A'"), 2)  # a frame over the table itself
         assert job.chunks().where("title = 'A'").count() == 0 and job.chunks().where("title = 'B'").count() == 1
         assert job.points().join(ids, "doc_id", "left_semi").count() == 0
+
+
+def test_streams_read_a_table_of_several_files(spark, tmp_path):
+    """Larger tables come as folders of Parquet files; the streams passed over all of those."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    sf, fx = str(tmp_path), Fixtures(spark, str(tmp_path))
+    queries = E.queries()
+    assert queries["stream_documents"](spark, sf).count() == docs.count()
+    changed = {r[0] for r in queries["changed_files_stream"](spark, sf).select("file_id").collect()}
+    assert changed and {r[0] for r in queries["changed_files_stateful"](spark, sf).select("file_id").collect()} == changed
+    ids = fx.v_listing().select("file_id").union(fx.v_state().select("file_id")).distinct()
+    assert queries["state_snapshot"](spark, sf).count() == ids.count()
+    chunks = chunk_rows(prepare_documents(fx.v_docs().select("text", "source", "title"))).count()
+    assert queries["ingest_stream"](spark, sf).count() == queries["ingest_now"](spark, sf).count() == chunks
+    assert queries["ingest_full"](spark, sf).first()["points"] == chunks
+
+
+def test_stateful_processor_travels_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from corpusflow.streaming.stateful import LastModified
+
+    (tmp_path / "processor").write_bytes(cloudpickle.dumps(LastModified(1.0)))
+    code = "import pickle; print(pickle.load(open('processor', 'rb')).ttl)"
+    env = {"PATH": "", "PYTHONPATH": ""}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert run.stdout == "1000\n", run.stderr
