@@ -1,8 +1,8 @@
 """Quality rules with an isolation forest over rule statistics.
 
 ``rule_statistics`` measures every whole text in Arrow tasks. ``fit`` grows
-random-split trees over a bounded sample of labelled rows and calibrates the
-anomaly threshold on their labels; ``score`` walks the trees over every row.
+random-split trees, each over rows drawn from all labelled ones, and calibrates the
+anomaly threshold on all labels; ``score`` walks the trees over every row.
 
 Defined cases: a null text counts as empty; an empty or blank text has no words
 and fails the base rules; repeated rows are judged alike; an empty table gives an
@@ -15,16 +15,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bytewise as bw
 from .common import stored, table
 
-#: Labelled rows that the forest and its threshold are fitted on, at most.
-FIT_ROWS = 20_000
-TREES, SUBSAMPLE = 200, 256
+#: An isolation forest: trees, and rows that the method draws for each of them from all labelled ones.
+TREES, SUBSAMPLE, SEED = 200, 256, 7
+#: Ranges of scores by which the labels are summed up.
+PARTS = 4096
 #: A good row flagged costs as much as so many bad rows missed, as shares of their class.
 ALARM_COST = 5.0
 
@@ -140,20 +142,19 @@ class Forest:
         return np.exp2(-total / len(self.path) / self.norm)
 
 
-def grow(x: np.ndarray, seed: int = 7, trees: int = TREES, subsample: int = SUBSAMPLE) -> Forest:
-    """Grow the forest: each tree isolates a random subsample by random splits."""
-    rng = np.random.default_rng(seed)
-    size = min(subsample, len(x))
+def grow(drawn: np.ndarray, rng: np.random.Generator) -> Forest:
+    """Grow the forest: each tree isolates its random subsample (drawn [tree, row, feature]) by random splits."""
+    trees, size, features = drawn.shape
     depth = max(1, int(np.ceil(np.log2(max(size, 2)))))
     nodes = 2 ** (depth + 1) - 1
     feature = np.zeros((trees, nodes), np.int64)
     cut = np.full((trees, nodes), np.inf)  # an unsplit node sends everything left
     path = np.zeros((trees, nodes))
     for t in range(trees):
-        todo = [(0, 0, x[rng.choice(len(x), size, replace=False)], None)]
+        todo = [(0, 0, drawn[t], None)]
         while todo:
             node, level, rows, fixed = todo.pop()
-            spread = rows.max(0) - rows.min(0) if fixed is None and len(rows) > 1 else np.zeros(x.shape[1])
+            spread = rows.max(0) - rows.min(0) if fixed is None and len(rows) > 1 else np.zeros(features)
             if fixed is None and (level == depth or not spread.any()):
                 fixed = level + float(_average_path(len(rows)))
             if level == depth:
@@ -171,31 +172,59 @@ def grow(x: np.ndarray, seed: int = 7, trees: int = TREES, subsample: int = SUBS
     return Forest(feature, cut, path, depth, float(max(_average_path(size), 1e-9)), 1.0)
 
 
-def fit(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, alarm_cost: float = ALARM_COST) -> Forest | None:
-    """Grow on labelled rows that pass the base rules and calibrate the threshold
-    on their labels: most bad rows caught less ``alarm_cost`` times good rows flagged.
+def _grown(rows: DataFrame, trees: int) -> Forest | None:
+    """The forest of ``rows``, stored in order of doc_id with ``at``, their place in the table: every tree
+    draws its subsample from all of them, and only rows that are drawn reach the driver."""
+    parts = rows.groupBy(F.shiftright("at", 33).alias("part")).count().orderBy("part").collect()  # one per stored part
+    ends = np.cumsum([r["count"] for r in parts])
+    n = int(ends[-1]) if parts else 0
+    if n < 2:
+        return None
+    rng, size = np.random.default_rng(SEED), min(SUBSAMPLE, n)
+    draws = np.array([rng.choice(n, size, replace=False) for _ in range(trees)])
+    part = np.searchsorted(ends, draws, "right")
+    at = (np.array([r["part"] for r in parts])[part] << 33) + draws - (ends - [r["count"] for r in parts])[part]
+    places = np.unique(at)
+    drawn = rows.sparkSession.createDataFrame(pd.DataFrame({"at": places}))
+    got = rows.join(F.broadcast(drawn), "at").select("at", *[f"f_{x}" for x in FEATURES]).toPandas().sort_values("at")
+    return grow(got.iloc[:, 1:].to_numpy(float)[np.searchsorted(places, at)], rng)
+
+
+def _calibrated(rows: DataFrame, forest: Forest, alarm_cost: float) -> float:
+    """The least score at which most bad rows are caught less ``alarm_cost`` times good rows flagged, over
+    all ``rows``: rows of each score are counted and summed up in order, first by ranges of scores."""
+    columns = [f"f_{x}" for x in FEATURES]
 
-    The sample is about ``fit_rows`` such documents, chosen by a bound on the hash of doc_id that
-    a count of all of them gives. A doc_id with several labels or rows has the least of them.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+            yield pa.RecordBatch.from_arrays([pa.array(forest.scores(x)), batch.column("good")], ["s", "good"])
+
+    scored = rows.select((F.col("quality") == 1).alias("good"), *columns).mapInArrow(run, "s double, good boolean")
+    counts = stored(scored.groupBy("s").agg(F.count_if(~F.col("good")).alias("bad"), F.count_if("good").alias("good")), "score_counts")
+    counts = counts.withColumn("part", F.floor(F.col("s") * PARTS))
+    total = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    if not total["bad"] or not total["good"]:
+        return 1.0
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over at most PARTS + 1 rows
+    sums = counts.groupBy("part").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
+    sums = sums.select("part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("b", "g")])
+    upto = Window.partitionBy("part").orderBy("s")
+    caught = 1 - (F.col("b") + F.sum("bad").over(upto)) / F.lit(total["bad"])
+    alarms = 1 - (F.col("g") + F.sum("good").over(upto)) / F.lit(total["good"])
+    worth = counts.join(F.broadcast(sums), "part").select("s", (caught - F.lit(float(alarm_cost)) * alarms).alias("worth"))
+    return -worth.agg(F.max(F.struct("worth", (-F.col("s")).alias("less"))).alias("best")).first()["best"]["less"]
+
+
+def fit(stats: DataFrame, labels: DataFrame, trees: int = TREES, alarm_cost: float = ALARM_COST) -> Forest | None:
+    """Grow on labelled rows that pass the base rules and calibrate the threshold on the labels
+    of all of them. A doc_id with several labels or rows has the least of them."""
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     row = F.struct("quality", *[f"f_{x}" for x in FEATURES])
     able = stats.where(~base_failed()).join(marked, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row"))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    got = able.where(place < fit_rows / max(able.count(), 1)).select("doc_id", "row.*").toPandas()
-    got = got.sort_values("doc_id", ignore_index=True).drop(columns="doc_id")
-    x, good = got.iloc[:, 1:].to_numpy(float), got["quality"].to_numpy() == 1
-    if len(x) < 2:
-        return None
-    forest = grow(x)
-    s = forest.scores(x)
-    threshold = 1.0
-    if good.any() and (~good).any():
-        cuts = np.unique(s)
-        caught = 1 - np.searchsorted(np.sort(s[~good]), cuts, "right") / (~good).sum()
-        alarms = 1 - np.searchsorted(np.sort(s[good]), cuts, "right") / good.sum()
-        threshold = float(cuts[np.argmax(caught - alarm_cost * alarms)])
-    return replace(forest, threshold=threshold)
+    rows = stored(able.select("doc_id", "row.*").sort("doc_id").withColumn("at", F.monotonically_increasing_id()), "labelled")
+    forest = _grown(rows, trees)
+    return forest and replace(forest, threshold=_calibrated(rows, forest, alarm_cost))
 
 
 def base_failed() -> Column:

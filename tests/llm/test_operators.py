@@ -6,8 +6,10 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as tokenizer_files
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm import (
     op1_pieces, op2_quality, op3_spots, op4_language, op5_minhash, op6_pii, op7_lines, op8_packing, op9_rollup, op10_repeats, suffixes)
@@ -97,6 +99,22 @@ def test_op2_sample_is_bounded_and_the_same_in_any_order(spark):
     assert op2_quality.fit(stats.limit(0), labels) is None and op2_quality.fit(stats, labels.limit(0)) is None
 
 
+def test_op2_threshold_is_that_of_all_labelled_rows(spark):
+    rng, n = np.random.default_rng(3), 24_000
+    x = rng.random((n, len(op2_quality.FEATURES))).round(3)
+    quality = (rng.random(n) < 0.9 - 0.5 * (x[:, 0] > 0.97)).astype(int)
+    rows = pd.DataFrame({"doc_id": np.arange(n), "n_words": 100, "n_repeat_words": 0, **{f"f_{c}": x[:, k] for k, c in enumerate(op2_quality.FEATURES)}})
+    labels = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(n), "quality": quality}))
+    forest = op2_quality.fit(spark.createDataFrame(rows), labels)
+    s, good = forest.scores(x), quality == 1
+    cuts = np.unique(s)
+    caught = 1 - np.searchsorted(np.sort(s[~good]), cuts, "right") / (~good).sum()
+    alarms = 1 - np.searchsorted(np.sort(s[good]), cuts, "right") / good.sum()
+    assert forest.threshold == cuts[np.argmax(caught - op2_quality.ALARM_COST * alarms)]
+    one = op2_quality.fit(spark.createDataFrame(rows), labels.withColumn("quality", F.lit(1)))
+    assert one.threshold == 1.0 and (one.cut == forest.cut).all()
+
+
 def test_op3_edited_text_and_likeness(docs, texts):
     got = {r.doc_id: r for r in op3_spots.signatures(op3_spots.edited_pairs(docs), "edited", "edited_sig").collect()}
     ids = sorted(texts, reverse=True)
