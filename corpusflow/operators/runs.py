@@ -31,7 +31,7 @@ from .aggregates import last_wins
 from .store import CHUNK_KEYS
 
 #: Rows of a data file, about; hash slots by which writers tell whether their batches met.
-FILE_ROWS, SLOTS = 1_000_000, 1024
+FILE_ROWS, SLOTS = 250_000, 1024
 #: Two neighbouring runs are merged while the older has fewer than this many times the rows of the newer ones.
 RATIO = 4
 #: Bloom filters: bits per document, probes per document, bits of one stored bitmap (that of Spark's bitmap functions).
@@ -166,7 +166,7 @@ class RunTable:
             n_rows = rows.count() if n_rows is None else n_rows
             run["buckets"] = 1 << max(0, -(-n_rows // self.file_rows) - 1).bit_length()
             laid = rows.select(*self.schema.fieldNames()).withColumn("bucket", self._bucket(run["buckets"]))
-            laid.repartition(run["buckets"], "bucket").sortWithinPartitions("bucket", *self.keys).write.partitionBy("bucket").parquet(self._folder(run, "rows"))
+            laid.repartitionById(run["buckets"], "bucket").sortWithinPartitions("bucket", *self.keys).write.partitionBy("bucket").parquet(self._folder(run, "rows"))
             slots |= self._index(run)
         if gone is not None:
             slot = F.pmod(F.xxhash64(self.doc, F.lit("slot")), F.lit(SLOTS)).cast("int")

@@ -185,3 +185,14 @@ def test_delta_ingest_deletes_and_replays(spark, scratch):
     assert job.delete_documents(ids, 2) and not job.delete_documents(ids, 2)
     assert job.chunks().count() == job.points().count() == 1
     assert job.run(docs, 3) and job.compact() and job.points().count() == 4
+
+
+def test_a_task_writes_one_bucket(spark, table):
+    """Buckets were hashed into tasks once more, so that several could meet in one."""
+    run = table.write(frame(spark, [(f"d{k}", 0, "t") for k in range(300)]))
+    files = table._rows(run, with_bucket=True).select("bucket", F.input_file_name().alias("file")).distinct().collect()
+    tasks = {}
+    for r in files:
+        tasks.setdefault(r.file.split("part-")[1][:5], set()).add(r.bucket)
+    assert run["buckets"] == 16 and len(files) == 16 and all(len(b) == 1 for b in tasks.values())
+    assert R.FILE_ROWS <= 250_000
