@@ -12,7 +12,7 @@ built once per worker process and reused for every batch.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 from .constants import EMBED_BATCH
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+#: Tokens that a worker remembers, and their length at most: its memory must not grow with the vocabulary.
+CACHED, CACHED_CHARS = 1 << 16, 64
+#: Micro-batches of texts whose vectors leave the worker together.
+TOGETHER = 16
 
 
 class HashingEmbedder:
@@ -38,7 +42,9 @@ class HashingEmbedder:
         if f is None:
             h = hashlib.md5(tok.encode("utf-8")).hexdigest()
             f = (int(h[:8], 16) % self.dim, 1.0 if int(h[8], 16) % 2 == 0 else -1.0)
-            if len(self._cache) < 1_000_000:
+            if len(self._cache) >= CACHED:
+                self._cache.clear()
+            if len(tok) <= CACHED_CHARS:
                 self._cache[tok] = f
         return f
 
@@ -84,17 +90,19 @@ def _embed_udf(model: str, dim: int, batch: int):
         raise KeyError(f"embedding model {model!r} is not registered")
 
     @F.arrow_udf("array<float>")
-    def embed(texts: pa.Array) -> pa.Array:
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = _instance(model, dim, factory)
-        values = texts.to_pylist()
-        parts = []
-        for i in range(0, len(values), batch):  # W3: micro-batches of ``batch`` texts
-            parts.append(np.asarray(m.embed([v or "" for v in values[i : i + batch]]), dtype=np.float32))
-        mat = np.vstack(parts) if parts else np.zeros((0, dim), np.float32)
-        width = mat.shape[1] if mat.ndim == 2 else dim
-        flat = pa.array(mat.reshape(-1), pa.float32())
-        offsets = pa.array(np.arange(0, (len(values) + 1) * width, width, dtype=np.int32))
-        return pa.ListArray.from_arrays(offsets, flat)
+        for texts in batches:
+            for at in range(0, len(texts), batch * TOGETHER):
+                values = texts.slice(at, batch * TOGETHER).to_pylist()
+                parts = []
+                for i in range(0, len(values), batch):  # W3: micro-batches of ``batch`` texts
+                    parts.append(np.asarray(m.embed([v or "" for v in values[i : i + batch]]), dtype=np.float32))
+                mat = np.vstack(parts)
+                width = mat.shape[1] if mat.ndim == 2 else dim
+                flat = pa.array(mat.reshape(-1), pa.float32())
+                offsets = pa.array(np.arange(0, (len(values) + 1) * width, width, dtype=np.int32))
+                yield pa.ListArray.from_arrays(offsets, flat)
 
     return embed
 

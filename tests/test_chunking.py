@@ -184,3 +184,26 @@ def test_cutting_grows_with_the_length_of_the_document(spark):
     seconds(1000)
     one, four = min(seconds(70_000) for _ in range(3)), min(seconds(280_000) for _ in range(3))  # 1 and 4 MB
     assert four < 6 * one
+
+
+def test_workers_take_batches_in_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    from corpusflow.functions.batches import pieces
+    from corpusflow.functions.chunking import _chunk_udf, chunk_text
+    from corpusflow.functions.constants import CHUNK_SEPARATORS
+    from corpusflow.functions.embedding import CACHED, HashingEmbedder, _embed_udf
+    from corpusflow.functions.html import _text_udf
+
+    texts = [("word " * 3000 + f"\n\n{k}") if k % 7 else (None, "", " ")[k % 3] for k in range(400)]
+    parts = list(pieces(pa.array(texts)))
+    assert len(parts) > 2 and [t for p in parts for t in p] == texts
+    batch = pa.array(texts)
+    for udf in (_chunk_udf(1024, 128, CHUNK_SEPARATORS), _embed_udf("hashing", 64, 16), _text_udf("\n")):
+        out = list(udf.func(iter([batch])))
+        assert len(out) > 1 and sum(map(len, out)) == len(texts)
+    cut = [c for a in _chunk_udf(1024, 128, CHUNK_SEPARATORS).func(iter([batch])) for c in a.to_pylist()]
+    assert cut == [chunk_text(t) for t in texts]
+    model = HashingEmbedder()
+    model.embed([" ".join(f"w{k}" for k in range(CACHED + 10)) + " " + "x" * 1000])
+    assert len(model._cache) <= CACHED and "x" * 1000 not in model._cache
