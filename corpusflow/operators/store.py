@@ -326,6 +326,10 @@ class KeyedTable:
         laid_out = T.StructType(self.schema.fields + [T.StructField(c, T.IntegerType()) for c in ("v", "bucket")])
         return self.spark.read.schema(laid_out).option("basePath", self.data).parquet(*paths).select(*self.schema.fieldNames())
 
+    def holds(self, buckets: list[int]) -> bool:
+        """Whether one of the buckets has committed rows."""
+        return not {str(b) for b in buckets}.isdisjoint((self._state() or {"current": {}})["current"])
+
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows whose columns equal a row of ``keys`` (which has the bucket key); reads the buckets of ``keys`` only."""
         return self.read(self.touched(keys)).join(keys.distinct(), keys.columns, "left_semi")

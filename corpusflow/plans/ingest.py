@@ -188,11 +188,13 @@ class IngestJob:
             "collection", "source_type"
         ).agg(F.count(F.lit(1)).alias("chunks"), F.count_if(~hit).alias("fresh"), F.count_if(hit).alias("known")).collect()
 
-        todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if self.skip_indexed else chunks
+        # texts are moved for the index check only where something is indexed
+        skips = self.skip_indexed and self.point_table.holds(touched)
+        todo = chunks.join(indexed, ["collection", "doc_id"], "left_anti") if skips else chunks
         pts = embed_points(todo, now, self.model, self.dim).select(*POINT_SCHEMA.fieldNames())
         # points: only the buckets of the chunks to embed (none on a replay)
         self._embedding = True
-        buckets = self.point_table.touched(todo) if self.skip_indexed else touched
+        buckets = self.point_table.touched(todo) if skips else touched
         points = self.point_table.stage(pts, lambda old, b: K.upsert_points(old, b, checked=True), version, buckets)
         self._embedding = False
         chunk_state = self._stage_chunks(chunks, touched, version, now, len({r["collection"] for r in facts}) > 1)
