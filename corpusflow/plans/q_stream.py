@@ -96,7 +96,7 @@ def _told_apart(job: IngestJob) -> dict[str, DataFrame]:
     """Rows of the tables with a SHA-256 of what is long in them, so that two states are compared without moving texts."""
     digest = lambda c: F.unhex(F.sha2(c, 256)).alias("digest")
     payload = F.to_json(F.struct("text", "source", "title"))
-    vector = F.concat_ws(",", F.transform("vector", lambda x: x.cast("string")))
+    vector = F.to_json(F.struct("vector"))
     return {
         "chunks": job.chunks().select("doc_id", "chunk_id", "created_at", digest(payload)),
         "points": job.points().select("collection", "point_id", "doc_id", "chunk_id", digest(vector)),
