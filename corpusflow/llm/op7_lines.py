@@ -21,42 +21,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, stored, table
+from .common import BROADCAST_ROWS, broadcast_checked, stored, table
 
 TAU = 2
 MIN_NEAR = 16
 #: Lines that may share an index key before the key is split further.
-HOT = 500
+HOT = 16
 SPACES = " \t\n\x0b\f\r"
 
 
-def _segment(length: Column, j: int, tau: int) -> tuple[Column, Column]:
+def _segment(length: Column, j: Column, tau: int) -> tuple[Column, Column]:
     """Offset and width of segment ``j``; the last segments take the remainder."""
     width, rest = F.floor(length / (tau + 1)).cast("int"), length % (tau + 1)
-    longer = F.greatest(F.lit(0), F.lit(j) - (F.lit(tau + 1) - rest))
-    return width * j + longer, width + (F.lit(j) >= F.lit(tau + 1) - rest).cast("int")
+    longer = F.greatest(F.lit(0), j - (F.lit(tau + 1) - rest))
+    return width * j + longer, width + (j >= F.lit(tau + 1) - rest).cast("int")
 
 
-def _key(base: Column, length: Column, j: int, text: Column, at: Column, width: Column) -> Column:
-    return F.xxhash64(base, length, F.lit(j), F.substring(text, at + 1, width))
+def _key(base: Column, length: Column, j: Column, part: Column) -> Column:
+    return F.xxhash64(base, length, j, part)
 
 
-def index_keys(base: Column, text: Column, length: Column, tau: int) -> Column:
-    """Keys of a line's own segments."""
-    return F.array(*[_key(base, length, j, text, *_segment(length, j, tau)) for j in range(tau + 1)])
+def _cut(text: Column, at: Column, width: Column) -> Column:
+    return F.substring(text, at + 1, width)
 
 
-def probe_keys(base: Column, text: Column, length: Column, tau: int) -> Column:
-    """Keys under which a line finds lines of its length or up to ``tau`` shorter."""
-    keys = []
-    for less in range(tau + 1):
-        short = length - less
-        for j in range(tau + 1):
-            at, width = _segment(short, j, tau)
-            for shift in range(max(-j, less - (tau - j)), min(j, less + (tau - j)) + 1):
-                fits = (short > tau) & (at + shift >= 0) & (at + shift + width <= length)
-                keys.append(F.when(fits, _key(base, short, j, text, at + shift, width)))
-    return F.array_compact(F.array(*keys))
+def _each(lines: DataFrame, names: str, spots: list[tuple[int, ...]]) -> DataFrame:
+    """A row of ``lines`` for each of the spots, whose numbers become columns: a
+    generator over a constant keeps the generated code of the keys short."""
+    return lines.select("*", F.inline(F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip(names.split(), spot)]) for spot in spots])))
+
+
+def index_rows(lines: DataFrame, tau: int) -> DataFrame:
+    """(key, lid): keys of a line's own segments."""
+    rows = _each(lines, "j", [(j,) for j in range(tau + 1)])
+    return rows.select(_key(F.lit(0).cast("long"), F.col("n"), F.col("j"), _cut(F.col("line"), *_segment(F.col("n"), F.col("j"), tau))).alias("key"), "lid")
+
+
+def probe_rows(lines: DataFrame, tau: int) -> DataFrame:
+    """(key, other): keys under which a line finds lines of its length or up to ``tau`` shorter."""
+    spots = [(less, j, shift) for less in range(tau + 1) for j in range(tau + 1) for shift in range(max(-j, less - (tau - j)), min(j, less + (tau - j)) + 1)]
+    short = F.col("n") - F.col("less")
+    rows = _each(lines, "less j shift", spots).where((short > tau) & _fits(short, tau))
+    at, width = _segment(short, F.col("j"), tau)
+    return rows.select(_key(F.lit(0).cast("long"), short, F.col("j"), _cut(F.col("line"), at + F.col("shift"), width)).alias("key"), F.col("lid").alias("other"))
+
+
+def _fits(short: Column, tau: int) -> Column:
+    at, width = _segment(short, F.col("j"), tau)
+    return (at + F.col("shift") >= 0) & (at + F.col("shift") + width <= F.col("n"))
 
 
 def _parity() -> Column:
@@ -71,49 +83,105 @@ def _may_match(tau: int) -> Column:
 
 
 def candidates(lines: DataFrame, tau: int) -> DataFrame:
-    """Pairs (a, b), a < b, of lines (lid, line, n) that share a key."""
-    none = F.lit(0).cast("long")
-    drawn = lines.withColumn("parity", _parity())
-    index = drawn.select("lid", "parity", F.explode(index_keys(none, F.col("line"), F.col("n"), tau)).alias("key"))
-    probe = drawn.select(F.col("lid").alias("other"), F.col("parity").alias("other_parity"),
-                         F.explode(probe_keys(none, F.col("line"), F.col("n"), tau)).alias("key"))
+    """Pairs (a, b), a < b, of lines (lid, line, n) that share a key of at most
+    ``HOT`` lines, or agree in all but a place that as few lines share."""
+    index, probe = index_rows(lines, tau), probe_rows(lines, tau)
     hot = stored(index.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > HOT).select("key"), "hot_keys")
-    cool = index
-    if n_hot := hot.count():
-        cool = index.join(F.broadcast(hot) if n_hot <= 100_000 else hot, "key", "left_anti")
-    met = probe.join(cool, "key").where((F.col("lid") != F.col("other")) & _may_match(tau))
-    pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b"))
+    n_hot = hot.count()
+    near = F.broadcast(hot) if n_hot <= 100_000 else hot
+    # a hot key meets its probes in one row without a line
+    cool = index.join(near, "key", "left_anti").union(hot.select("key", F.lit(None).cast("long"))) if n_hot else index
+    met = stored(probe.join(cool, "key").where(F.col("lid").isNull() | (F.col("lid") != F.col("other"))), "line_met")
+    pairs = _ordered(met.where("lid is not null"))
     if n_hot:
-        pairs = pairs.union(_hot_candidates(drawn, hot, tau))
+        probed = lines.join(broadcast_checked(stored(met.where("lid is null").select(F.col("other").alias("lid")).distinct(), "hot_probes")), "lid", "left_semi")
+        own = lines.join(broadcast_checked(stored(index.join(near, "key").select("lid").distinct(), "hot_lines")), "lid", "left_semi")
+        # the shorter line's length is known from the first key on
+        starts = _each(own.withColumn("own", F.lit(1)), "less", [(0,)]).union(_each(probed.withColumn("own", F.lit(0)), "less", [(k,) for k in range(tau + 1)]))
+        short = F.col("n") - F.col("less")
+        starts = starts.where(short > tau).select("lid", "own", F.lit(2 if tau == 2 else 1).alias("kind"), F.lit(0).cast("long").alias("base"), F.col("line").alias("l"), F.lit("").alias("r"), short.alias("nl"), F.lit(0).alias("nr"))
+        pairs = pairs.union(_split_pairs(_narrowed(starts, tau).join(near.withColumnRenamed("key", "gate"), "gate", "left_semi"), tau))
     return pairs.distinct()
 
 
-def _hot_candidates(lines: DataFrame, hot: DataFrame, tau: int) -> DataFrame:
-    """Pairs that share a hot key and, in what is left of both lines without the
-    shared segment, a second key (the rests are within ``tau`` edits as well)."""
-    none = F.lit(0).cast("long")
-    own, found = [], []
-    for j in range(tau + 1):
-        at, width = _segment(F.col("n"), j, tau)
-        own.append(F.struct(_key(none, F.col("n"), j, F.col("line"), at, width).alias("key"), _without(at, width).alias("rest")))
-    for less in range(tau + 1):
-        short = F.col("n") - less
-        for j in range(tau + 1):
-            at, width = _segment(short, j, tau)
-            for shift in range(max(-j, less - (tau - j)), min(j, less + (tau - j)) + 1):
-                fits = (short > tau) & (at + shift >= 0) & (at + shift + width <= F.col("n"))
-                found.append(F.when(fits, F.struct(_key(none, short, j, F.col("line"), at + shift, width).alias("key"), _without(at + shift, width).alias("rest"))))
-    sides = []
-    for keys, second in ((F.array(*own), index_keys), (F.array_compact(F.array(*found)), probe_keys)):
-        rows = lines.select("lid", "parity", F.inline(keys)).join(broadcast_checked(hot, 100_000), "key")
-        rows = rows.withColumn("m", F.char_length("rest"))
-        sides.append(rows.select("lid", "parity", F.explode(second(F.col("key"), F.col("rest"), F.col("m"), tau)).alias("second")))
-    met = sides[1].withColumnsRenamed({"lid": "other", "parity": "other_parity"}).join(sides[0], "second").where((F.col("lid") != F.col("other")) & _may_match(tau))
+def _ordered(met: DataFrame) -> DataFrame:
     return met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b"))
 
 
-def _without(at: Column, width: Column) -> Column:
-    return F.concat(F.substring(F.col("line"), F.lit(1), at), F.substring(F.col("line"), at + width + 1, F.col("n")))
+def _split_pairs(states: DataFrame, tau: int) -> DataFrame:
+    """Pairs of states of equal base, narrowed until few lines share a base.
+
+    A state is a line of which all but one or two places (l, r; of nl and nr
+    characters in the shorter line) is in the base; own: 1 of the shorter line, 0
+    of the other. Its kind says where the edits are: 2 or 1 of them at most in l,
+    or (11) exactly one in l and one in r. Every pair within ``tau`` edits follows
+    one way of narrowing; the places get shorter in each round.
+    """
+    found = None
+    while True:
+        states = stored(states.drop("gate"), "line_states")
+        l, r = F.xxhash64("l"), F.xxhash64("r")
+        bases = states.groupBy("base").agg(F.sum("own").alias("lines"), F.min("own").alias("least"), F.min("lid").alias("low"), F.max("lid").alias("high"), F.max(_done()).alias("done"),
+                                           ((F.max("kind") == 11) & ((F.min(l) == F.max(l)) | (F.min(r) == F.max(r)))).alias("same"))
+        # no pair: one side or one line only, or one of the two places the same in all
+        bases = stored(bases.where("lines > 0 and least = 0 and low < high and not same").select("base", ((F.col("lines") <= HOT) | F.col("done")).alias("ready")), "line_bases")
+        n_ready, n_large = bases.agg(F.count_if("ready"), F.count_if(~F.col("ready"))).first()
+        ready, large = bases.where("ready").select("base"), bases.where("not ready").select("base")
+        left = states.where("own = 1").join(F.broadcast(ready) if n_ready <= BROADCAST_ROWS else ready, "base", "left_semi")
+        other = states.where("own = 0").select("base", F.col("lid").alias("other"), F.col("l").alias("other_l"), F.col("r").alias("other_r"))
+        differ = (F.col("lid") != F.col("other")) & (F.col("l") != F.col("other_l")) & ((F.col("kind") != 11) | (F.col("r") != F.col("other_r")))
+        pairs = stored(_ordered(left.join(other, "base").where(differ)), "line_split")
+        found = pairs if found is None else found.union(pairs)
+        if not n_large:
+            return found
+        states = _narrowed(states.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, "base", "left_semi"), tau)
+
+
+def _done() -> Column:
+    """The places are too short to be split."""
+    return F.when(F.col("kind") == 2, F.col("nl") <= 2).otherwise((F.col("nl") <= 1) & (F.col("nr") <= 1))
+
+
+def _narrowed(states: DataFrame, tau: int) -> DataFrame:
+    """The states that follow, each with one more part in its base; gate is the
+    key of ``index_rows`` and ``probe_rows`` for the first part."""
+    found = _halved(states.where("kind <> 2"))
+    return found.union(_thirds(states.where("kind = 2"))) if tau == 2 else found
+
+
+def _halved(states: DataFrame) -> DataFrame:
+    """One edit in a place: its first or its second half is the same in both lines."""
+    rows = _each(states, "i k", [(0, 0), (0, 1), (1, 0), (1, 1)]).where("(i = 0 or nl > 1) and (k = 0 or nr > 1)")
+    for text, n, half in (("l", "nl", "i"), ("r", "nr", "k")):
+        x, m, first = F.col(text), F.col(n), F.col(half) == 0
+        width = F.when(first, F.when(m > 1, F.floor(m / 2)).otherwise(0)).otherwise(m - F.floor(m / 2)).cast("int")
+        rows = rows.withColumn(f"{text}w", width).withColumn(f"{text}m", F.char_length(x)).where(f"{text}m >= {text}w")
+        left = F.col(f"{text}m") - F.col(f"{text}w")
+        rows = rows.withColumns({f"{text}_same": F.when(first, _cut(x, F.lit(0), F.col(f"{text}w"))).otherwise(_cut(x, left, F.col(f"{text}w"))),
+                                 f"{text}_left": F.when(first, _cut(x, F.col(f"{text}w"), left)).otherwise(_cut(x, F.lit(0), left))})
+    gate = _key(F.col("base"), F.col("nl"), F.col("i"), F.col("l_same"))
+    base = F.when(F.col("kind") == 1, gate).otherwise(F.xxhash64(gate, F.col("nr"), F.col("k"), F.col("r_same")))
+    return rows.select("lid", "own", "kind", base.alias("base"), F.col("l_left").alias("l"), F.col("r_left").alias("r"), (F.col("nl") - F.col("lw")).alias("nl"), (F.col("nr") - F.col("rw")).alias("nr"), gate.alias("gate"))
+
+
+def _thirds(states: DataFrame) -> DataFrame:
+    """Up to two edits in a place of three parts, by the part of the first edit:
+    (0) not in the first part; (1) in the first, and one in the third; (2) all in
+    the first; (3) in the first, and one in the second."""
+    spots = [(0, 0), *((1, s) for s in (-1, 0, 1)), (2, 0), *((3, s) for s in (-1, 0, 1))]
+    rows = _each(states, "way shift", spots).withColumns({"m": F.char_length("l"), **{f"w{j}": _segment(F.col("nl"), F.lit(j), 2)[1] for j in range(3)}})
+    rows = rows.where("way in (0, 2) or shift >= m - nl - 1")
+    x, m, way = F.col("l"), F.col("m"), F.col("way")
+    w0, w1, w2, cut = F.col("w0"), F.col("w1"), F.col("w2"), F.col("w0") + F.col("shift")
+    rows = rows.where((cut >= 0) & F.when(way == 0, w0 <= m).when(way == 1, cut + w1 <= m).when(way == 2, w1 + w2 <= m).otherwise(cut + w2 <= m))
+    rows = rows.withColumn("same", F.when(way == 0, _cut(x, F.lit(0), w0)).when(way == 1, _cut(x, cut, w1)).otherwise(_cut(x, m - w2, w2)))
+    gate = _key(F.col("base"), F.col("nl"), F.least(way, F.lit(2)), F.col("same"))
+    base = F.when(way <= 1, gate).when(way == 2, F.xxhash64(gate, way, _cut(x, m - w2 - w1, w1))).otherwise(F.xxhash64(gate, way))
+    left = F.when(way == 0, _cut(x, w0, m)).when(way == 2, _cut(x, F.lit(0), m - w2 - w1)).otherwise(_cut(x, F.lit(0), cut))
+    right = F.when(way == 1, _cut(x, cut + w1, m)).when(way == 3, _cut(x, cut, m - w2 - cut)).otherwise("")
+    nr = F.when(way == 1, w2).when(way == 3, w1).otherwise(0)
+    kind = F.when(way.isin(0, 2), 2).otherwise(11)
+    return rows.select("lid", "own", kind.alias("kind"), base.alias("base"), left.alias("l"), right.alias("r"), F.when(way == 0, w1 + w2).otherwise(w0).alias("nl"), nr.alias("nr"), gate.alias("gate"))
 
 
 def _common(most: str, x: str, y: str) -> Column:
@@ -178,8 +246,11 @@ def line_links(lines: DataFrame, tau: int = TAU) -> DataFrame:
     near = lines.where(F.col("n") >= MIN_NEAR).select("lid", "line", "n")
     pairs = stored(candidates(near, tau), "line_pairs")
     ids = stored(pairs.select(F.col("a").alias("lid")).union(pairs.select("b")).distinct(), "line_ids")
-    texts = stored(near.select("lid", "line").join(broadcast_checked(ids), "lid"), "line_texts")
+    texts = stored(near.select("lid", "line").join(broadcast_checked(ids), "lid").withColumn("parity", _parity()), "line_texts")
     slots = 4 * lines.sparkSession.sparkContext.defaultParallelism  # verification is CPU work on few bytes
+    even = texts.select("lid", "parity")
+    pairs = stored(pairs.join(even.toDF("a", "parity"), "a").join(even.toDF("b", "other_parity"), "b").where(_may_match(tau)).select("a", "b"), "line_even")
+    texts = texts.drop("parity")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").repartition(slots, "a", "b")
     return stored(within(both, tau).select("a", "b"), "line_links")
 
