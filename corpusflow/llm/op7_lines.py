@@ -6,8 +6,9 @@ code points or more are cut into TAU + 1 segments: of two lines within TAU edits
 one must hold a segment of the shorter at a place that the length difference
 bounds, so an index on (length, segment number, segment) is probed with those
 few substrings; parities of the lines' character counts prune pairs in the join.
-Keys that very many lines share are split once more by segments
-of what is left of the line. Candidates are verified by banded bit-parallel edit
+Of lines that share a key with many others only those are paired that agree in
+more: what is left of the line is narrowed by halves and thirds, round by round,
+to the one or two places of the edits. Candidates are verified by banded bit-parallel edit
 distance over the part between common ends.
 
 Defined cases: null and empty texts have no lines; blank lines are kept and never
@@ -27,6 +28,8 @@ TAU = 2
 MIN_NEAR = 16
 #: Lines that may share an index key before the key is split further.
 HOT = 16
+#: Lines that may agree in all but one or two places before these are narrowed further.
+FEW = 32
 SPACES = " \t\n\x0b\f\r"
 
 
@@ -84,7 +87,7 @@ def _may_match(tau: int) -> Column:
 
 def candidates(lines: DataFrame, tau: int) -> DataFrame:
     """Pairs (a, b), a < b, of lines (lid, line, n) that share a key of at most
-    ``HOT`` lines, or agree in all but a place that as few lines share."""
+    ``HOT`` lines, or agree in all but one or two places with at most ``FEW``."""
     index, probe = index_rows(lines, tau), probe_rows(lines, tau)
     hot = stored(index.groupBy("key").agg(F.count("*").alias("lines")).where(F.col("lines") > HOT).select("key"), "hot_keys")
     n_hot = hot.count()
@@ -124,12 +127,13 @@ def _split_pairs(states: DataFrame, tau: int) -> DataFrame:
         bases = states.groupBy("base").agg(F.sum("own").alias("lines"), F.min("own").alias("least"), F.min("lid").alias("low"), F.max("lid").alias("high"), F.max(_done()).alias("done"),
                                            ((F.max("kind") == 11) & ((F.min(l) == F.max(l)) | (F.min(r) == F.max(r)))).alias("same"))
         # no pair: one side or one line only, or one of the two places the same in all
-        bases = stored(bases.where("lines > 0 and least = 0 and low < high and not same").select("base", ((F.col("lines") <= HOT) | F.col("done")).alias("ready")), "line_bases")
+        bases = stored(bases.where("lines > 0 and least = 0 and low < high and not same").select("base", ((F.col("lines") <= FEW) | F.col("done")).alias("ready")), "line_bases")
         n_ready, n_large = bases.agg(F.count_if("ready"), F.count_if(~F.col("ready"))).first()
         ready, large = bases.where("ready").select("base"), bases.where("not ready").select("base")
         left = states.where("own = 1").join(F.broadcast(ready) if n_ready <= BROADCAST_ROWS else ready, "base", "left_semi")
         other = states.where("own = 0").select("base", F.col("lid").alias("other"), F.col("l").alias("other_l"), F.col("r").alias("other_r"))
-        differ = (F.col("lid") != F.col("other")) & (F.col("l") != F.col("other_l")) & ((F.col("kind") != 11) | (F.col("r") != F.col("other_r")))
+        shifted = (F.char_length("other_l") != F.col("nl")) | (F.char_length("other_r") != F.col("nr"))
+        differ = (F.when(shifted, F.col("lid") != F.col("other")).otherwise(F.col("lid") < F.col("other"))) & (F.col("l") != F.col("other_l")) & ((F.col("kind") != 11) | (F.col("r") != F.col("other_r")))
         pairs = stored(_ordered(left.join(other, "base").where(differ)), "line_split")
         found = pairs if found is None else found.union(pairs)
         if not n_large:
@@ -167,8 +171,10 @@ def _halved(states: DataFrame) -> DataFrame:
 def _thirds(states: DataFrame) -> DataFrame:
     """Up to two edits in a place of three parts, by the part of the first edit:
     (0) not in the first part; (1) in the first, and one in the third; (2) all in
-    the first; (3) in the first, and one in the second."""
-    spots = [(0, 0), *((1, s) for s in (-1, 0, 1)), (2, 0), *((3, s) for s in (-1, 0, 1))]
+    the first; (3) in the first, and one in the second. Shift: by how much the first
+    edit makes the other line longer; of two lines of equal length one is longer there
+    or both are as long, and each is the other of each, so -1 is not needed."""
+    spots = [(0, 0), *((1, s) for s in (0, 1)), (2, 0), *((3, s) for s in (0, 1))]
     rows = _each(states, "way shift", spots).withColumns({"m": F.char_length("l"), **{f"w{j}": _segment(F.col("nl"), F.lit(j), 2)[1] for j in range(3)}})
     rows = rows.where("way in (0, 2) or shift >= m - nl - 1")
     x, m, way = F.col("l"), F.col("m"), F.col("way")

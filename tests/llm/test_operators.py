@@ -379,6 +379,44 @@ def test_op7_parities_keep_every_pair_within_two_edits(spark, monkeypatch, hot):
     assert got == {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if _distance(lines[a], lines[b]) <= 2}
 
 
+@pytest.mark.parametrize("tau", [1, 2])
+def test_op7_narrowing_to_the_end_keeps_every_pair(spark, monkeypatch, tau):
+    import random
+
+    monkeypatch.setattr(op7_lines, "HOT", 1)
+    monkeypatch.setattr(op7_lines, "FEW", 1)
+    rng = random.Random(7)
+    lines = {"a" * n for n in (16, 17, 18, 20)}
+    for b in ("All rights reserved.", "ab" * 9, "página 漢字 0000 of 9999 é"):
+        for _ in range(25):
+            x = list(b)
+            for _ in range(rng.randint(1, 2)):
+                at = rng.randrange(len(x) + 1)
+                x[at : at + rng.randint(0, 1)] = rng.choice(["", "é", "a", "b", "漢"])
+            lines.add("".join(x))
+    lines = sorted(x for x in lines if len(x) >= 16)
+    df = spark.createDataFrame([(k, x, len(x)) for k, x in enumerate(lines)], "lid long, line string, n int")
+    got = {(r.a, r.b) for r in op7_lines.line_links(df, tau).collect()}
+    assert got == {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if _distance(lines[a], lines[b]) <= tau}
+
+
+def test_op7_many_near_copies_make_few_candidates(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    base = "".join(rng.choice(letters) for _ in range(400))
+    lines = set()
+    while len(lines) < 400:  # six letters put in at one place each: four edits or more apart
+        at = rng.randrange(len(base))
+        lines.add(base[:at] + "".join(rng.choice("0123456789") for _ in range(6)) + base[at:])
+    lines = sorted(lines) + [base + "!", base + "?"]
+    df = spark.createDataFrame([(k, x, len(x)) for k, x in enumerate(lines)], "lid long, line string, n int")
+    pairs = {(r.a, r.b) for r in op7_lines.candidates(df, 2).collect()}
+    assert (400, 401) in pairs
+    assert len(pairs) < 64 * len(lines) / 2  # all pairs are 200 times the lines
+
+
 def test_op8_pieces_and_bins(spark, docs, texts):
     from tokenizers import Tokenizer
 
