@@ -97,12 +97,14 @@ def candidates(lines: DataFrame, tau: int) -> DataFrame:
     met = stored(probe.join(cool, "key").where(F.col("lid").isNull() | (F.col("lid") != F.col("other"))), "line_met")
     pairs = _ordered(met.where("lid is not null"))
     if n_hot:
-        probed = lines.join(broadcast_checked(stored(met.where("lid is null").select(F.col("other").alias("lid")).distinct(), "hot_probes")), "lid", "left_semi")
-        own = lines.join(broadcast_checked(stored(index.join(near, "key").select("lid").distinct(), "hot_lines")), "lid", "left_semi")
+        # a line of a hot key also meets that key as a probe
+        own = index.join(near, "key").select("lid", F.lit(1).alias("own"))
+        hot_lines = met.where("lid is null").select(F.col("other").alias("lid"), F.lit(0).alias("own")).union(own).groupBy("lid").agg(F.max("own").alias("own"))
+        hot_lines = lines.join(broadcast_checked(stored(hot_lines, "hot_lines")), "lid").withColumn("parity", _parity())
         # the shorter line's length is known from the first key on
-        starts = _each(own.withColumn("own", F.lit(1)), "less", [(0,)]).union(_each(probed.withColumn("own", F.lit(0)), "less", [(k,) for k in range(tau + 1)]))
+        starts = _each(stored(hot_lines, "hot_texts"), "less", [(k,) for k in range(tau + 1)])
         short = F.col("n") - F.col("less")
-        starts = starts.where(short > tau).select("lid", "own", F.lit(2 if tau == 2 else 1).alias("kind"), F.lit(0).cast("long").alias("base"), F.col("line").alias("l"), F.lit("").alias("r"), short.alias("nl"), F.lit(0).alias("nr"))
+        starts = starts.where(short > tau).select("lid", "parity", F.when(F.col("less") == 0, F.col("own")).otherwise(0).alias("own"), F.lit(2 if tau == 2 else 1).alias("kind"), F.lit(0).cast("long").alias("base"), F.col("line").alias("l"), F.lit("").alias("r"), short.alias("nl"), F.lit(0).alias("nr"))
         pairs = pairs.union(_split_pairs(_narrowed(starts, tau).join(near.withColumnRenamed("key", "gate"), "gate", "left_semi"), tau))
     return pairs.distinct()
 
@@ -115,26 +117,27 @@ def _split_pairs(states: DataFrame, tau: int) -> DataFrame:
     """Pairs of states of equal base, narrowed until few lines share a base.
 
     A state is a line of which all but one or two places (l, r; of nl and nr
-    characters in the shorter line) is in the base; own: 1 of the shorter line, 0
-    of the other. Its kind says where the edits are: 2 or 1 of them at most in l,
+    characters in the shorter line) is in the base; own: 1 if it can be the shorter
+    line (or the other of a line as long), 0 if only the other. Its kind says where the edits are: 2 or 1 of them at most in l,
     or (11) exactly one in l and one in r. Every pair within ``tau`` edits follows
-    one way of narrowing; the places get shorter in each round.
+    one way of narrowing; the places get shorter in each round. What lies in the
+    base is the same in both lines, so parities of whole lines tell of the places.
     """
     found = None
     while True:
         states = stored(states.drop("gate"), "line_states")
         l, r = F.xxhash64("l"), F.xxhash64("r")
-        bases = states.groupBy("base").agg(F.sum("own").alias("lines"), F.min("own").alias("least"), F.min("lid").alias("low"), F.max("lid").alias("high"), F.max(_done()).alias("done"),
+        bases = states.groupBy("base").agg(F.sum("own").alias("lines"), F.min("lid").alias("low"), F.max("lid").alias("high"), F.max(_done()).alias("done"),
                                            ((F.max("kind") == 11) & ((F.min(l) == F.max(l)) | (F.min(r) == F.max(r)))).alias("same"))
-        # no pair: one side or one line only, or one of the two places the same in all
-        bases = stored(bases.where("lines > 0 and least = 0 and low < high and not same").select("base", ((F.col("lines") <= FEW) | F.col("done")).alias("ready")), "line_bases")
+        # no pair: no shorter line or one line only, or one of the two places the same in all
+        bases = stored(bases.where("lines > 0 and low < high and not same").select("base", ((F.col("lines") <= FEW) | F.col("done")).alias("ready")), "line_bases")
         n_ready, n_large = bases.agg(F.count_if("ready"), F.count_if(~F.col("ready"))).first()
         ready, large = bases.where("ready").select("base"), bases.where("not ready").select("base")
         left = states.where("own = 1").join(F.broadcast(ready) if n_ready <= BROADCAST_ROWS else ready, "base", "left_semi")
-        other = states.where("own = 0").select("base", F.col("lid").alias("other"), F.col("l").alias("other_l"), F.col("r").alias("other_r"))
+        other = states.select("base", F.col("lid").alias("other"), F.col("parity").alias("other_parity"), F.col("l").alias("other_l"), F.col("r").alias("other_r"))
         longer = F.char_length("other_l") + F.char_length("other_r") > F.col("nl") + F.col("nr")
         differ = (longer | (F.col("lid") < F.col("other"))) & (F.col("l") != F.col("other_l")) & ((F.col("kind") != 11) | (F.col("r") != F.col("other_r")))
-        pairs = stored(_ordered(left.join(other, "base").where(differ)), "line_split")
+        pairs = stored(_ordered(left.join(other, "base").where(differ & _may_match(tau))), "line_split")
         found = pairs if found is None else found.union(pairs)
         if not n_large:
             return found
@@ -165,13 +168,14 @@ def _halved(states: DataFrame) -> DataFrame:
                                  f"{text}_left": F.when(first, _cut(x, F.col(f"{text}w"), left)).otherwise(_cut(x, F.lit(0), left))})
     gate = _key(F.col("base"), F.col("nl"), F.col("i"), F.col("l_same"))
     base = F.when(F.col("kind") == 1, gate).otherwise(F.xxhash64(gate, F.col("nr"), F.col("k"), F.col("r_same")))
-    return rows.select("lid", "own", "kind", base.alias("base"), F.col("l_left").alias("l"), F.col("r_left").alias("r"), (F.col("nl") - F.col("lw")).alias("nl"), (F.col("nr") - F.col("rw")).alias("nr"), gate.alias("gate"))
+    return rows.select("lid", "parity", "own", "kind", base.alias("base"), F.col("l_left").alias("l"), F.col("r_left").alias("r"), (F.col("nl") - F.col("lw")).alias("nl"), (F.col("nr") - F.col("rw")).alias("nr"), gate.alias("gate"))
 
 
 def _thirds(states: DataFrame) -> DataFrame:
     """Up to two edits in a place of three parts, by the part of the first edit:
     (0) not in the first part; (1) in the first, and one in the third; (2) all in
-    the first; (3) in the first, and one in the second."""
+    the first; (3) in the first, and one in the second. Shift: by how much the first
+    edit makes the other line longer; the shorter line is cut where its own parts end."""
     spots = [(0, 0), *((1, s) for s in (-1, 0, 1)), (2, 0), *((3, s) for s in (-1, 0, 1))]
     rows = _each(states, "way shift", spots).withColumns({"m": F.char_length("l"), **{f"w{j}": _segment(F.col("nl"), F.lit(j), 2)[1] for j in range(3)}})
     rows = rows.where("way in (0, 2) or shift >= m - nl - 1")
@@ -185,7 +189,8 @@ def _thirds(states: DataFrame) -> DataFrame:
     right = F.when(way == 1, _cut(x, cut + w1, m)).when(way == 3, _cut(x, cut, m - w2 - cut)).otherwise("")
     nr = F.when(way == 1, w2).when(way == 3, w1).otherwise(0)
     kind = F.when(way.isin(0, 2), 2).otherwise(11)
-    return rows.select("lid", "own", kind.alias("kind"), base.alias("base"), left.alias("l"), right.alias("r"), F.when(way == 0, w1 + w2).otherwise(w0).alias("nl"), nr.alias("nr"), gate.alias("gate"))
+    own = F.when(F.col("shift") == 0, F.col("own")).otherwise(0)
+    return rows.select("lid", "parity", own.alias("own"), kind.alias("kind"), base.alias("base"), left.alias("l"), right.alias("r"), F.when(way == 0, w1 + w2).otherwise(w0).alias("nl"), nr.alias("nr"), gate.alias("gate"))
 
 
 def _common(most: str, x: str, y: str) -> Column:

@@ -417,6 +417,26 @@ def test_op7_many_near_copies_make_few_candidates(spark):
     assert len(pairs) < 64 * len(lines) / 2  # all pairs are 200 times the lines
 
 
+def test_op7_copies_with_a_word_of_their_own_make_few_pairs(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 8)))
+    base = [word() for _ in range(60)]
+    made, kept = {}, op7_lines.stored
+    monkeypatch.setattr(op7_lines, "stored", lambda df, tag: made.setdefault((tag, len(made)), kept(df, tag)))
+    lines = {" ".join([*base, "17"]), " ".join([*base, "23"])}
+    while len(lines) < 800:
+        at = rng.randrange(len(base))
+        lines.add(" ".join([*base[:at], word(), *base[at + 1 :], "17"]))
+    lines = sorted(lines)
+    df = spark.createDataFrame([(k, x, len(x)) for k, x in enumerate(lines)], "lid long, line string, n int")
+    pairs = {(r.a, r.b) for r in op7_lines.candidates(df, 2).collect()}
+    assert (lines.index(" ".join([*base, "17"])), lines.index(" ".join([*base, "23"]))) in pairs
+    rows = {y: sum(x.count() for (tag, _), x in made.items() if tag == y) for y in ("line_split", "line_states")}
+    assert rows["line_split"] < 8 * 800 and rows["line_states"] < 100 * 800, rows
+
+
 def test_op8_pieces_and_bins(spark, docs, texts):
     from tokenizers import Tokenizer
 
