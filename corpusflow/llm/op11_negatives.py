@@ -11,8 +11,9 @@ For an anchor, every coordinate of a box gives an interval of products, and thei
 sums bound the scores below. A queue takes boxes by their best possible score
 (ties: least id); boxes outside a score window or without a fitting label are not
 queued, and the search ends when the best box left is below the last row kept.
-The anchors meet the shards in blocks: each shard gives the first rows of each
-anchor, and the first of those over all shards stand.
+The anchors meet the shards in blocks, which follow each shard into its task, without
+a join or a broadcast: each shard gives the first rows of each anchor, and the first
+of those over all shards stand.
 
 Scores are integer inner products; higher scores come first, ties by smaller id.
 
@@ -29,7 +30,6 @@ of the input, whatever their names, are not read.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,17 +147,21 @@ class Tree:
             levels.append(tuple((np.maximum if k in (1, 3) else np.minimum).reduceat(x, at) for k, x in enumerate(levels[-1])))
         self.low, self.high, label_low, label_high, least = (np.concatenate(x) for x in zip(*levels, strict=True))
         self.label_low, self.label_high, self.least = label_low.tolist(), label_high.tolist(), least.tolist()
+        self._most = int(np.abs(self.vectors).max(initial=0))
+        self._as: tuple = ()
 
     def ask(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Anchors and rows as one kind of number, and the least and greatest score of each anchor in each box."""
         d, own = anchors.shape[1], self.vectors.shape[1]
         width = max(d, own)
         wide = lambda x: np.pad(x, ((0, 0), (0, width - x.shape[1])))
-        most = width * int(np.abs(anchors).max(initial=0)) * int(np.abs(self.vectors).max(initial=0))
+        most = width * int(np.abs(anchors).max(initial=0)) * self._most
         if most >= 1 << 62:
             raise ValueError("a score does not fit 62 bits")
         kind = np.float64 if most < 1 << 53 else np.int64  # sums of doubles are exact up to there
-        q, rows, low, high = (wide(x).astype(kind) for x in (anchors, self.vectors, self.low, self.high))
+        if self._as[:2] != (kind, width):  # kept for the next block
+            self._as = kind, width, *(wide(x).astype(kind) for x in (self.vectors, self.low, self.high))
+        q, (rows, low, high) = wide(anchors).astype(kind), self._as[2:]
         up, down = np.maximum(q, 0), np.minimum(q, 0)
         return q, rows, up @ low.T + down @ high.T, up @ high.T + down @ low.T
 
@@ -168,51 +172,64 @@ class Asked:
     def __init__(self, tree: Tree, q: np.ndarray, rows: np.ndarray, least: np.ndarray, most: np.ndarray, anchor: int, label: int, same: bool):
         self._tree, self._q, self._rows, self._anchor, self._label, self._same = tree, q, rows, anchor, label, same
         self._least, self._most = least.tolist(), most.tolist()
-        self._scored: dict[int, list[tuple[int, int]]] = {}
+        self._scored: set[int] = set()
+        self._scores, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the fitting rows of scored leaves
 
     def _fits(self, node: int) -> bool:
         low, high = self._tree.label_low[node], self._tree.label_high[node]
         return low <= self._label <= high if self._same else not low == high == self._label
 
-    def _leaf(self, node: int) -> list[tuple[int, int]]:
-        """(-score, id) of the fitting rows of a leaf, first ones first."""
-        if node not in self._scored:
-            t, part = self._tree, slice(self._tree.start[node], self._tree.start[node + 1])
-            mask = (t.labels[part] == self._label) == self._same
-            if self._same:
-                mask &= t.ids[part] != self._anchor
-            score = (self._rows[part][mask] @ self._q).astype(np.int64)
-            self._scored[node] = sorted(zip((-score).tolist(), t.ids[part][mask].tolist(), strict=True))
-        return self._scored[node]
+    def _score(self, leaves: list[int]) -> None:
+        """Scores and ids of the leaves' rows join those of the leaves scored before (a leaf has one label, so all its rows fit)."""
+        parts = [slice(self._tree.start[x], self._tree.start[x + 1]) for x in leaves]
+        score = np.concatenate([self._rows[p] @ self._q for p in parts]).astype(np.int64)
+        ids = np.concatenate([self._tree.ids[p] for p in parts])
+        if self._same:
+            others = ids != self._anchor
+            score, ids = score[others], ids[others]
+        self._scored.update(leaves)
+        self._scores, self._ids = np.concatenate((self._scores, score)), np.concatenate((self._ids, ids))
+
+    def _kept(self, want: int, floor: float, top: float) -> list[tuple[int, int]]:
+        """The first ``want`` scored rows in the window, as (score, id)."""
+        at = np.flatnonzero((self._scores >= floor) & (self._scores <= top))
+        score = self._scores[at]
+        if len(at) > want:
+            last = score >= np.partition(score, len(at) - want)[len(at) - want]
+            at, score = at[last], score[last]
+        order = np.lexsort((self._ids[at], -score))[:want]
+        return list(zip(score[order].tolist(), self._ids[at[order]].tolist(), strict=True))
 
     def first(self, want: int, lowest: int | None = None, highest: int | None = None) -> list[tuple[int, int]]:
-        """The first ``want`` fitting rows with a score in the window, as (score, id)."""
-        t, least, most = self._tree, self._least, self._most
+        """The first ``want`` fitting rows with a score in the window, as (score, id). Leaves are
+        opened best first, one, then two, four and so on between looks at the rows kept."""
+        t, least, most, scored = self._tree, self._least, self._most, self._scored
         top = most[-1] if highest is None else highest
         floor = least[-1] if lowest is None else lowest
         queue: list[tuple[float, int, int]] = []
 
         def add(node: int) -> None:
-            if most[node] >= floor and least[node] <= top and self._fits(node):
+            if most[node] >= floor and least[node] <= top and node not in scored and self._fits(node):
                 heapq.heappush(queue, (-min(most[node], top), t.least[node], node))
 
         add(len(t.least) - 1)
-        kept: list[tuple[int, int]] = []  # (score, -id), the last of the kept rows first
+        kept, opened, step = self._kept(want, floor, top) if scored else [], [], 1
         while queue:
             best, first_id, node = heapq.heappop(queue)
-            if len(kept) == want and (-best, -first_id) <= kept[0]:
+            if len(kept) == want and (best, first_id) >= (-kept[-1][0], kept[-1][1]):
                 break
             if node >= t.leaves:
                 for child in t.children[node - t.leaves]:
                     add(child)
                 continue
-            rows = self._leaf(node)
-            for k in range(bisect_left(rows, (-top,)), len(rows)):
-                row = (-rows[k][0], -rows[k][1])
-                if row[0] < floor or (len(kept) == want and row <= kept[0]):
-                    break
-                (heapq.heapreplace if len(kept) == want else heapq.heappush)(kept, row)
-        return [(score, -i) for score, i in sorted(kept, reverse=True)]
+            opened.append(node)
+            if len(opened) == step:
+                self._score(opened)
+                kept, opened, step = self._kept(want, floor, top), [], 2 * step
+        if opened:
+            self._score(opened)
+            kept = self._kept(want, floor, top)
+        return kept
 
 
 def shards(rows: DataFrame, n: int, coordinate: int, size: int = SHARD) -> DataFrame:
@@ -235,10 +252,16 @@ def shards(rows: DataFrame, n: int, coordinate: int, size: int = SHARD) -> DataF
 
 
 def _meet(blocks: DataFrame, packed: DataFrame) -> DataFrame:
-    """Each block of anchors with each shard: a block is sent to every shard, keyed by it."""
+    """Each shard, and after it the blocks of anchors, all in one task: a block is sent to every shard.
+
+    No join: Spark would choose the side that it broadcasts through the driver by its size as
+    Parquet, which tells little of shards whose vectors compress, and nothing of blocks times shards."""
     last = packed.agg(F.max("shard")).first()[0]
     number = F.sequence(F.lit(0).cast("long"), F.lit(last)) if last is not None else F.array().cast("array<long>")
-    return blocks.withColumn("shard", F.explode(number)).join(packed, "shard")
+    tasks = min((last or 0) + 1, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    each = blocks.select("anchors", F.explode(number).alias("shard"))
+    dealt = packed.unionByName(each, allowMissingColumns=True).repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+    return dealt.sortWithinPartitions("shard", F.isnotnull("anchors"))
 
 
 def _searched(met: DataFrame, want: int, low: int, high: int, negatives: bool) -> DataFrame:
@@ -251,11 +274,13 @@ def _searched(met: DataFrame, want: int, low: int, high: int, negatives: bool) -
         number, tree = None, None
         for batch in batches:
             for k in range(batch.num_rows):
-                shard, width = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                if shard != number:
+                shard, width, anchors = (batch.column(c)[k].as_py() for c in (0, 1, 5))
+                if anchors is None:
                     ids, labels = (np.frombuffer(batch.column(c)[k].as_buffer(), "<i8") for c in (2, 3))
                     number, tree = shard, Tree(ids, labels, np.frombuffer(batch.column(4)[k].as_buffer(), "<i4").reshape(len(ids), width).astype(np.int64))
-                anchors = batch.column(5)[k].as_py()
+                    continue
+                if shard != number:  # the number of an empty shard
+                    continue
                 q, rows, least, most = tree.ask(_matrix([np.array(a["vector"], np.int64) for a in anchors]))
                 out: list[tuple] = []
                 for a, *mine in zip(anchors, q, least, most, strict=True):
@@ -295,7 +320,7 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
 
     near = _first(_searched(_meet(dealt(one), packed), positives, low, high, negatives=False), ["anchor_id"], positives)
     lists = near.groupBy("anchor_id").agg(F.collect_list(F.struct(F.col("rank").alias("place"), F.col("found_id").alias("id"), F.col("found_score").alias("score"))).alias("positives"))
-    asking = one.join(lists, one["vec_id"] == lists["anchor_id"]).drop("anchor_id")
+    asking = one.hint("merge").join(lists, one["vec_id"] == lists["anchor_id"]).drop("anchor_id")
     found = _searched(_meet(dealt(asking, "positives"), packed), negatives, low, high, negatives=True)
     return _first(found, ["anchor_id", "place"], negatives).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("found_id").alias("negative_id"), "positive_score", F.col("found_score").alias("negative_score"))

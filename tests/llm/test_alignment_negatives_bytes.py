@@ -287,6 +287,34 @@ def test_op11_rows_without_part_and_empty_table(spark):
     assert op11.hard_negatives(none, none).collect() == []
 
 
+def test_op11_sends_neither_shards_nor_blocks_through_the_driver(spark, monkeypatch):
+    ship_package(spark)
+    table = vectors(600, 4, 2, 0.5)
+    df = stored(spark.createDataFrame(table, op11._ROWS), "test-vectors")
+    monkeypatch.setattr(op11.shards, "__defaults__", (64,))
+    found = op11.hard_negatives(df, df.where("vec_id % 100 = 0"))
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    assert collections.Counter(tuple(r) for r in found.collect()) == brute_negatives(table)
+    assert "Broadcast" not in planned + found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_op11_windows_in_any_order_give_the_first_rows():
+    rng = np.random.default_rng(9)
+    x = rng.integers(-9, 10, (1_500, 5))
+    x[rng.random(1_500) < 0.4] = x[0]
+    labels = rng.integers(0, 3, 1_500)
+    tree = op11.Tree(np.arange(1_500), labels, x)
+    for anchors in (x[:8], x[:8] << 50):  # scores as doubles, then as whole numbers; rows are kept for the next block
+        q, rows_, least, most = tree.ask(anchors)
+        for k in range(8):
+            asked = op11.Asked(tree, q[k], rows_, least[k], most[k], k, int(labels[k]), same=False)
+            score = x @ anchors[k]
+            for top in rng.permutation(score)[:12].tolist() + [int(score.max())]:
+                floor = top - abs(top) // 5
+                want = [i for i in np.lexsort((np.arange(1_500), -score)) if labels[i] != labels[k] and floor <= score[i] <= top][:5]
+                assert asked.first(5, floor, top) == [(score[i], i) for i in want]
+
+
 def test_op11_query_equals_brute_force(spark):
     ship_package(spark)
     table = []
