@@ -8,9 +8,10 @@ their widest coordinate into slabs, each slab by its own, down to leaves of
 greatest value of every coordinate, the range of labels and the least id.
 
 For an anchor, every coordinate of a box gives an interval of products, and their
-sums bound the scores below. A queue takes boxes by their best possible score
-(ties: least id); boxes outside a score window or without a fitting label are not
-queued, and the search ends when the best box left is below the last row kept.
+sums bound the scores below. Boxes outside a score window or without a fitting
+label are not looked into; a queue takes the leaves that are left by their best
+possible score (ties: least id), and the search ends when the best leaf left is
+below the last row kept.
 The anchors meet the shards in blocks, which follow each shard into its task, without
 a join or a broadcast: each shard gives the first rows of each anchor, and the first
 of those over all shards stand.
@@ -29,7 +30,6 @@ of the input, whatever their names, are not read.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,10 +146,29 @@ class Tree:
             below += n
             levels.append(tuple((np.maximum if k in (1, 3) else np.minimum).reduceat(x, at) for k, x in enumerate(levels[-1])))
         self.low, self.high, label_low, label_high, least = (np.concatenate(x) for x in zip(*levels, strict=True))
-        self.label_low, self.label_high, self.least = label_low.tolist(), label_high.tolist(), least.tolist()
+        self.label_low, self.label_high, self.least = label_low, label_high, least
+        self._fits: dict[tuple[int, bool], np.ndarray] = {}
+        self._first, self._last = (np.array(x, np.int64) for x in ([c.start for c in self.children], [c.stop for c in self.children]))
         self._most = int(np.abs(self.vectors).max(initial=0))
         self._as: tuple = ()
 
+    def fits(self, label: int, same: bool) -> np.ndarray:
+        """Of each box, whether it has rows of the label, or of others."""
+        if (label, same) not in self._fits:
+            low, high = self.label_low, self.label_high
+            self._fits[label, same] = (low <= label) & (label <= high) if same else (low != label) | (high != label)
+        return self._fits[label, same]
+
+    def reached(self, ok: np.ndarray) -> np.ndarray:
+        """The leaves that are ok under boxes that are, level by level from the root."""
+        nodes = np.array([len(ok) - 1])
+        while True:
+            nodes = nodes[ok[nodes]]
+            if not len(nodes) or nodes[0] < self.leaves:
+                return nodes
+            below = self._first[nodes - self.leaves][:, None] + np.arange(FAN)
+            nodes = below[below < self._last[nodes - self.leaves][:, None]]
+
     def ask(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Anchors and rows as one kind of number, and the least and greatest score of each anchor in each box."""
         d, own = anchors.shape[1], self.vectors.shape[1]
@@ -166,28 +185,40 @@ class Tree:
         return q, rows, up @ low.T + down @ high.T, up @ high.T + down @ low.T
 
 
+class Scores:
+    """Scores of a block's anchors with a tree's rows: a leaf is scored for all of them when the first opens it."""
+
+    def __init__(self, tree: Tree, q: np.ndarray, rows: np.ndarray):
+        self._start, self._q, self._rows = tree.start, q, rows
+        self._leaves: dict[int, np.ndarray] = {}
+
+    def of(self, k: int, leaf: int) -> np.ndarray:
+        if leaf not in self._leaves:
+            self._leaves[leaf] = self._q @ self._rows[self._start[leaf] : self._start[leaf + 1]].T
+        return self._leaves[leaf][k]
+
+
 class Asked:
-    """One anchor's searches in a tree: leaves are scored when a search first opens them."""
+    """One anchor's searches in a tree: leaves are scored when a search first opens them, or another anchor of the block has."""
 
-    def __init__(self, tree: Tree, q: np.ndarray, rows: np.ndarray, least: np.ndarray, most: np.ndarray, anchor: int, label: int, same: bool):
-        self._tree, self._q, self._rows, self._anchor, self._label, self._same = tree, q, rows, anchor, label, same
-        self._least, self._most = least.tolist(), most.tolist()
+    def __init__(self, tree: Tree, q: np.ndarray, rows: np.ndarray, least: np.ndarray, most: np.ndarray, anchor: int, label: int, same: bool, block: Scores | None = None, place: int = 0):
+        self._tree, self._anchor, self._same = tree, anchor, same
+        self._block, self._place = block or Scores(tree, q[None], rows), place
+        self._least, self._most = least, most
         self._scored: set[int] = set()
+        self._new = tree.fits(label, same).copy()  # boxes to look into, but for scored leaves
         self._scores, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the fitting rows of scored leaves
 
-    def _fits(self, node: int) -> bool:
-        low, high = self._tree.label_low[node], self._tree.label_high[node]
-        return low <= self._label <= high if self._same else not low == high == self._label
-
-    def _score(self, leaves: list[int]) -> None:
+    def _score(self, leaves: np.ndarray) -> None:
         """Scores and ids of the leaves' rows join those of the leaves scored before (a leaf has one label, so all its rows fit)."""
-        parts = [slice(self._tree.start[x], self._tree.start[x + 1]) for x in leaves]
-        score = np.concatenate([self._rows[p] @ self._q for p in parts]).astype(np.int64)
-        ids = np.concatenate([self._tree.ids[p] for p in parts])
+        t, each = self._tree, leaves.tolist()
+        score = np.concatenate([self._block.of(self._place, x) for x in each]).astype(np.int64)
+        ids = np.concatenate([t.ids[t.start[x] : t.start[x + 1]] for x in each])
         if self._same:
             others = ids != self._anchor
             score, ids = score[others], ids[others]
-        self._scored.update(leaves)
+        self._scored.update(each)
+        self._new[leaves] = False
         self._scores, self._ids = np.concatenate((self._scores, score)), np.concatenate((self._ids, ids))
 
     def _kept(self, want: int, floor: float, top: float) -> list[tuple[int, int]]:
@@ -203,32 +234,23 @@ class Asked:
     def first(self, want: int, lowest: int | None = None, highest: int | None = None) -> list[tuple[int, int]]:
         """The first ``want`` fitting rows with a score in the window, as (score, id). Leaves are
         opened best first, one, then two, four and so on between looks at the rows kept."""
-        t, least, most, scored = self._tree, self._least, self._most, self._scored
-        top = most[-1] if highest is None else highest
-        floor = least[-1] if lowest is None else lowest
-        queue: list[tuple[float, int, int]] = []
-
-        def add(node: int) -> None:
-            if most[node] >= floor and least[node] <= top and node not in scored and self._fits(node):
-                heapq.heappush(queue, (-min(most[node], top), t.least[node], node))
-
-        add(len(t.least) - 1)
-        kept, opened, step = self._kept(want, floor, top) if scored else [], [], 1
-        while queue:
-            best, first_id, node = heapq.heappop(queue)
-            if len(kept) == want and (best, first_id) >= (-kept[-1][0], kept[-1][1]):
-                break
-            if node >= t.leaves:
-                for child in t.children[node - t.leaves]:
-                    add(child)
-                continue
-            opened.append(node)
-            if len(opened) == step:
-                self._score(opened)
-                kept, opened, step = self._kept(want, floor, top), [], 2 * step
-        if opened:
-            self._score(opened)
-            kept = self._kept(want, floor, top)
+        t, least, most = self._tree, self._least, self._most
+        top = int(most[-1]) if highest is None else min(highest, int(most[-1]))
+        floor = int(least[-1]) if lowest is None else max(lowest, int(least[-1]))
+        queue = t.reached(self._new & (most >= floor) & (least <= top))
+        best, first_id = np.minimum(most[queue], top), t.least[queue]
+        order = np.lexsort((first_id, -best))
+        queue, best, first_id = queue[order], best[order], first_id[order]
+        kept, at, step = self._kept(want, floor, top) if self._scored else [], 0, 1
+        while at < len(queue):
+            end = min(at + step, len(queue))
+            if len(kept) == want:
+                score, last = kept[-1]
+                end = at + np.count_nonzero((best[at:end] > score) | ((best[at:end] == score) & (first_id[at:end] < last)))
+                if at == end:
+                    break
+            self._score(queue[at:end])
+            kept, at, step = self._kept(want, floor, top), end, 2 * step
         return kept
 
 
@@ -282,9 +304,10 @@ def _searched(met: DataFrame, want: int, low: int, high: int, negatives: bool) -
                 if shard != number:  # the number of an empty shard
                     continue
                 q, rows, least, most = tree.ask(_matrix([np.array(a["vector"], np.int64) for a in anchors]))
+                block = Scores(tree, q, rows)
                 out: list[tuple] = []
-                for a, *mine in zip(anchors, q, least, most, strict=True):
-                    asked = Asked(tree, mine[0], rows, mine[1], mine[2], a["vec_id"], a["label"], same=not negatives)
+                for at, a in enumerate(anchors):
+                    asked = Asked(tree, q[at], rows, least[at], most[at], a["vec_id"], a["label"], not negatives, block, at)
                     if not negatives:
                         out += [(a["vec_id"], 0, None, None, i, s) for s, i in asked.first(want)]
                         continue
